@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from tidemark.llm import exact_dedup, url_filter
+from tidemark.llm import exact_dedup, source_mix, url_filter
 
 QUERIES = {
+    "op1_source_mix": source_mix.op1_source_mix,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
     "op9_url_filter": url_filter.op9_url_filter,
 }
 
 ORACLE_SQL = {
+    "op1_source_mix": source_mix.OP1_SQL,
     "op7_exact_dedup": exact_dedup.OP7_SQL,
     "op9_url_filter": url_filter.OP9_SQL,
 }
