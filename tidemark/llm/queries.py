@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from tidemark.llm import exact_dedup, media_columns, secret_scan, simhash, source_mix, url_filter
+from tidemark.llm import exact_dedup, media_columns, packing, quality, secret_scan, simhash, source_mix, toxicity, url_filter
 
 QUERIES = {
     "op1_source_mix": source_mix.op1_source_mix,
     "op3_secret_scan": secret_scan.op3_secret_scan,
     "op4_media_columns": media_columns.op4_media_columns,
     "op5_simhash_near_dedup": simhash.op5_simhash_near_dedup,
+    "op6_quality_classifier": quality.op6_quality_classifier,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
+    "op8_toxicity": toxicity.op8_toxicity,
     "op9_url_filter": url_filter.op9_url_filter,
+    "op10_packing": packing.op10_packing,
 }
 
 ORACLE_SQL = {
