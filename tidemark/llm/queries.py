@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tidemark.llm import exact_dedup, media_columns, packing, quality, secret_scan, simhash, source_mix, toxicity, url_filter
+from tidemark.llm import exact_dedup, media_columns, packing, quality, secret_scan, simhash, source_mix, substring_dedup, toxicity, url_filter
 
 QUERIES = {
     "op1_source_mix": source_mix.op1_source_mix,
+    "op2_substring_dedup": substring_dedup.op2_substring_dedup,
     "op3_secret_scan": secret_scan.op3_secret_scan,
     "op4_media_columns": media_columns.op4_media_columns,
     "op5_simhash_near_dedup": simhash.op5_simhash_near_dedup,
@@ -18,6 +19,7 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op1_source_mix": source_mix.OP1_SQL,
+    "op2_substring_dedup": substring_dedup.OP2_SQL,
     "op7_exact_dedup": exact_dedup.OP7_SQL,
     "op9_url_filter": url_filter.OP9_SQL,
 }
