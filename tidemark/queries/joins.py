@@ -218,7 +218,7 @@ def l2_book_validate(t):
    CASE WHEN mid IS NOT NULL THEN coalesce(sum(amount) FILTER (is_bid AND price >= mid * (1 - 50 / 10000::DOUBLE)), 0) END AS bid_depth_50bps,
    CASE WHEN mid IS NOT NULL THEN coalesce(sum(amount) FILTER (NOT is_bid AND price <= mid * (1 + 50 / 10000::DOUBLE)), 0) END AS ask_depth_50bps
   FROM m JOIN lv USING (book) GROUP BY m.book, mid, bid, ask, bid_size, ask_size""",
-       "mid spread bid_size ask_size imbalance bid_depth_10bps ask_depth_10bps bid_depth_50bps ask_depth_50bps")
+       "mid spread bid_size ask_size imbalance bid_depth_10bps ask_depth_10bps bid_depth_50bps ask_depth_50bps", places=9)
 def l2_depth_bps(t):
     """Depth within bands of basis points around the mid."""
     return K.book_features(raw_books(t)).drop("bids", "asks", "ts", "exchange")
