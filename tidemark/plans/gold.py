@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators import features as T
+from tidemark.operators.grid import span_grid
+from tidemark.operators.resample import resample
+from tidemark.plans.contracts import GOLD, PREFIX
+
 KEYS = ["exchange", "symbol", "timestamp_m1"]
 
 
@@ -35,3 +42,56 @@ def _joined(out: DataFrame, name: str, df: DataFrame) -> DataFrame:
     flag = f"{name}_available"
     side = prefixed(df, name).withColumn(flag, F.lit(True))
     return out.join(side, KEYS, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
+
+
+def build(dataset: str, sources: dict[str, DataFrame], seconds: int = 60) -> DataFrame:
+    """A Gold table on the union grid of its required sources; coarser than a minute it is resampled.
+
+    sources: by name; time columns may be open_time, timestamp or timestamp_m1.  Absent optional sources add nothing
+    but their availability flag.
+    """
+    required, optional = GOLD[dataset]
+    if lacking := [s for s in required if s not in sources]:
+        raise KeyError(f"{dataset} needs {lacking}")
+    ready = {s: _ready(sources[s]) for s in (*required, *(o for o in optional if o in sources))}
+    grid = span_grid(reduce(DataFrame.unionByName, [ready[s].select(*KEYS) for s in required]), KEYS[:2], KEYS[2])
+    out = grid
+    for name in (*required, *optional):
+        flag = f"{name}_available"
+        if name not in ready:
+            out = out.withColumn(flag, F.lit(False))
+            continue
+        side = ready[name]
+        prefix = PREFIX[name]
+        side = prefixed(side, prefix) if prefix else side
+        fresh = [c for c in side.columns if c in KEYS or c not in out.columns]
+        out = out.join(side.select(*fresh).withColumn(flag, F.lit(True)), KEYS, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
+    return out if seconds == 60 else resample(out, KEYS[:2], KEYS[2], seconds)
+
+
+def _ready(df: DataFrame) -> DataFrame:
+    time = next(c for c in ("timestamp_m1", "open_time", "timestamp") if c in df.columns)
+    df = df.withColumnRenamed(time, "timestamp_m1")
+    df = df.withColumn("timestamp_m1", F.date_trunc("minute", "timestamp_m1").cast("timestamp_ntz"))
+    return df.drop("ingested_at", "source_endpoint")
+
+
+def with_strategy_features(gold: DataFrame) -> DataFrame:
+    """Regime table with momentum, cost, trend and reversion features."""
+    keys, ts, p, s = KEYS[:2], KEYS[2], "perp_close_price", "spot_ohlcv_close_price"
+    out = T.log_returns(gold, keys, ts, p, (1, 5, 15))
+    out = out.withColumnsRenamed({f"log_return_{n}": f"momentum_log_return_{n}m" for n in (1, 5, 15)})
+    scaled = {f"momentum_vol_scaled_{n}m": F.when(F.col("rv_1h") != 0, F.col(f"momentum_log_return_{n}m") / F.col("rv_1h")) for n in (5, 15)}
+    out = out.withColumns(scaled | {"cost_spot_perp_spread": F.when(F.col(s) != 0, F.col(p) / F.col(s)) - 1, "cost_turnover_notional_1m": F.col(p) * F.col("perp_volume")})
+    out = T.momentum(out, keys, ts, p, "perp_volume")
+    for n in (5, 15):
+        out = T.rolling_zscore(out, keys, ts, "cost_spot_perp_spread", 60 * n, f"reversion_spot_perp_spread_zscore_{n}m")
+    return T.half_life(T.ema(out, keys, ts, p), keys, ts, p)
+
+
+def with_targets(gold: DataFrame) -> DataFrame:
+    """Labels at one hour, four hours and a day from perp_close_price, rv_1h, iv_minus_rv_1h, iv_rv_zscore_1d, funding_rate_last_known."""
+    own = gold.withColumns({"funding": F.col("funding_rate_last_known"), "spread": F.col("iv_minus_rv_1h"), "z": F.col("iv_rv_zscore_1d")})
+    for name, rows in (("1h", 60), ("4h", 240), ("1d", 1440)):
+        own = T.forward_targets(own, KEYS[:2], KEYS[2], "perp_close_price", "rv_1h", rows, name)
+    return own.drop("funding", "spread", "z")
