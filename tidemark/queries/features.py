@@ -96,7 +96,7 @@ def row_window_features(t):
     return T.row_window_features(returns(t), K, "ts", "price", "r").select("symbol", "ts", "zscore_15", "rv_15", "zscore_60", "rv_60")
 
 
-@query("ema", f"WITH {SERIES_SQL} SELECT symbol, ts, list_reduce(list(price) OVER (PARTITION BY symbol ORDER BY ts ROWS BETWEEN 39 PRECEDING AND CURRENT ROW), lambda a, y: a + 0.5::DOUBLE * (y - a)) AS ema_3, list_reduce(list(price) OVER (PARTITION BY symbol ORDER BY ts ROWS BETWEEN 137 PRECEDING AND CURRENT ROW), lambda a, y: a + (2 / 11::DOUBLE) * (y - a)) AS ema_10 FROM series", "ema_3 ema_10", places=4)
+@query("ema", f"WITH {SERIES_SQL} SELECT symbol, ts, list_reduce(list(price) OVER (PARTITION BY symbol ORDER BY ts ROWS BETWEEN 39 PRECEDING AND CURRENT ROW), lambda a, y: a + 0.5::DOUBLE * (y - a)) AS ema_3, list_reduce(list(price) OVER (PARTITION BY symbol ORDER BY ts ROWS BETWEEN 137 PRECEDING AND CURRENT ROW), lambda a, y: a + (2 / 11::DOUBLE) * (y - a)) AS ema_10 FROM series", "ema_3 ema_10", places=12)
 def ema(t):
     """Exponential means of spans 3 and 10."""
     return T.ema(t.minute_series(), K, "ts", "price").select("symbol", "ts", "ema_3", "ema_10")
