@@ -182,6 +182,19 @@ def test_every_equal_window_has_an_equal_code():
     rng = np.random.default_rng(2)
     words = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
     shifted = np.concatenate([rng.integers(0, 1 << 63, 7, dtype=np.uint64), words[50:150], rng.integers(0, 1 << 63, 9, dtype=np.uint64)])
-    a, b = (substring_dedup.code_places(substring_dedup.window_hashes(x, substring_dedup.CODE)) for x in (words, shifted))
+    known = substring_dedup.Hashes()
+    at = []
+    for x in (words, shifted):
+        start = np.arange(len(x) - substring_dedup.CODE + 1)
+        at.append(substring_dedup.code_places(known.runs(known.sums(x), start, start + substring_dedup.CODE)))
     for i in range(81):
-        assert a[50 + i] - 50 == b[7 + i] - 7
+        assert at[0][50 + i] - 50 == at[1][7 + i] - 7
+
+
+def test_spans_partition_the_windows():
+    rng = np.random.default_rng(3)
+    texts = [[b"w%d" % x for x in rng.integers(0, 50, n)] for n in (0, 5, 19, 20, 21, 300, 64, 3)]
+    text, _, _, low, high, place = substring_dedup.spans(substring_dedup.Hashes(), texts)
+    seen = sorted((int(t), s) for t, a, b in zip(text, low, high) for s in range(a, b + 1))
+    assert seen == [(t, s) for t, words in enumerate(texts) for s in range(len(words) - 19)]
+    assert ((low <= place) & (place + substring_dedup.CODE <= high + 20)).all() and (high - low < 256).all()

@@ -3,20 +3,27 @@
 A repeat of ``WINDOW`` words is an internal node of the corpus's suffix tree at
 that depth or deeper.  The tree is never built as one:
 
-* Prefix counting.  A window's prefix code is its minimiser, the word k-gram
-  with the least hash in it: equal windows have equal codes, and neighbouring
-  windows mostly share theirs.  Codes that occur once can't lead to an internal
-  node and are dropped, which leaves the suffixes of repeated text.
-* Partition.  The suffixes left are split by variable-length prefixes: by code
-  and depth-8 prefix, and where that group would be large, by the whole window.
-  Each task gets many groups of bounded size.
+* Prefixes.  A window's prefix code is its minimiser, the word k-gram with the
+  least hash in it: equal windows have equal codes, and neighbouring windows
+  mostly share theirs, so the suffixes (window starts) of a text fall into a few
+  spans, each with one code.
+* Counting.  Spans meet by code.  A code that occurs once leads to no internal
+  node.  Where whole spans are equal, the least keeps its suffixes and the
+  others are repeats as wholes; if all spans of a code are equal, that settles
+  the code's subtree.
+* Partition.  The suffixes of the spans left (ends of repeats, edited copies)
+  are split by variable-length prefixes: by code and depth-8 prefix, and where
+  that group would be large, by the whole window.
 * Subtrees.  In a task the suffixes of a group are sorted; runs that agree to
   the depth of the window are the leaves of a deep internal node.  The least
   leaf (doc_id, then place) is the first occurrence; the others are repeats.
-  A node with more leaves than a task should hold is split by salt, and its
-  parts' least leaves meet once more.
 
-The words are hashed to 64 bits, windows to 64 bits beside the code's 64.
+Equal spans of one batch are merged before the shuffle, and a node with more
+leaves than a task should hold is split by salt, so that a passage in a third of
+all documents fills no single task.
+
+Words are hashed to 64 bits; a span or window agrees by 64 bits beside the 44 or
+more of its code.
 
 Edge cases: a null text has no words; texts shorter than a window keep all; a
 null doc_id comes before all others; of repeated rows with the same doc_id the
@@ -33,21 +40,22 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import documents, save
 
 WINDOW = 20
-#: Words of a prefix code; each window of WINDOW words holds SPAN of them.
-CODE = 6
+#: Words of a prefix code; each window of WINDOW words holds SPAN of them (a power of two).
+CODE = 5
 SPAN = WINDOW - CODE + 1
 #: Leaves of a node beyond this are split by salt.
 LEAVES = 1 << 14
-#: Words of a long text that are handled at a time, and distinct words that a task remembers.
-STEP, KNOWN = 1 << 16, 1 << 18
+#: Distinct words that a task remembers.
+KNOWN = 1 << 18
 
-_POWERS = [np.uint64(pow(0x9E3779B97F4A7C15, i, 1 << 64)) for i in range(WINDOW)]
+_BASE = 0x9E3779B97F4A7C15
+_TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -56,45 +64,79 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class _Words(dict):
-    """64-bit hashes of words."""
+class Hashes:
+    """Hashes of words, and of runs of words by differences of prefix sums."""
+
+    def __init__(self):
+        self.words: dict[bytes, int] = {}
+        self.powers = np.ones((2, 1), np.uint64)
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > KNOWN:
-            self.clear()
-        self[word] = found = xxhash.xxh64_intdigest(word, 1)
+    def _word(self, word: bytes) -> int:
+        found = self.words.get(word)
+        if found is None:
+            if len(self.words) > KNOWN:
+                self.words.clear()
+            found = self.words[word] = xxhash.xxh64_intdigest(word, 1)
         return found
 
-    def of(self, raw: bytes) -> np.ndarray:
-        words = raw.split()
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self._word, words), np.uint64, len(words))
 
+    def sums(self, hashes: np.ndarray) -> np.ndarray:
+        """Prefix sums of hash times power of its place; takes the powers along as far as needed."""
+        n = len(hashes) + 1
+        if self.powers.shape[1] < n:
+            rows = np.full((2, max(n, 1 << 16)), 1, np.uint64)
+            rows[0, 1:], rows[1, 1:] = _BASE, pow(_BASE, -1, 1 << 64)
+            self.powers = np.multiply.accumulate(rows, axis=1)
+        return np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * self.powers[0, : n - 1])])
 
-def window_hashes(words: np.ndarray, width: int) -> np.ndarray:
-    """Hashes of all runs of ``width`` words."""
-    n = len(words) - width + 1
-    if n < 1:
-        return np.empty(0, np.uint64)
-    total = np.zeros(n, np.uint64)
-    for i in range(width):
-        total += words[i : i + n] * _POWERS[i]
-    return _mix(total)
+    def runs(self, sums: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Hashes of the words from ``first`` to before ``last``."""
+        return _mix((sums[last] - sums[first]) * self.powers[1, first])
 
 
 def code_places(codes: np.ndarray) -> np.ndarray:
     """For each window, the place of its prefix code: the first least k-gram in it."""
-    n = len(codes) - SPAN + 1
-    if n < 1:
-        return np.empty(0, np.int64)
-    least, at = codes[:n].copy(), np.arange(n)
-    for i in range(1, SPAN):
-        other = codes[i : i + n]
-        less = other < least
-        least[less] = other[less]
-        at[less] = np.flatnonzero(less) + i
+    least, at, step = codes, np.arange(len(codes)), 1
+    while step < SPAN:
+        n = len(least) - step
+        if n < 1:
+            return np.empty(0, np.int64)
+        left = least[:n] <= least[step:]
+        least, at = np.where(left, least[:n], least[step:]), np.where(left, at[:n], at[step:])
+        step *= 2
     return at
 
 
+def spans(known: Hashes, texts: list[list[bytes]]) -> tuple[np.ndarray, ...]:
+    """Of all windows with one code place: number of text, code, hash of the whole span, first and last start, place."""
+    counts = np.fromiter(map(len, texts), np.int64, len(texts))
+    ends = np.cumsum(counts)
+    sums = known.sums(known.of([w for t in texts for w in t]))
+    n = int(ends[-1]) if len(ends) else 0
+    empty = np.empty(0, np.int64)
+    if n < WINDOW:
+        return empty, empty.astype(np.uint64), empty.astype(np.uint64), empty, empty, empty
+    start = np.arange(n - CODE + 1)
+    text = np.repeat(np.arange(len(texts)), counts)
+    codes = known.runs(sums, start, start + CODE)
+    codes[start + CODE > ends[text[start]]] = _TOP  # crosses into the next text
+    at = code_places(codes)
+    s = np.arange(len(at))
+    s = s[s + WINDOW <= ends[text[s]]]
+    at = at[s]
+    new = np.ones(len(s), bool)
+    new[1:] = (at[1:] != at[:-1]) | (text[s[1:]] != text[s[:-1]])
+    low = s[new]
+    high = s[np.concatenate([np.flatnonzero(new)[1:] - 1, [len(s) - 1]])] if len(s) else low
+    place = at[new]
+    shape = ((place - low) * 64 + (high - low)).astype(np.uint64)
+    whole = _mix(known.runs(sums, low, high + WINDOW) ^ _mix(shape))
+    base = (ends - counts)[text[low]]
+    return text[low], codes[place], whole, low - base, high - base, place - base
+
+
 def _pack(raw: bytes) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(raw)
 
@@ -111,22 +153,56 @@ def _rows(docs: DataFrame) -> DataFrame:
     )
 
 
-def prefix_codes(rows: DataFrame) -> DataFrame:
-    """code, row, place of every window's prefix code (each place once)."""
+def coded_spans(rows: DataFrame) -> DataFrame:
+    """code, whole, doc_id, row, at, known: a row per span; at = first start << 8 | number of further starts.
+
+    ``known``: an equal span comes earlier in the batch, so this one is a repeat.  Such rows get keys of their own.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Words()
+        known = Hashes()
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                part, found = batch.slice(i, 256), []
-                for row, text in zip(part.column(0).to_pylist(), part.column(2)):
-                    codes = window_hashes(known.of(text.as_py().encode("utf-8", "replace")), CODE)
-                    places = np.unique(code_places(codes))
-                    found.append((codes[places].view(np.int64), np.full(len(places), row), places.astype(np.int32)))
-                columns = [pa.array(np.concatenate([f[j] for f in found])) for j in range(3)]
-                yield pa.RecordBatch.from_arrays(columns, names=["code", "row", "place"])
-
-    return rows.mapInArrow(run, "code long, row long, place int")
+            found = []
+            order, row_no = batch.column(1).fill_null(-(1 << 63)).to_numpy(), batch.column(0).to_numpy()
+            for i in range(0, batch.num_rows, 128):
+                texts = [t.as_py().encode("utf-8", "replace").split() for t in batch.column(2).slice(i, 128)]
+                text, *more = spans(known, texts)
+                found.append((text + i, *more))
+            if not found:
+                continue
+            text, code, whole, low, high, _ = (np.concatenate(c) for c in zip(*found))
+            code = code >> np.uint64(20)
+            by = np.lexsort((low, row_no[text], order[text], whole, code))
+            same = np.zeros(len(by), bool)
+            same[1:] = (code[by][1:] == code[by][:-1]) & (whole[by][1:] == whole[by][:-1])
+            repeat = np.zeros(len(by), bool)
+            repeat[by] = same
+            own = _mix(row_no[text].astype(np.uint64) * np.uint64(_BASE) + low.astype(np.uint64))
+            code = np.where(repeat, own >> np.uint64(20), code)
+            columns = [
+                pa.array(code.view(np.int64)), pa.array(np.where(repeat, np.uint64(0), whole).view(np.int64)),
+                batch.column(1).take(pa.array(text)), pa.array(row_no[text]), pa.array(low << 8 | (high - low)), pa.array(repeat),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["code", "whole", "doc_id", "row", "at", "known"])
+
+    return rows.mapInArrow(run, "code long, whole long, doc_id long, row long, at long, known boolean")
+
+
+def settle(coded: DataFrame) -> DataFrame:
+    """row, at, leaves of spans that are repeats (leaves 0) or whose suffixes need a subtree (leaves: spans of the code)."""
+    group = Window.partitionBy("code")
+    ordered = group.orderBy("whole", F.col("doc_id").asc_nulls_first(), "row", "at")
+    there = F.when(~F.col("known"), F.col("whole"))
+    seen = coded.select(
+        "row", "at", "known",
+        F.count(there).over(group).alias("n"),
+        (F.min(there).over(group) < F.max(there).over(group)).alias("differ"),
+        F.coalesce((F.lag("whole").over(ordered) == F.col("whole")) & ~F.lag("known").over(ordered), F.lit(False)).alias("again"),
+    )
+    repeat = F.col("known") | F.col("again")
+    return seen.where(repeat | F.col("differ")).select(
+        "row", "at", F.when(repeat, 0).otherwise(F.col("n")).cast("long").alias("leaves")
+    )
 
 
 def _packed(rows: DataFrame) -> DataFrame:
@@ -140,27 +216,39 @@ def _packed(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "row long, doc_id long, packed binary")
 
 
-def _kept(words: list[bytes], keep: np.ndarray | None = None) -> tuple[int, int, str]:
-    kept = words if keep is None else [w for w, k in zip(words, keep.tolist()) if k]
+def _kept(words: list[bytes], change: np.ndarray | None = None) -> tuple[int, int, str]:
+    """n_words, n_removed, digest; ``change``: how many more windows cover each word than the one before."""
+    kept = words if change is None else [w for w, k in zip(words, (np.cumsum(change)[:-1] == 0).tolist()) if k]
     return len(words), len(words) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()
 
 
+def _cover(n: int, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Changes in cover by windows that start from ``low`` to ``high``."""
+    change = np.zeros(n + 1, np.int64)
+    np.add.at(change, low, 1)
+    np.add.at(change, high + WINDOW, -1)
+    return change
+
+
 _SPLIT = (
-    "kind int, row long, doc_id long, group long, window long, place int, leaves long,"
-    " packed binary, n_words long, n_removed long, kept_sha256 string"
+    "kind int, row long, doc_id long, group int, window long, place int, leaves long,"
+    " packed binary, repeats array<long>, n_words long, n_removed long, kept_sha256 string"
 )
-_SPLIT_TYPES = [pa.int32(), *[pa.int64()] * 4, pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.string()]
 _SPLIT_NAMES = [x.split()[0] for x in _SPLIT.split(", ")]
+_SPLIT_TYPES = [
+    pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(),
+    pa.binary(), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.string(),
+]
 
 
 def _suffixes(texts: DataFrame) -> DataFrame:
-    """Kind 0: results of documents without candidates.  1: candidate suffixes.  2: texts that have some.
+    """Kind 0: results of documents that are settled.  1: suffixes for subtrees.  2: the texts that have some.
 
-    texts: row, doc_id, packed, places (list of the repeated codes' places), counts (how often each occurs).
+    texts: row, doc_id, packed, at (list of spans), leaves (list of their numbers, 0 for repeats).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Words()
+        known = Hashes()
         for batch in batches:
             for i in range(0, batch.num_rows, 64):
                 part = batch.slice(i, 64)
@@ -171,35 +259,35 @@ def _suffixes(texts: DataFrame) -> DataFrame:
                         fixed[n].append(values.get(n))
 
                 arrays = []
-                for row, doc_id, packed, places, counts in zip(*(c.to_pylist() for c in part.columns)):
-                    raw = _unpack(packed)
-                    starts = np.empty(0, np.int64)
-                    if places:
-                        words = known.of(raw)
-                        at = code_places(window_hashes(words, CODE))
-                        often = np.zeros(len(words), np.int64)
-                        often[places] = counts
-                        starts = np.flatnonzero(often[at] > 1)
-                    if not len(starts):
-                        n, gone, sha = _kept(raw.split())
-                        put(kind=0, row=row, doc_id=doc_id, n_words=n, n_removed=gone, kept_sha256=sha)
+                for row, doc_id, packed, at, leaves in zip(*(c.to_pylist() for c in part.columns)):
+                    words = _unpack(packed).split()
+                    at, leaves = np.array(at or [], np.int64), np.array(leaves or [], np.int64)
+                    low, more = at >> 8, at & 255
+                    gone = leaves == 0
+                    if gone.all():
+                        change = _cover(len(words), low, low + more) if len(at) else None
+                        n, removed, sha = _kept(words, change)
+                        put(kind=0, row=row, doc_id=doc_id, n_words=n, n_removed=removed, kept_sha256=sha)
                         continue
-                    put(kind=2, row=row, doc_id=doc_id, packed=packed)
-                    codes, whole = window_hashes(words, CODE), window_hashes(words, WINDOW)
-                    short = window_hashes(words, 8)[starts]
-                    leaves = often[at[starts]]
-                    deep = np.where(leaves > LEAVES, whole[starts], short)
-                    group = _mix(codes[at[starts]] ^ _mix(deep))
-                    arrays.append((row, doc_id, group.view(np.int64), whole[starts].view(np.int64), starts, leaves))
+                    put(kind=2, row=row, doc_id=doc_id, packed=packed, repeats=at[gone].tolist())
+                    low, more, leaves = low[~gone], more[~gone], leaves[~gone]
+                    n = more + 1
+                    starts = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                    often = np.repeat(leaves, n)
+                    sums = known.sums(known.of(words))
+                    window = known.runs(sums, starts, starts + WINDOW)
+                    prefix = known.runs(sums, starts, starts + 8)
+                    group = np.where(often > LEAVES, _mix(window), prefix) >> np.uint64(33)
+                    arrays.append((row, doc_id, group.astype(np.int32), window.view(np.int64), starts, often))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(fixed[n], t) for n, t in zip(_SPLIT_NAMES, _SPLIT_TYPES)], names=_SPLIT_NAMES
                 )
-                for row, doc_id, group, window, starts, leaves in arrays:
+                for row, doc_id, group, window, starts, often in arrays:
                     n = len(starts)
                     columns = [
                         pa.array(np.ones(n, np.int32)), pa.array(np.full(n, row)),
                         pa.nulls(n, pa.int64()) if doc_id is None else pa.array(np.full(n, doc_id)),
-                        pa.array(group), pa.array(window), pa.array(starts.astype(np.int32)), pa.array(leaves),
+                        pa.array(group), pa.array(window), pa.array(starts.astype(np.int32)), pa.array(often),
                         *[pa.nulls(n, t) for t in _SPLIT_TYPES[7:]],
                     ]
                     yield pa.RecordBatch.from_arrays(columns, names=_SPLIT_NAMES)
@@ -207,9 +295,6 @@ def _suffixes(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, _SPLIT)
 
 
-_LEAF = "group long, window long, doc_id long, row long, place int, leaves long"
-
-
 def _repeats(leaves: DataFrame, keys: list[str]) -> DataFrame:
     """The leaves of each subtree's deep nodes, each with whether it is the node's least.
 
@@ -237,18 +322,17 @@ def _repeats(leaves: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _removed(texts: DataFrame) -> DataFrame:
-    """Results of documents with candidates.  texts: row, doc_id, packed, places (of repeated windows)."""
+    """Results of documents that had suffixes in subtrees.  texts: doc_id, packed, repeats (spans), places (windows)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc_id, packed, places in zip(*(c.to_pylist() for c in batch.columns)):
+            for doc_id, packed, repeats, places in zip(*(c.to_pylist() for c in batch.columns)):
                 words = _unpack(packed).split()
-                change = np.zeros(len(words) + 1, np.int64)
-                starts = np.array(places or [], np.int64)
-                np.add.at(change, starts, 1)
-                np.add.at(change, starts + WINDOW, -1)
-                rows.append((doc_id, *_kept(words, np.cumsum(change)[:-1] == 0)))
+                at, single = np.array(repeats or [], np.int64), np.array(places or [], np.int64)
+                low = np.concatenate([at >> 8, single])
+                high = np.concatenate([(at >> 8) + (at & 255), single])
+                rows.append((doc_id, *_kept(words, _cover(len(words), low, high))))
             types = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
             columns = [pa.array([r[j] for r in rows], t) for j, t in enumerate(types)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "n_removed", "kept_sha256"])
@@ -259,14 +343,9 @@ def _removed(texts: DataFrame) -> DataFrame:
 def substring_dedup(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_removed, kept_sha256."""
     rows = _rows(docs)
-    codes = prefix_codes(rows)
-    # Counts are pre-aggregated before the shuffle; the join deals a frequent code over tasks.
-    often = codes.groupBy("code").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    marked = codes.join(often, "code").groupBy("row").agg(
-        F.collect_list(F.struct("place", "n")).alias("marks")
-    )
+    marked = settle(coded_spans(rows)).groupBy("row").agg(F.collect_list(F.struct("at", "leaves")).alias("marks"))
     texts = _packed(rows).join(marked, "row", "left").select(
-        "row", "doc_id", "packed", F.col("marks.place").alias("places"), F.col("marks.n").alias("counts")
+        "row", "doc_id", "packed", F.col("marks.at").alias("at"), F.col("marks.leaves").alias("leaves")
     )
     split = save(_suffixes(texts), "suffixes")
     leaves = split.where("kind = 1").select("group", "window", "doc_id", "row", "place", "leaves")
@@ -274,8 +353,7 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     large = leaves.where(F.col("leaves") > LEAVES).withColumn(
         "salt", F.pmod(F.xxhash64("row"), F.ceil(F.col("leaves") / LEAVES))
     ).drop("leaves")
-    first = _repeats(large, ["group", "salt", "window"])
-    firsts = save(first, "salted-nodes")
+    firsts = save(_repeats(large, ["group", "salt", "window"]), "salted-nodes")
     again = _repeats(firsts.where("least").drop("least", "salt"), ["group", "window"])
     repeats = (
         _repeats(small, ["group", "window"]).where("NOT least").select("row", "place")
@@ -283,9 +361,9 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
         .unionByName(again.where("NOT least").select("row", "place"))
     )
     places = repeats.groupBy("row").agg(F.collect_list("place").alias("places"))
-    affected = split.where("kind = 2").select("row", "doc_id", "packed").join(places, "row", "left")
+    pending = split.where("kind = 2").select("row", "doc_id", "packed", "repeats").join(places, "row", "left")
     done = split.where("kind = 0").select("doc_id", "n_words", "n_removed", "kept_sha256")
-    return done.unionByName(_removed(affected.select("doc_id", "packed", "places")))
+    return done.unionByName(_removed(pending.select("doc_id", "packed", "repeats", "places")))
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
