@@ -65,6 +65,4 @@ OPTION_NAME = r"^([A-Z0-9#]+)-(\d{1,2}[A-Z]{3}\d{2})-(\d+(?:\.\d+)?)-([CP])$"
 def option_parts(name: Column) -> dict[str, Column]:
     """underlying, expiry, strike, option_type; null where the name or a part isn't valid."""
     part = lambda i: empty_to_null(F.regexp_extract(name, OPTION_NAME, i))
-    day = F.regexp_replace(F.initcap(part(2)), r"^(\d+)([a-z]{3})", "$1$2")
-    expiry = F.try_to_date(F.concat(F.regexp_extract(day, r"^\d+", 0), F.initcap(F.regexp_extract(day, "[A-Za-z]{3}", 0)), F.substring(day, -2, 2)), "dMMMyy")
-    return {"underlying": part(1), "expiry": expiry, "strike": part(3).cast("double"), "option_type": part(4)}
+    return {"underlying": part(1), "expiry": F.try_to_date(part(2), "dMMMyy"), "strike": part(3).cast("double"), "option_type": part(4)}

@@ -13,7 +13,7 @@ from tidemark.operators.bars import KEYS
 from tidemark.operators.grid import month_grid, span_grid
 from tidemark.plans.registry import query
 from tidemark.queries.trades import BARS_SQL, GRID_SQL, bars
-from tidemark.sources.tables import PERP_SQL, QUOTES_SQL, SPOT_SQL, TWICE_SQL
+from tidemark.sources.tables import PERP_SQL, QUOTES_SQL, SPOT_SQL
 
 MONTH_SQL = QUOTES_SQL + """, grid AS (
   SELECT symbol, unnest(generate_series(date_trunc('month', min(ts))::TIMESTAMP, date_trunc('hour', max(ts))::TIMESTAMP, INTERVAL 1 HOUR)) AS ts

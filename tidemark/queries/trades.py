@@ -9,7 +9,7 @@ from tidemark.operators import bars as B
 from tidemark.operators import dedup as D
 from tidemark.operators.grid import span_grid
 from tidemark.plans.registry import query
-from tidemark.sources.tables import PERP_SQL, QUOTES_SQL, SERIES_SQL, SPOT_SQL, TICKS_SQL, TWICE_SQL
+from tidemark.sources.tables import PERP_SQL, QUOTES_SQL, SPOT_SQL, TICKS_SQL, TWICE_SQL
 
 VALID = "price > 0 AND quantity > 0 AND isfinite(price) AND isfinite(quantity) AND trade_time IS NOT NULL AND symbol <> ''"
 BARS_SQL = TICKS_SQL + f""", bars AS (
