@@ -39,6 +39,18 @@ def save(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def row_of(docs: DataFrame) -> Column:
+    """A row number that every scan of ``docs`` gives alike, if it is a file scan.
+
+    Files are split by size and by the cores at hand; a lost executor would change the latter between two scans,
+    so the number of splits is pinned for the session where it isn't set.
+    """
+    spark, name = docs.sparkSession, "spark.sql.files.minPartitionNum"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(max(1, spark.sparkContext.defaultParallelism)))
+    return F.monotonically_increasing_id()
+
+
 def broadcast_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast if a count shows at most ``limit`` rows.
 

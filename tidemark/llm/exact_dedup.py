@@ -19,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ascii_lower, broadcast_small, shared_dir
+from tidemark.llm.common import ascii_lower, broadcast_small, documents, row_of, shared_dir
 
 _STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": (
@@ -94,7 +94,7 @@ def exact_dedup(
     path = shared_dir(spark, "exact-fingerprints")
     docs.select(
         docs["doc_id"].cast("long").alias("doc_id"),
-        F.monotonically_increasing_id().alias("locator"),
+        row_of(docs).alias("locator"),
         digest(text).alias("digest"),
     ).write.parquet(path)
     prints = spark.read.parquet(path)
@@ -132,7 +132,7 @@ def exact_dedup(
     told = (
         docs.select(
             docs["doc_id"].cast("long").alias("doc_id"),
-            F.monotonically_increasing_id().alias("locator"),
+            row_of(docs).alias("locator"),
             digest(text).alias("digest"),
             text.alias("body"),
         )
@@ -164,8 +164,6 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
 
 
 def op7_exact_dedup(spark, sf_dir):
-    from tidemark.llm.common import documents
-
     return exact_dedup(documents(spark, sf_dir)).select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
     )

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import broadcast_small, documents, save
+from tidemark.llm.common import broadcast_small, documents, row_of, save
 from tidemark.llm.components import components
 
 SEED = 42
@@ -117,7 +117,7 @@ def fingerprints(docs: DataFrame, words: int, sketch: bool = False) -> DataFrame
             yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in schema.split(", ")])
 
     slim = docs.select(
-        F.monotonically_increasing_id().alias("row"),
+        row_of(docs).alias("row"),
         docs["doc_id"].cast("long").alias("doc_id"),
         F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"),
     )
@@ -317,7 +317,7 @@ def keep_one_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8) -
     lost = save(
         members.join(first, "root").where("id <> first.id").select(F.col("id").alias("__row")), "near-copies"
     )
-    rows = docs.withColumn("__row", F.monotonically_increasing_id())
+    rows = docs.withColumn("__row", row_of(docs))
     return rows.join(broadcast_small(lost), "__row", "left_anti").select(*docs.columns)
 
 

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, broadcast_small, documents, save, word_count
+from tidemark.llm.common import WORD, broadcast_small, documents, row_of, save, word_count
 
 PHI = 0.6180339887498949
 
@@ -41,7 +41,7 @@ def sized_rows(docs: DataFrame) -> DataFrame:
     """doc_id, source, size and a row number, saved: the text is read once."""
     return save(
         docs.select(
-            F.monotonically_increasing_id().alias("row"),
+            row_of(docs).alias("row"),
             docs["doc_id"].alias("doc_id"),
             docs["source"].cast("string").alias("source"),
             word_count(docs["text"].cast("string")).alias("size"),
@@ -188,7 +188,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     taken = pieces.groupBy("row", "epoch", "size").agg(
         F.sum("words").alias("words"), F.min("slot").alias("slot"), F.min_by("at", "slot").alias("at")
     )
-    rows = docs.withColumn("__row", F.monotonically_increasing_id())
+    rows = docs.withColumn("__row", row_of(docs))
     slim = taken.select(
         F.col("row").alias("__row"), F.col("words").alias("__words"), F.col("size").alias("__size"),
         F.col("slot").alias("__slot"), F.col("at").alias("__at"),

@@ -43,7 +43,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, save
+from tidemark.llm.common import documents, row_of, save
 
 WINDOW = 20
 #: Words of a prefix code; each window of WINDOW words holds SPAN of them (a power of two).
@@ -147,7 +147,7 @@ def _unpack(packed: bytes) -> bytes:
 
 def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(
-        F.monotonically_increasing_id().alias("row"),
+        row_of(docs).alias("row"),
         docs["doc_id"].cast("long").alias("doc_id"),
         F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"),
     )
