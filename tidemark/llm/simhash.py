@@ -179,7 +179,7 @@ def spanning_links(
         n = held[node]
         other = by_print[np.repeat(start[node] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
         mine = np.repeat(mine + at, n)
-        open_ = (other < mine) & (root[mine] != root[other])
+        open_ = root[mine] != root[other]
         mine, other = mine[open_], other[open_]
         for i in range(0, len(mine), 1 << 15):
             a, b = mine[i : i + (1 << 15)], other[i : i + (1 << 15)]
@@ -196,6 +196,8 @@ def spanning_links(
                     root = up
                 apart = root[a] != root[b]
                 a, b = a[apart], b[apart]
+        if not root.any():  # all are linked to the first
+            break
     return root
 
 
