@@ -20,6 +20,8 @@ nothing but the rows.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,8 +32,8 @@ PHI = 0.6180339887498949
 #: Slots of a chunk are ranked together, chunks by prefix sums.
 CHUNK = 1 << 14
 
-#: A bucket of the shuffled order holds about so many documents.
-BUCKET_DOCS = 1 << 14
+#: A bucket of the shuffled order holds about so many documents of the largest source, or their square root if more.
+BUCKET_DOCS = 1 << 11
 
 #: Cells of [0, 1) by which slots meet the sources.
 CELLS = 1 << 12
@@ -87,7 +89,7 @@ def targets(sized: DataFrame, weights=(3, 1, 2), share: float = 1.5, epochs: int
 def _positions(sized: DataFrame, sources: DataFrame, seed: int) -> DataFrame:
     """row, source_no, size and the place of the row's words in its source's shuffled stream."""
     largest = sources.agg(F.max("n")).first()[0] or 0
-    buckets = max(1, -(-largest // BUCKET_DOCS))
+    buckets = max(1, -(-largest // max(BUCKET_DOCS, math.isqrt(largest))))
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).cast("binary"))
     bucket = F.floor(F.conv(F.substring("key", 1, 8), 16, 10).cast("double") / float(1 << 32) * buckets)
     rows = (
