@@ -51,6 +51,16 @@ def row_of(docs: DataFrame) -> Column:
     return F.monotonically_increasing_id()
 
 
+def text_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Hand texts to Python in smaller batches than rows of numbers, unless the session sets a size of its own.
+
+    The default of 10,000 rows would hold tens of megabytes of text in each task, on both sides.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(rows))
+
+
 def broadcast_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast if a count shows at most ``limit`` rows.
 

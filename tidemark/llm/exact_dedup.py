@@ -26,7 +26,10 @@ _STATE_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64",
+    # Many small stores share an executor: small buffers, and stores of ended streams go soon.
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "2",
+    "spark.sql.streaming.stateStore.maintenanceInterval": "10s",
     # State is dealt over many partitions; none needs disk set aside for it.
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }

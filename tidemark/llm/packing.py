@@ -22,15 +22,15 @@ import re
 import string
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents
+from tidemark.llm.common import documents, text_batches
 
 SIZE = 4096
 END = 2
@@ -40,7 +40,7 @@ SENTENCE, INSIDE = 2, 12
 GAP = 64
 #: Windows that a task plans at a time.
 AHEAD = 64
-#: Distinct words whose ids a worker remembers before it starts anew.
+#: Distinct words whose ids a task remembers before it starts anew.
 CACHE = 500_000
 
 _SPACE = re.compile(r"[\x20\x09-\x0D]+")
@@ -73,34 +73,42 @@ class ChunkEncoder:
         self.clear()
 
     def clear(self) -> None:
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces: dict[str, bytes] = {}  # little-endian 16-bit ids
         self.index: dict[str | None, int] = {None: 0}
         self.table, self.starts, self.lengths = np.array([END], np.uint16), np.zeros(1, np.int64), np.ones(1, np.int64)
 
-    def _word(self, word: str) -> list[int]:
-        if word.isascii() and "<|" not in word:
-            parts = _PIECES.findall(word.lower())
+    def _parts(self, word: str) -> list[str] | None:
+        """The pieces of a word in normal form; None where that isn't plain."""
+        ascii_ = word.isascii()
+        text = word.lower() if ascii_ else unicodedata.normalize("NFC", word).lower()
+        if text.isalpha():
+            parts = [text]
+        elif text[-1] in _PLAIN_END and text[:-1].isalpha():
+            parts = [text[:-1], text[-1]]
         else:
-            text = unicodedata.normalize("NFC", word).lower()
-            end = len(text) - (text[-1] in _PLAIN_END)
-            if not text[:end].isalpha() or "\u03a3" in word or "\u0130" in word:
-                return self.full.encode(word, add_special_tokens=False).ids
-            parts = [text[:end], text[end:]] if end < len(text) else [text]
-        ids: list[int] = []
+            return _PIECES.findall(text) if ascii_ and "<|" not in word else None
+        # Capitals whose lower case depends on context or isn't a letter.
+        return None if not ascii_ and ("\u03a3" in word or "\u0130" in word) else parts
+
+    def _word(self, word: str) -> bytes:
+        parts = self._parts(word)
+        if parts is None:
+            return array("H", self.full.encode(word, add_special_tokens=False).ids).tobytes()
+        found = []
         for part in parts:
             own = self.pieces.get(part)
             if own is None:
                 spelt = part if part.isascii() and part.isprintable() else part.encode().decode("latin-1").translate(_BYTE_NAMES)
-                own = self.pieces[part] = [t.id for t in self.model.tokenize(spelt)]
-            ids += own
-        return ids
+                own = self.pieces[part] = array("H", [t.id for t in self.model.tokenize(spelt)]).tobytes()
+            found.append(own)
+        return found[0] if len(found) == 1 else b"".join(found)
 
     def _learn(self, new: list[str]) -> None:
         found = [self._word(w) for w in new]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 2
         at = len(self.table)
         self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
-        self.table = np.concatenate([self.table, np.fromiter(chain.from_iterable(found), np.uint16, int(sizes.sum()))])
+        self.table = np.concatenate([self.table, np.frombuffer(b"".join(found), np.uint16)])
         self.starts = np.concatenate([self.starts, at + np.cumsum(sizes) - sizes])
         self.lengths = np.concatenate([self.lengths, sizes])
 
@@ -113,8 +121,10 @@ class ChunkEncoder:
             chunks += own
             chunks.append(None)
             counts.append(len(own) + 1)
-        if max(len(self.index), len(self.pieces)) > CACHE:
+        if len(self.index) > CACHE:
             self.clear()
+        if len(self.pieces) > CACHE // 2:
+            self.pieces.clear()
         new = set(chunks).difference(self.index)
         if new:
             self._learn(list(new))
@@ -262,7 +272,9 @@ def pack(docs: DataFrame, vocabulary: str) -> DataFrame:
                     yield shard.pieces(False)
         if shard is not None and (rest := shard.pieces(True)):
             yield rest
+        known.clear()  # the worker may serve other stages next
 
+    text_batches(docs.sparkSession)
     return docs.select(
         F.spark_partition_id().cast("long").alias("shard"),
         docs["doc_id"].cast("long").alias("doc_id"),

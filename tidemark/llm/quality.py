@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, save
+from tidemark.llm.common import documents, save, text_batches
 
 SAMPLE = 60_000
 FIT_PARTITIONS = 16
@@ -121,6 +121,7 @@ def stats_of(docs: DataFrame) -> DataFrame:
                 [batch.column(0), pa.array(found, pa.list_(pa.float64()))], names=["doc_id", "stats"]
             )
 
+    text_batches(docs.sparkSession)
     slim = docs.select(
         docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text")
     )

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import broadcast_small, documents, row_of, save
+from tidemark.llm.common import broadcast_small, documents, row_of, save, text_batches
 from tidemark.llm.components import components
 
 SEED = 42
@@ -116,6 +116,7 @@ def fingerprints(docs: DataFrame, words: int, sketch: bool = False) -> DataFrame
                 columns += [pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in schema.split(", ")])
 
+    text_batches(docs.sparkSession)
     slim = docs.select(
         row_of(docs).alias("row"),
         docs["doc_id"].cast("long").alias("doc_id"),
