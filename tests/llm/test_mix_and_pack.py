@@ -73,6 +73,18 @@ def test_mixed_documents_hold_what_the_mix_takes(docs_of, hard_rows):
     assert sorted(map(repr, again.collect())) == sorted(map(repr, out.collect()))
 
 
+def test_small_sources_lose_no_words(docs_of):
+    """Sources of a few words, and the null source, beside a million words: each has a slot for every block."""
+    small = [(2000 + i, "w " * 5, f"s{i}") for i in range(6)] + [(3000, "w " * 7, None)]
+    docs = docs_of([(i, "w " * 1000, "a") for i in range(1000)] + small, clash=False)
+    sized, sources, pieces = mixed(docs)
+    got = {r.source: r.words for r in pieces.join(sized.select("row", "source"), "row").groupBy("source").agg({"words": "sum"}).withColumnRenamed("sum(words)", "words").collect()}
+    take = {r.source: r.take for r in sources.collect()}
+    assert got == take and len(take) == 8 and take["s0"] == 10
+    assert pieces.select("slot").distinct().count() == sum(-(-t // 128) for t in take.values())
+    assert {d for d, *_ in small} <= {r.doc_id for r in source_mix.mixed_documents(docs).collect()}
+
+
 def test_mix_of_empty_tables(docs_of):
     for rows in ([], [(1, None), (2, "")]):
         docs = docs_of(rows)

@@ -7,7 +7,9 @@ level * weight) at the one level where the targets add up.
 
 Schedule: slot t holds the golden-ratio point frac((t + 1/2) * phi), which the
 cumulative targets map to a source; a slot's rank among its source's slots is
-the number of the block of ``block`` words that it takes.  The documents of a
+the number of the block of ``block`` words that it takes.  Blocks that the
+schedule leaves out (a small source may meet no point) follow at its end, so
+each source has a slot for every block.  The documents of a
 source lie shuffled (by MD5 of seed and doc_id) in a stream, again for each
 epoch, and the stream is cut in blocks of equal words.  A source's last block
 ends at its target; later slots of that source are void.
@@ -144,13 +146,27 @@ def schedule(spark: SparkSession, sources: DataFrame, block: int) -> DataFrame:
     earlier = Window.partitionBy("source_no").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     base = counts.select("source_no", "chunk", F.coalesce(F.sum("c").over(earlier), F.lit(0)).alias("base"))
     inside = Window.partitionBy("source_no", "chunk").orderBy("slot")
-    return (
+    ranked = (
         drawn.withColumn("nth", F.row_number().over(inside))
         .join(base, ["source_no", "chunk"])
         .withColumn("block_no", F.col("base") + F.col("nth") - 1)
         .where(F.col("block_no") * block < F.col("take"))
         .select("slot", "source_no", "block_no")
     )
+    # A source's drawn blocks are its first ones, so those it still needs are the rest.
+    missed = (
+        sources.where("take > 0")
+        .select("source_no", F.ceil(F.col("take") / block).alias("need"))
+        .join(counts.groupBy("source_no").agg(F.sum("c").alias("have")), "source_no", "left")
+        .withColumn("have", F.coalesce("have", F.lit(0)))
+        .withColumn("missed", F.greatest(F.col("need") - F.col("have"), F.lit(0)))
+        .withColumn("slot", slots + F.coalesce(F.sum("missed").over(before), F.lit(0)))
+        .where("missed > 0")
+        .select("slot", "source_no", "have", F.posexplode(F.sequence(F.col("have"), F.col("need") - 1)))
+    )
+    return ranked.unionByName(
+        missed.select((F.col("slot") + F.col("pos")).alias("slot"), "source_no", F.col("col").alias("block_no"))
+    )
 
 
 def mix(sized: DataFrame, sources: DataFrame, block: int = 128, epochs: int = 2, seed: int = 42) -> DataFrame:
