@@ -1,5 +1,7 @@
 import hashlib
 import re
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -41,6 +43,22 @@ def test_token_efficiency_finds_random_strings_only():
     assert secret_scan.scan_text(SECRETS[8], encoding)[1] == [(2, 3, 30)]
 
 
+def test_identifiers_match_in_linear_time():
+    """In a process of its own, as a match can't be interrupted."""
+    code = "from tidemark.llm.secret_scan import IDENTIFIER as I; print([bool(I.fullmatch(t)) for t in ('a' * 60 + '1a', 'a' * 60 + 'B', 'Ab' * 50_000 + '1-', 'aB_' * 50_000 + '.', 'abcDefGhi12', 'and_snake-2024_someCamelCase', 'a1b')])"
+    said = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=60)
+    assert said.stdout.strip() == "[False, False, False, False, True, True, False]", said.stderr
+
+
+def test_random_letters_of_one_case_are_found():
+    encoding = secret_scan._encoding(secret_scan.default_vocabulary())
+    found = lambda t: secret_scan.scan_text(t, encoding)[1]
+    assert found("qzxjvkwpfhgtrbnmlcdsyeuaioqz") == [(0, 3, 28)] and found("key QZXJVKWPFHGTRBNMLCDSYEUAIOQZ") == [(4, 3, 32)]
+    assert found("the_value_of/qzxjvkwpfhgtrbnmlcdsyeuaioqz_2024") == [(0, 3, 46)]
+    for t in ("internationalizationOfEverything", "thequickbrownfoxjumpsoverthelazydog", "some_long_path/to_the_following_place"):
+        assert not found(t)
+
+
 def test_empty_tables(docs_of):
     empty = docs_of([])
     assert secret_scan.secret_scan(empty, secret_scan.default_vocabulary()).count() == 0

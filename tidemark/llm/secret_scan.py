@@ -5,7 +5,8 @@ them, every maximal run of key characters is measured: text that a BPE
 vocabulary knows takes few tokens, random strings take many, so a low ratio of
 characters per token exposes them.  Known digests (hex of MD5, SHA-1, SHA-2
 lengths, UUIDs) and identifiers (letters only, snake or camel case, numbers,
-dates) are excluded first.
+dates) are excluded first, unless they hold letters alone in a part as long as
+a measured run whose own ratio is low.
 
 Edge cases: a null text is empty and has no spans; ties in start are in the
 order of the kinds; texts of any length are scanned whole; repeated rows are
@@ -50,8 +51,10 @@ DIGEST = re.compile(
     r"(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}|[0-9a-fA-F]{96}|[0-9a-fA-F]{128}"
     r"|[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12})"
 )
-#: Identifiers: parts of letters in one case pattern, or digits, joined by one separator each.
-IDENTIFIER = re.compile(r"[_/=+-]*(?:(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+)[_/=+-]+)*(?:(?:[A-Z]?[a-z]{2,})+[0-9]*|[A-Z]+|[0-9]+)[_/=+-]*")
+#: Identifiers: parts of letters in one case pattern, or digits, joined by separators.  Each text has one way to match.
+IDENTIFIER = re.compile(r"[_/=+-]*(?:(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+)[_/=+-]+)*(?:[A-Z]?[a-z]{2,}(?:[A-Z][a-z]{2,})*[0-9]*|[A-Z]+|[0-9]+)[_/=+-]*")
+#: Letters alone, longer than words are: measured also in an identifier.
+LETTERS = re.compile(r"[A-Za-z]{%d,}" % LEAST)
 
 #: A run with fewer characters per token than this is taken for random.
 RATIO = 2.0
@@ -77,6 +80,12 @@ def key_runs(raw: bytes) -> Iterator[tuple[int, str]]:
         yield a - int(np.count_nonzero((data[:a] & 0xC0) == 0x80)), raw[a:b].decode("ascii")
 
 
+def is_random(run: str, encoding, ratio: float) -> bool:
+    """Whether a run that is no known digest takes many tokens; of an identifier, one of its long parts."""
+    parts = LETTERS.findall(run) if IDENTIFIER.fullmatch(run) else [run]
+    return any(len(x) < ratio * len(encoding.encode_ordinary(x)) for x in parts)
+
+
 def scan_text(text: str, encoding, ratio: float = RATIO) -> tuple[list, list]:
     """Base spans and added ones, each (start, kind number, end), in order."""
     raw = text.encode("utf-8", "replace")
@@ -87,9 +96,8 @@ def scan_text(text: str, encoding, ratio: float = RATIO) -> tuple[list, list]:
     for at, run in key_runs(raw):
         base += [(at + m.start(), 1, at + m.end()) for m in ACCESS.finditer(run)]
         base += [(at + m.start(), 2, at + m.end()) for m in HEX.finditer(run)]
-        if len(run) >= LEAST and not DIGEST.fullmatch(run) and not IDENTIFIER.fullmatch(run):
-            if len(run) < ratio * len(encoding.encode_ordinary(run)):
-                more.append((at, 3, at + len(run)))
+        if len(run) >= LEAST and not DIGEST.fullmatch(run) and is_random(run, encoding, ratio):
+            more.append((at, 3, at + len(run)))
     return sorted(base), more
 
 
