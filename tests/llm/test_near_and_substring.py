@@ -118,6 +118,15 @@ def test_similar_texts_leave_one(docs_of, hard_rows):
     assert [d for d in ids if d in (3, 4, 5)] and ids.count(7) + ids.count(8) == 1
 
 
+def test_repeated_lines_do_not_hide_copies(docs_of):
+    """Equal sets of shingles, but for the line's seams, with the line once or 100 times."""
+    rows = []
+    for g in range(10):
+        line, rest = [f"l{g}x{i}" for i in range(9)], [f"g{g}w{i}" for i in range(500)]
+        rows += [(2 * g, " ".join(rest + line * 2)), (2 * g + 1, " ".join(rest + line * 100))]
+    assert sorted(r.doc_id for r in simhash.keep_one_of_each(docs_of(rows)).collect()) == list(range(0, 20, 2))
+
+
 def test_empty_tables(docs_of):
     prints = simhash.fingerprints(docs_of([]), 3)
     assert simhash.fingerprint_components(prints.select("doc_id", "fingerprint")).count() == 0

@@ -18,7 +18,8 @@ Links by similarity (``similar_components``) serve texts whose fingerprints
 differ in more bits than blocks can cover: shards are keyed by minima of
 rehashed shingles (copies of similarity 0.8 share one of six with probability
 0.9999), trees are searched within a wide radius, and a one-permutation sketch
-of the shingle sets confirms the similarity.
+of the shingle sets confirms the similarity.  Here fingerprints, like sketches,
+are of distinct shingles.
 
 Edge cases: a null or wordless text has fingerprint 0, linked like any other
 (and has no shingles to be similar by); fewer words than a shingle make one
@@ -67,6 +68,11 @@ def shingle_hashes(text: str, words: int) -> Iterator[np.ndarray]:
         yield np.array([digest(joined[a:b], SEED) for a, b in spans], np.uint64)
 
 
+def distinct_shingles(text: str, words: int) -> np.ndarray:
+    """The set of a text's shingle hashes, in order of value."""
+    return np.unique(np.concatenate([np.empty(0, np.uint64), *shingle_hashes(text, words)]))
+
+
 class _Print:
     """Gathers a text's fingerprint, and its keys and sketch where asked for."""
 
@@ -76,6 +82,8 @@ class _Print:
         self.least = np.full(BINS, np.iinfo(np.uint64).max, np.uint64)
 
     def add(self, hashes: np.ndarray) -> None:
+        if not len(hashes):
+            return
         self.n += len(hashes)
         self.votes += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, np.int64)
         if self.sketch:
@@ -97,7 +105,7 @@ class _Print:
 
 
 def fingerprints(docs: DataFrame, words: int, sketch: bool = False) -> DataFrame:
-    """row, doc_id, fingerprint, saved; with ``sketch`` also keys and sketch (null without words)."""
+    """row, doc_id, fingerprint, saved; with ``sketch`` of distinct shingles, and also keys and sketch (null without words)."""
     schema = "row long, doc_id long, fingerprint long" + ", keys array<long>, sketch binary" * sketch
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,8 +113,11 @@ def fingerprints(docs: DataFrame, words: int, sketch: bool = False) -> DataFrame
             prints, keys, sketches = [], [], []
             for scalar in batch.column(2):
                 own = _Print(sketch)
-                for hashes in shingle_hashes(scalar.as_py(), words):
-                    own.add(hashes)
+                if sketch:
+                    own.add(distinct_shingles(scalar.as_py(), words))
+                else:
+                    for hashes in shingle_hashes(scalar.as_py(), words):
+                        own.add(hashes)
                 prints.append(own.fingerprint())
                 if sketch:
                     keys.append(own.keys.view(np.int64).tolist() if own.n else None)
