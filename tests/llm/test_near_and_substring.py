@@ -118,6 +118,22 @@ def test_similar_texts_leave_one(docs_of, hard_rows):
     assert [d for d in ids if d in (3, 4, 5)] and ids.count(7) + ids.count(8) == 1
 
 
+def test_similarity_is_exact(docs_of):
+    """Pairs just at 0.8 go, those just below stay: 8 of 10 shingles, and texts of 100 to 400 around the threshold."""
+    rows = []
+    for g in range(60):
+        words = [f"g{g}w{i}" for i in range(13 if g < 20 else 100 + 5 * g)]
+        k = len(words) - 4
+        # The last c words changed: (k - c) / (k + c) is the similarity.
+        c = 1 if g < 20 else k // 9 + g % 2
+        rows += [(2 * g, " ".join(words)), (2 * g + 1, " ".join(words[: len(words) - c] + [f"new{g}x{i}" for i in range(c)]))]
+    ids = {r.doc_id for r in simhash.keep_one_of_each(docs_of(rows)).collect()}
+    shingles = [{" ".join(w[i : i + 5]) for w in [t.split()] for i in range(len(w) - 4)} for _, t in rows]
+    want = {2 * g for g in range(60)}
+    want |= {2 * g + 1 for g in range(60) if len(shingles[2 * g] & shingles[2 * g + 1]) / len(shingles[2 * g] | shingles[2 * g + 1]) < 0.8}
+    assert 70 < len(want) < 90 and ids == want
+
+
 def test_repeated_lines_do_not_hide_copies(docs_of):
     """Equal sets of shingles, but for the line's seams, with the line once or 100 times."""
     rows = []

@@ -18,7 +18,9 @@ Links by similarity (``similar_components``) serve texts whose fingerprints
 differ in more bits than blocks can cover: shards are keyed by minima of
 rehashed shingles (copies of similarity 0.8 share one of six with probability
 0.9999), trees are searched within a wide radius, and a one-permutation sketch
-of the shingle sets confirms the similarity.  Here fingerprints, like sketches,
+of the shingle sets rules out pairs well below the similarity.  What is left,
+groups of candidates, is searched again with the shingle sets at hand, and only
+pairs of that exact similarity are linked.  Here fingerprints, like sketches,
 are of distinct shingles.
 
 Edge cases: a null or wordless text has fingerprint 0, linked like any other
@@ -43,12 +45,14 @@ from tidemark.llm.components import components
 
 SEED = 42
 BITS = 64
-#: A shard of more members is dealt again by further bits or keys.
+#: A shard of more members is dealt again, by further bits or keys.
 SHARD = 4096
 #: Shingles are hashed so many at a time.
 STEP = 1 << 15
 #: Shard keys and sketch bins of links by similarity.
 KEYS, BINS = 6, 256
+#: Sketches may be so far below the similarity, four standard errors, before the sets are asked.
+SLACK = 0.1
 
 
 def shingle_hashes(text: str, words: int) -> Iterator[np.ndarray]:
@@ -173,11 +177,11 @@ class BKTree:
 
 
 def spanning_links(
-    prints: np.ndarray, radius: int, agree: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None
+    prints: np.ndarray, radius: int, agree: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None, most: int = 1 << 15
 ) -> np.ndarray:
     """For each member of a shard the least member that it is linked to, over any number of links.
 
-    ``prints``: unsigned fingerprints, which may repeat.  ``agree`` confirms pairs of members.
+    ``prints``: unsigned fingerprints, which may repeat.  ``agree`` confirms pairs of members, ``most`` at a time.
     """
     root = np.arange(len(prints))
     distinct, which = np.unique(prints, return_inverse=True)
@@ -193,8 +197,8 @@ def spanning_links(
         mine = np.repeat(mine + at, n)
         open_ = root[mine] != root[other]
         mine, other = mine[open_], other[open_]
-        for i in range(0, len(mine), 1 << 15):
-            a, b = mine[i : i + (1 << 15)], other[i : i + (1 << 15)]
+        for i in range(0, len(mine), most):
+            a, b = mine[i : i + most], other[i : i + most]
             a, b = (x[root[a] != root[b]] for x in (a, b))
             if agree is not None and len(a):
                 a, b = (x[agree(a, b)] for x in (a, b))
@@ -213,43 +217,83 @@ def spanning_links(
     return root
 
 
-def _shard_links(dealt: DataFrame, radius: int, similarity: float | None) -> DataFrame:
-    """Links (a, b) of a spanning forest of each shard.  dealt: key..., id, fingerprint[, sketch]."""
-    keys = [c for c in dealt.columns if c.startswith("key")]
+def _likely(sketches: list, similarity: float) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """Whether the sketches of pairs allow for the similarity."""
+    table = np.frombuffer(b"".join(sketches), np.uint8).reshape(-1, BINS)
+
+    def agree(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        x, y = table[a], table[b]
+        either = ((x > 0) | (y > 0)).sum(1)
+        chance = 1 / 255
+        same = ((x == y) & (x > 0)).sum(1) / np.maximum(either, 1)
+        return (same - chance) / (1 - chance) >= similarity - SLACK
+
+    return agree
+
+
+def _prints_of(shard: pa.Table) -> np.ndarray:
+    return shard.column("fingerprint").to_numpy().view(np.uint64)
+
+
+def _linked(shard: pa.Table, root: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    ids, moved = shard.column("id").to_numpy(), root != np.arange(len(root))
+    return ids[moved], ids[root[moved]]
+
+
+def _candidates(radius: int, similarity: float):
+    """Search of a shard for groups (group, id) of members that may be similar; equal groups of other shards have equal numbers."""
+
+    def search(shard: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        root = spanning_links(_prints_of(shard), radius, _likely(shard.column("sketch").to_pylist(), similarity))
+        order = np.argsort(root, kind="stable")
+        ids = shard.column("id").to_numpy()[order]
+        held = np.unique(root, return_counts=True)[1]
+        number = [xxhash.xxh64_intdigest(x.tobytes(), SEED) for x in np.split(ids, np.cumsum(held)[:-1])]
+        group = np.repeat(np.array(number, np.uint64).view(np.int64), held)
+        several = np.repeat(held > 1, held)
+        return group[several], ids[several]
+
+    return search
+
 
-    def search(ids: np.ndarray, prints: np.ndarray, sketches: list | None) -> tuple[np.ndarray, np.ndarray]:
-        agree = None
-        if similarity is not None:
-            table = np.frombuffer(b"".join(sketches), np.uint8).reshape(-1, BINS)
+def _confirmed(radius: int, similarity: float):
+    """Search of a group of candidates for links (a, b) of the exact Jaccard similarity."""
 
-            def agree(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-                x, y = table[a], table[b]
-                either = ((x > 0) | (y > 0)).sum(1)
-                chance = 1 / 255
-                same = ((x == y) & (x > 0)).sum(1) / np.maximum(either, 1)
-                return (same - chance) / (1 - chance) >= similarity
+    def search(shard: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in shard.column("shingles")]
+        likely = _likely(shard.column("sketch").to_pylist(), similarity)
 
-        root = spanning_links(prints, radius, agree)
-        moved = root != np.arange(len(root))
-        return ids[moved], ids[root[moved]]
+        def agree(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            ok = likely(a, b)
+            for i in np.flatnonzero(ok):
+                x, y = sets[a[i]], sets[b[i]]
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                ok[i] = shared / (len(x) + len(y) - shared) >= similarity
+            return ok
+
+        return _linked(shard, spanning_links(_prints_of(shard), radius, agree, 1 << 9))
+
+    return search
+
+
+def _by_shard(dealt: DataFrame, search: Callable[[pa.Table], tuple[np.ndarray, np.ndarray]], names: tuple[str, str] = ("a", "b")) -> DataFrame:
+    """What ``search`` finds in each shard of two members and more.  dealt: key..., id, fingerprint, ...."""
+    keys = [c for c in dealt.columns if c.startswith("key")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
 
         def groups(table: pa.Table, last: bool):
-            """Links of the whole shards; the shard at the end may go on in the next batch."""
+            """Findings of the whole shards; the shard at the end may go on in the next batch."""
             key = np.stack([table.column(k).to_numpy() for k in keys], 1)
             cuts = np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1
             bounds = np.concatenate([[0], cuts, [len(key)]])
             whole = bounds if last else bounds[:-1]
-            ids, prints = table.column("id").to_numpy(), table.column("fingerprint").to_numpy().view(np.uint64)
             found = [(np.empty(0, np.int64),) * 2]
             for i in np.flatnonzero(np.diff(whole) > 1):
-                a, b = int(whole[i]), int(whole[i + 1])
-                sketches = table.column("sketch")[a:b].to_pylist() if similarity is not None else None
-                found.append(search(ids[a:b], prints[a:b], sketches))
+                found.append(search(table.slice(int(whole[i]), int(whole[i + 1] - whole[i])).combine_chunks()))
             links = [np.concatenate([f[j] for f in found]) for j in (0, 1)]
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in links], names=["a", "b"]), table.slice(int(whole[-1]))
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in links], names=list(names)), table.slice(int(whole[-1]))
 
         for batch in batches:
             own = pa.Table.from_batches([batch])
@@ -261,7 +305,7 @@ def _shard_links(dealt: DataFrame, radius: int, similarity: float | None) -> Dat
             yield groups(rest.combine_chunks(), True)[0]
 
     ready = dealt.repartition(*keys).sortWithinPartitions(*keys, "id")
-    return ready.mapInArrow(run, "a long, b long")
+    return ready.mapInArrow(run, ", ".join(f"{x} long" for x in names))
 
 
 def _bits(col: Column, low: int, n: int) -> Column:
@@ -295,7 +339,8 @@ def fingerprint_components(prints: DataFrame, radius: int = 3) -> DataFrame:
         ])).alias("key2"))
         .select("key", "key2", "id", "fingerprint")
     )
-    linked = components(_shard_links(small.unionByName(again), radius, None))
+    links = _by_shard(small.unionByName(again), lambda shard: _linked(shard, spanning_links(_prints_of(shard), radius)))
+    linked = components(links)
     named = distinct.join(linked.withColumnRenamed("id", "fingerprint"), "fingerprint", "left").withColumn(
         "root", F.coalesce("root", "fingerprint")
     )
@@ -303,8 +348,31 @@ def fingerprint_components(prints: DataFrame, radius: int = 3) -> DataFrame:
     return named.join(least, "root").select("fingerprint", "component_id")
 
 
-def similar_components(prints: DataFrame, radius: int = 20, similarity: float = 0.8) -> DataFrame:
-    """id (a row of ``prints``), root: rows linked by similarity.  Rows without links are absent."""
+def shingle_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """id (a row of ``docs``), fingerprint, sketch, shingles of the rows in ``ids``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints, sketches, sets = [], [], []
+            for scalar in batch.column(1):
+                own, hashes = _Print(True), distinct_shingles(scalar.as_py(), words)
+                own.add(hashes)
+                prints.append(own.fingerprint())
+                sketches.append(own.sketch_bytes())
+                sets.append(hashes.tobytes())
+            columns = [batch.column(0), pa.array(prints, pa.int64()), pa.array(sketches, pa.binary()), pa.array(sets, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "fingerprint", "sketch", "shingles"])
+
+    texts = docs.select(row_of(docs).alias("id"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"))
+    return texts.join(broadcast_small(ids), "id", "left_semi").mapInArrow(
+        run, "id long, fingerprint long, sketch binary, shingles binary"
+    )
+
+
+def similar_components(
+    prints: DataFrame, docs: DataFrame, words: int = 5, radius: int = 20, similarity: float = 0.8
+) -> DataFrame:
+    """id (a row of ``prints``), root: rows linked by exact similarity of shingle sets.  Rows without links are absent."""
     known = prints.where("keys IS NOT NULL").select(F.col("row").alias("id"), "fingerprint", "keys", "sketch")
     dealt = known.select("*", F.posexplode("keys").alias("k", "value")).withColumn(
         "key", F.xxhash64("k", "value")
@@ -319,13 +387,15 @@ def similar_components(prints: DataFrame, radius: int = 20, similarity: float =
         .where("k2 <> k")
         .select("key", F.xxhash64("k2", "value2").alias("key2"), "id", "fingerprint", "sketch")
     )
-    return components(_shard_links(small.unionByName(again), radius, similarity))
+    groups = save(_by_shard(small.unionByName(again), _candidates(radius, similarity), ("key", "id")).distinct(), "candidates")
+    sets = shingle_sets(docs, groups.select("id").distinct(), words)
+    return components(_by_shard(groups.join(sets, "id").select("key", "id", "fingerprint", "sketch", "shingles"), _confirmed(radius, similarity)))
 
 
 def keep_one_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """``docs`` without near copies: of each group the row with the least doc_id stays."""
     prints = fingerprints(docs, words, sketch=True)
-    groups = similar_components(prints, similarity=similarity)
+    groups = similar_components(prints, docs, words, similarity=similarity)
     members = prints.select(F.col("row").alias("id"), "doc_id").join(groups, "id")
     first = members.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "id")).alias("first"))
     lost = save(
