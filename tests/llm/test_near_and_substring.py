@@ -5,6 +5,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tidemark.llm import simhash, substring_dedup
 from tidemark.llm.components import components
@@ -143,6 +144,24 @@ def test_repeated_lines_do_not_hide_copies(docs_of):
     assert sorted(r.doc_id for r in simhash.keep_one_of_each(docs_of(rows)).collect()) == list(range(0, 20, 2))
 
 
+@pytest.mark.parametrize("shard", [4096, 16])
+def test_pairs_of_a_hot_key_alone_are_linked(spark, docs_of, monkeypatch, shard):
+    """All rows share the first key, and no two rows another one: salted or not, the same pairs are linked."""
+    monkeypatch.setattr(simhash, "SHARD", shard)
+    rows = []
+    for g in range(60):
+        words = [f"g{g}w{i}" for i in range(300)]
+        rows += [(2 * g, " ".join(words)), (2 * g + 1, " ".join(words[:-5] + ["new"] * 5))]
+    docs = docs_of(rows)
+    prints = simhash.fingerprints(docs, 5, sketch=True)
+    hot = prints.withColumn("keys", F.array(F.lit(1).cast("long"), *[F.col("row") * 8 + k for k in range(1, 6)]))
+    members = prints.select(F.col("row").alias("id"), "doc_id").join(simhash.similar_components(hot, docs), "id").collect()
+    groups = defaultdict(set)
+    for m in members:
+        groups[m.root].add(m.doc_id)
+    assert sorted(map(sorted, groups.values())) == [[2 * g, 2 * g + 1] for g in range(60)]
+
+
 def test_empty_tables(docs_of):
     prints = simhash.fingerprints(docs_of([]), 3)
     assert simhash.fingerprint_components(prints.select("doc_id", "fingerprint")).count() == 0

@@ -21,7 +21,8 @@ rehashed shingles (copies of similarity 0.8 share one of six with probability
 of the shingle sets rules out pairs well below the similarity.  What is left,
 groups of candidates, is searched again with the shingle sets at hand, and only
 pairs of that exact similarity are linked.  Here fingerprints, like sketches,
-are of distinct shingles.
+are of distinct shingles.  A shard of over ``SHARD`` members is salted, and
+every two salts meet in a task, so each pair still meets.
 
 Edge cases: a null or wordless text has fingerprint 0, linked like any other
 (and has no shingles to be similar by); fewer words than a shingle make one
@@ -45,7 +46,7 @@ from tidemark.llm.components import components
 
 SEED = 42
 BITS = 64
-#: A shard of more members is dealt again, by further bits or keys.
+#: A shard of more members is dealt again, by further bits or in pairs of salts.
 SHARD = 4096
 #: Shingles are hashed so many at a time.
 STEP = 1 << 15
@@ -374,20 +375,20 @@ def similar_components(
 ) -> DataFrame:
     """id (a row of ``prints``), root: rows linked by exact similarity of shingle sets.  Rows without links are absent."""
     known = prints.where("keys IS NOT NULL").select(F.col("row").alias("id"), "fingerprint", "keys", "sketch")
-    dealt = known.select("*", F.posexplode("keys").alias("k", "value")).withColumn(
-        "key", F.xxhash64("k", "value")
+    dealt = known.select("id", "fingerprint", "sketch", F.posexplode("keys").alias("k", "value")).select(
+        F.xxhash64("k", "value").alias("key"), "id", "fingerprint", "sketch"
     )
-    counts = dealt.groupBy("key").count()
-    large = broadcast_small(counts.where(F.col("count") > SHARD).select("key", F.lit(True).alias("large")))
-    dealt = dealt.join(large, "key", "left")
-    small = dealt.where("large IS NULL").select("key", F.lit(0).cast("long").alias("key2"), "id", "fingerprint", "sketch")
-    again = (
-        dealt.where("large")
-        .select("key", "k", "id", "fingerprint", "sketch", F.posexplode("keys").alias("k2", "value2"))
-        .where("k2 <> k")
-        .select("key", F.xxhash64("k2", "value2").alias("key2"), "id", "fingerprint", "sketch")
+    large = dealt.groupBy("key").count().where(F.col("count") > SHARD).select(
+        "key", F.ceil(F.col("count") * 2 / SHARD).alias("salts")
+    )
+    # Each row meets those of every other salt, and in each of these tasks those of its own.
+    salt = F.pmod(F.xxhash64("id"), "salts")
+    other = F.explode(F.when(F.col("salts").isNull(), F.array(F.lit(-1).cast("long"))).otherwise(
+        F.array_remove(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1), salt)))
+    dealt = dealt.join(broadcast_small(large), "key", "left").select("*", other.alias("other")).select(
+        "key", F.least(salt, "other").alias("key2"), F.greatest(salt, "other").alias("key3"), "id", "fingerprint", "sketch"
     )
-    groups = save(_by_shard(small.unionByName(again), _candidates(radius, similarity), ("key", "id")).distinct(), "candidates")
+    groups = save(_by_shard(dealt, _candidates(radius, similarity), ("key", "id")).distinct(), "candidates")
     sets = shingle_sets(docs, groups.select("id").distinct(), words)
     return components(_by_shard(groups.join(sets, "id").select("key", "id", "fingerprint", "sketch", "shingles"), _confirmed(radius, similarity)))
 
