@@ -194,10 +194,10 @@ def brute_removed(rows):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("leaves", [1 << 14, 2])
-def test_substring_dedup_matches_brute_force(docs_of, hard_rows, monkeypatch, leaves):
-    """With few leaves allowed, nodes are split by salt; the result is the same."""
-    monkeypatch.setattr(substring_dedup, "LEAVES", leaves)
+@pytest.mark.parametrize("group", [1 << 13, 2])
+def test_substring_dedup_matches_brute_force(docs_of, hard_rows, monkeypatch, group):
+    """With small groups, codes are shared out; the result is the same."""
+    monkeypatch.setattr(substring_dedup, "GROUP", group)
     rng = np.random.default_rng(1)
     passages = [[f"p{p}x{i}" for i in range(n)] for p, n in enumerate((19, 20, 21, 60, 200))]
     rows = list(hard_rows)
@@ -222,6 +222,44 @@ def test_repeated_rows_keep_one(docs_of):
     assert sorted(((r.doc_id, r.n_removed) for r in got), key=repr) == [(5, 30), (5, 30), (None, 0)]
 
 
+def test_suffix_trees_match_brute_force():
+    """Order of leaves and common prefixes of three groups of segments over few words, whose widths differ."""
+    rng = np.random.default_rng(8)
+    groups, segments = np.sort(rng.integers(0, 3, 60)), []
+    for _ in groups:
+        segments.append([b"w%d" % x for x in rng.integers(0, 2, rng.integers(20, 36))])
+    segments[5], groups[5] = segments[4], groups[4]
+    widths = np.array([len(s) for s in segments])
+    segment, place, depths = substring_dedup.suffix_tree(groups, [b" ".join(s) for s in segments], widths - 19, widths)
+    leaves = [(groups[s], segments[s][p:]) for s, p in zip(segment, place)]
+    assert sorted(zip(segment.tolist(), place.tolist())) == [(s, p) for s in range(60) for p in range(widths[s] - 19)]
+    for i in range(1, len(leaves)):
+        (g, a), (h, b) = leaves[i - 1], leaves[i]
+        shared = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b))) if g == h else 0
+        assert depths[i] == shared
+    # Leaves under one deep node are all those that share a window.
+    by = defaultdict(set)
+    for (g, words), node in zip(leaves, substring_dedup.deep_nodes(depths)):
+        by[g, tuple(words[:20])].add(node)
+    assert all(len(nodes) == 1 for nodes in by.values()) and len(set.union(*by.values())) == len(by)
+
+
+def test_a_frequent_passage_fills_no_task(spark, docs_of, monkeypatch):
+    """A passage of 30 words in a third of the documents, within different words: groups stay small, the result is that of brute force."""
+    monkeypatch.setattr(substring_dedup, "GROUP", 16)
+    passage = [f"p{i}" for i in range(30)]
+    rows = []
+    for d in range(600):
+        own = [f"d{d}w{i}" for i in range(30)]
+        rows.append((d, " ".join(own[:15] + (passage if d % 3 == 0 else []) + own[15:])))
+    sizes = []
+    deal = substring_dedup.subtrees
+    monkeypatch.setattr(substring_dedup, "subtrees", lambda s: sizes.append(s.groupBy("code", "salt").count().agg(F.max("count")).first()[0]) or deal(s))
+    got = substring_dedup.substring_dedup(docs_of(rows)).collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got), key=repr) == brute_removed(rows)
+    assert max(sizes) <= 40
+
+
 def test_every_equal_window_has_an_equal_code():
     rng = np.random.default_rng(2)
     words = rng.integers(0, 1 << 63, 300, dtype=np.uint64)

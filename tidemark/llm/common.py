@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,6 +64,18 @@ def text_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(name, str(rows))
 
 
+def parts(texts: pa.Array, rows: int = 128, most: int = 1 << 22) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of so many rows and bytes at most; a text beyond that is a run of its own."""
+    low = held = 0
+    for i, size in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        if i > low and (i - low >= rows or held + size > most):
+            yield low, i
+            low, held = i, 0
+        held += size
+    if len(texts):
+        yield low, len(texts)
+
+
 def broadcast_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast if a count shows at most ``limit`` rows.
 

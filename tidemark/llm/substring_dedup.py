@@ -3,27 +3,28 @@
 A repeat of ``WINDOW`` words is an internal node of the corpus's suffix tree at
 that depth or deeper.  The tree is never built as one:
 
-* Prefixes.  A window's prefix code is its minimiser, the word k-gram with the
-  least hash in it: equal windows have equal codes, and neighbouring windows
-  mostly share theirs, so the suffixes (window starts) of a text fall into a few
-  spans, each with one code.
-* Counting.  Spans meet by code.  A code that occurs once leads to no internal
-  node.  Where whole spans are equal, the least keeps its suffixes and the
-  others are repeats as wholes; if all spans of a code are equal, that settles
-  the code's subtree.
-* Partition.  The suffixes of the spans left (ends of repeats, edited copies)
-  are split by variable-length prefixes: by code and depth-8 prefix, and where
-  that group would be large, by the whole window.
-* Subtrees.  In a task the suffixes of a group are sorted; runs that agree to
-  the depth of the window are the leaves of a deep internal node.  The least
-  leaf (doc_id, then place) is the first occurrence; the others are repeats.
-
-Equal spans of one batch are merged before the shuffle, and a node with more
-leaves than a task should hold is split by salt, so that a passage in a third of
-all documents fills no single task.
-
-Words are hashed to 64 bits; a span or window agrees by 64 bits beside the 44 or
-more of its code.
+* Prefixes.  The suffixes of a text are its window starts.  A suffix's prefix
+  code is its minimiser, the word k-gram with the least hash within the first
+  ``WINDOW`` words: equal windows have equal codes, and neighbours mostly share
+  theirs, so the suffixes of a text fall into a few segments, each with one code.
+* Counting.  Codes are counted first; one that a single segment has leads to no
+  internal node.  Equal segments of a batch are one path of a tree: the first in
+  order stands for them, the others are repeats as wholes.
+* Partition.  Segments, with their words, are dealt out by code: a code is a
+  group that fits into memory.  A frequent code (over ``GROUP`` segments) has a
+  longer key: its groups hold a share (salt) of its segments each, and the nodes'
+  least leaves of all shares meet again by the whole window.
+* Subtrees.  In a task a group's suffixes are sorted by their words (prefix
+  doubling), neighbours' common prefixes give the internal nodes, and a topmost
+  node of depth ``WINDOW`` or more is a repeat: its least leaf (doc_id, then
+  place) is the first occurrence, the other leaves go.
+
+Counts meet per batch and not per segment, and frequent codes are shared out, so
+a passage in a third of all documents fills no single task.
+
+Trees compare words.  Hashes decide only which segments meet (codes of 44 bits or
+more), which segments of a batch are equal (64 bits more), and which nodes of a
+frequent code's shares are the same (128 bits).
 
 Edge cases: a null text has no words; texts shorter than a window keep all; a
 null doc_id comes before all others; of repeated rows with the same doc_id the
@@ -34,6 +35,7 @@ ignored.  ``docs`` must be a stable relation, such as a file scan.
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,14 +45,14 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, row_of, save
+from tidemark.llm.common import broadcast_small, documents, parts, row_of, save, text_batches
 
 WINDOW = 20
 #: Words of a prefix code; each window of WINDOW words holds SPAN of them (a power of two).
 CODE = 5
 SPAN = WINDOW - CODE + 1
-#: Leaves of a node beyond this are split by salt.
-LEAVES = 1 << 14
+#: Segments of a group; a code with more is shared out.
+GROUP = 1 << 13
 #: Distinct words that a task remembers.
 KNOWN = 1 << 18
 
@@ -154,54 +156,47 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def coded_spans(rows: DataFrame) -> DataFrame:
-    """code, whole, doc_id, row, at, known: a row per span; at = first start << 8 | number of further starts.
+    """code, row, at, segments: a row per span; at = first start << 8 | number of further starts.
 
-    ``known``: an equal span comes earlier in the batch, so this one is a repeat.  Such rows get keys of their own.
+    ``segments``: of the first span with a code in its batch, how many different spans the batch has; of the others -1,
+    and 0 of a copy of an earlier span.  The two last have codes of their own as ``key``, for they needn't meet others to be told.
     """
+    names = ["key", "code", "row", "at", "segments"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Hashes()
         for batch in batches:
             found = []
             order, row_no = batch.column(1).fill_null(-(1 << 63)).to_numpy(), batch.column(0).to_numpy()
-            for i in range(0, batch.num_rows, 128):
-                texts = [t.as_py().encode("utf-8", "replace").split() for t in batch.column(2).slice(i, 128)]
+            for low, high in parts(batch.column(2)):
+                texts = [t.as_py().encode("utf-8", "replace").split() for t in batch.column(2).slice(low, high - low)]
                 text, *more = spans(known, texts)
-                found.append((text + i, *more))
+                found.append((text + low, *more))
             if not found:
                 continue
             text, code, whole, low, high, _ = (np.concatenate(c) for c in zip(*found))
             code = code >> np.uint64(20)
             by = np.lexsort((low, row_no[text], order[text], whole, code))
-            same = np.zeros(len(by), bool)
-            same[1:] = (code[by][1:] == code[by][:-1]) & (whole[by][1:] == whole[by][:-1])
-            repeat = np.zeros(len(by), bool)
-            repeat[by] = same
+            text, code, whole, low, high = (x[by] for x in (text, code, whole, low, high))
+            first, copy = np.ones(len(code), bool), np.zeros(len(code), bool)
+            first[1:] = code[1:] != code[:-1]
+            copy[1:] = ~first[1:] & (whole[1:] == whole[:-1])
+            at = np.flatnonzero(first)
+            segments = np.where(copy, 0, -1)
+            segments[at] = np.add.reduceat(~copy, at) if len(at) else 0
             own = _mix(row_no[text].astype(np.uint64) * np.uint64(_BASE) + low.astype(np.uint64))
-            code = np.where(repeat, own >> np.uint64(20), code)
-            columns = [
-                pa.array(code.view(np.int64)), pa.array(np.where(repeat, np.uint64(0), whole).view(np.int64)),
-                batch.column(1).take(pa.array(text)), pa.array(row_no[text]), pa.array(low << 8 | (high - low)), pa.array(repeat),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["code", "whole", "doc_id", "row", "at", "known"])
-
-    return rows.mapInArrow(run, "code long, whole long, doc_id long, row long, at long, known boolean")
-
-
-def settle(coded: DataFrame) -> DataFrame:
-    """row, at, leaves of spans that are repeats (leaves 0) or whose suffixes need a subtree (leaves: spans of the code)."""
-    group = Window.partitionBy("code")
-    ordered = group.orderBy("whole", F.col("doc_id").asc_nulls_first(), "row", "at")
-    there = F.when(~F.col("known"), F.col("whole"))
-    seen = coded.select(
-        "row", "at", "known",
-        F.count(there).over(group).alias("n"),
-        (F.min(there).over(group) < F.max(there).over(group)).alias("differ"),
-        F.coalesce((F.lag("whole").over(ordered) == F.col("whole")) & ~F.lag("known").over(ordered), F.lit(False)).alias("again"),
-    )
-    repeat = F.col("known") | F.col("again")
-    return seen.where(repeat | F.col("differ")).select(
-        "row", "at", F.when(repeat, 0).otherwise(F.col("n")).cast("long").alias("leaves")
+            key = np.where(first, code, own | np.uint64(1 << 63))
+            columns = [key.view(np.int64), code.view(np.int64), row_no[text], low << 8 | (high - low), segments.astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+
+    return rows.mapInArrow(run, "key long, code long, row long, at long, segments int")
+
+
+def repeated_codes(coded: DataFrame) -> DataFrame:
+    """row, at, code, copy, total of the spans that are copies or whose code other spans have too; total: of a code's spans, in its first ones."""
+    total = F.sum("segments").over(Window.partitionBy("key"))
+    return coded.withColumn("total", total).where("segments <= 0 OR total > 1").select(
+        "row", "at", "code", (F.col("segments") == 0).alias("copy"), F.when(F.col("segments") > 0, F.col("total")).alias("total")
     )
 
 
@@ -230,109 +225,176 @@ def _cover(n: int, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return change
 
 
-_SPLIT = (
-    "kind int, row long, doc_id long, group int, window long, place int, leaves long,"
-    " packed binary, repeats array<long>, n_words long, n_removed long, kept_sha256 string"
-)
-_SPLIT_NAMES = [x.split()[0] for x in _SPLIT.split(", ")]
-_SPLIT_TYPES = [
-    pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(),
-    pa.binary(), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.string(),
-]
-
-
-def _suffixes(texts: DataFrame) -> DataFrame:
-    """Kind 0: results of documents that are settled.  1: suffixes for subtrees.  2: the texts that have some.
-
-    texts: row, doc_id, packed, at (list of spans), leaves (list of their numbers, 0 for repeats).
-    """
+def segments_of(texts: DataFrame) -> DataFrame:
+    """code, row, doc_id, at, words of the spans that need a subtree.  texts: row, doc_id, packed, at, code, copy (lists)."""
+    names = ["code", "row", "doc_id", "at", "words"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Hashes()
         for batch in batches:
             for i in range(0, batch.num_rows, 64):
                 part = batch.slice(i, 64)
-                fixed: dict[str, list] = {n: [] for n in _SPLIT_NAMES}
-
-                def put(**values) -> None:
-                    for n in _SPLIT_NAMES:
-                        fixed[n].append(values.get(n))
-
-                arrays = []
-                for row, doc_id, packed, at, leaves in zip(*(c.to_pylist() for c in part.columns)):
-                    words = _unpack(packed).split()
-                    at, leaves = np.array(at or [], np.int64), np.array(leaves or [], np.int64)
-                    low, more = at >> 8, at & 255
-                    gone = leaves == 0
-                    if gone.all():
-                        change = _cover(len(words), low, low + more) if len(at) else None
-                        n, removed, sha = _kept(words, change)
-                        put(kind=0, row=row, doc_id=doc_id, n_words=n, n_removed=removed, kept_sha256=sha)
+                out: list[list] = [[] for _ in names]
+                for row, doc_id, packed, at, code, copy in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), *part.columns[2:]):
+                    wanted = [x for x in zip(at.as_py() or (), code.as_py() or (), copy.as_py() or ()) if not x[2]]
+                    if not wanted:
                         continue
-                    put(kind=2, row=row, doc_id=doc_id, packed=packed, repeats=at[gone].tolist())
-                    low, more, leaves = low[~gone], more[~gone], leaves[~gone]
-                    n = more + 1
-                    starts = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                    often = np.repeat(leaves, n)
-                    sums = known.sums(known.of(words))
-                    window = known.runs(sums, starts, starts + WINDOW)
-                    prefix = known.runs(sums, starts, starts + 8)
-                    group = np.where(often > LEAVES, _mix(window), prefix) >> np.uint64(33)
-                    arrays.append((row, doc_id, group.astype(np.int32), window.view(np.int64), starts, often))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(fixed[n], t) for n, t in zip(_SPLIT_NAMES, _SPLIT_TYPES)], names=_SPLIT_NAMES
-                )
-                for row, doc_id, group, window, starts, often in arrays:
-                    n = len(starts)
-                    columns = [
-                        pa.array(np.ones(n, np.int32)), pa.array(np.full(n, row)),
-                        pa.nulls(n, pa.int64()) if doc_id is None else pa.array(np.full(n, doc_id)),
-                        pa.array(group), pa.array(window), pa.array(starts.astype(np.int32)), pa.array(often),
-                        *[pa.nulls(n, t) for t in _SPLIT_TYPES[7:]],
-                    ]
-                    yield pa.RecordBatch.from_arrays(columns, names=_SPLIT_NAMES)
-
-    return texts.mapInArrow(run, _SPLIT)
-
-
-def _repeats(leaves: DataFrame, keys: list[str]) -> DataFrame:
-    """The leaves of each subtree's deep nodes, each with whether it is the node's least.
-
-    A task's suffixes are sorted by group and window, so a node's leaves are neighbours: it holds no group.
+                    words = _unpack(packed.as_py()).split()
+                    for a, c, _ in wanted:
+                        values = c, row, doc_id, a, b" ".join(words[a >> 8 : (a >> 8) + (a & 255) + WINDOW])
+                        for column, value in zip(out, values):
+                            column.append(value)
+                types = [pa.int64()] * 4 + [pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=names)
+
+    return texts.mapInArrow(run, "code long, row long, doc_id long, at long, words binary")
+
+
+def suffix_tree(group: np.ndarray, segments: list[bytes], starts: np.ndarray, widths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The suffix trees of groups of segments, as sorted leaves and the depths at which neighbours part.
+
+    ``starts``: how many suffixes each segment has; ``widths``: its words.  Gives the leaves' segments, their places in
+    these, and for each leaf how many words it shares with the leaf before (0 across groups): the internal nodes are the
+    runs of leaves that share as many words.  Leaves are sorted by prefix doubling, in any order of words.
     """
+    table: dict[bytes, int] = {}
+    number = table.setdefault
+    ids = np.fromiter((number(w, len(table)) for w in b" ".join(segments).split()), np.int64, int(widths.sum()))
+    n = len(ids)
+    ends = np.repeat(np.cumsum(widths), widths)
+    here = np.arange(n)
+    rank = np.unique(np.repeat(group, widths) * len(table) + ids, return_inverse=True)[1]
+    ranks, h = [rank], 1
+    while h < widths.max():
+        after = np.where(here + h < ends, ranks[-1][np.minimum(here + h, n - 1)] + 1, 0)
+        ranks.append(np.unique(ranks[-1] * (n + 1) + after, return_inverse=True)[1])
+        h *= 2
+    base = np.cumsum(widths) - widths
+    segment = np.repeat(np.arange(len(segments)), starts)
+    place = np.arange(len(segment)) - np.repeat(np.cumsum(starts) - starts, starts)
+    leaf = base[segment] + place
+    order = np.argsort(ranks[-1][leaf], kind="stable")
+    segment, place, leaf = segment[order], place[order], leaf[order]
+    a, b = leaf[:-1], leaf[1:]
+    shared = np.zeros(len(a), np.int64)
+    for k in range(len(ranks) - 1, -1, -1):
+        x, y = a + shared, b + shared
+        same = (x < ends[a]) & (y < ends[b])
+        same &= ranks[k][np.minimum(x, n - 1)] == ranks[k][np.minimum(y, n - 1)]
+        shared += np.where(same, 1 << k, 0)
+    shared = np.minimum(shared, np.minimum(ends[a] - a, ends[b] - b))
+    return segment, place, np.concatenate([np.zeros(min(1, len(leaf)), np.int64), shared])
+
+
+def deep_nodes(depths: np.ndarray, depth: int = WINDOW) -> np.ndarray:
+    """For each leaf the number of the topmost internal node at ``depth`` or deeper above it; a leaf without one has a number of its own."""
+    return np.cumsum(depths < depth) - 1
+
+
+_FOUND = ["row", "doc_id", "at", "node", "least"]
+
+
+def _repeats(group: np.ndarray, shared_out: np.ndarray, table: pa.Table) -> pa.RecordBatch:
+    """Of a table of whole groups: runs of suffixes that are repeats, and the least leaves of groups that are shared out.
+
+    ``node``: of the latter a digest of the window, of the others a value of their own.
+    """
+    row, at = table.column("row").to_numpy(), table.column("at").to_numpy()
+    doc_id = table.column("doc_id").fill_null(-(1 << 63)).to_numpy()
+    segments = table.column("words").to_pylist()
+    starts = (at & 255) + 1
+    segment, place, depths = suffix_tree(group, segments, starts, starts + WINDOW - 1)
+    node = deep_nodes(depths)
+    order = np.empty(len(row), np.int64)  # of the segments' texts
+    by = np.lexsort((row, doc_id))
+    order[by] = np.cumsum(np.concatenate([[0], (row[by][1:] != row[by][:-1]) | (doc_id[by][1:] != doc_id[by][:-1])]))
+    start = (at >> 8)[segment] + place
+    rank = order[segment] << 32 | start
+    first = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
+    least = rank == np.minimum.reduceat(rank, first)[node]
+    # Runs of repeats in a segment.
+    gone = np.flatnonzero(~least)
+    gone = gone[np.lexsort((place[gone], segment[gone]))]
+    s, p = segment[gone], place[gone]
+    new = np.concatenate([[True], (s[1:] != s[:-1]) | (p[1:] != p[:-1] + 1)])[: len(gone)]
+    low = np.flatnonzero(new)
+    more = np.diff(np.append(low, len(gone))) - 1
+    rows, docs, spans_ = row[s[low]], s[low], start[gone][low] << 8 | more
+    digests = [struct.pack("<qq", r, x) for r, x in zip(rows.tolist(), spans_.tolist())]
+    # Least leaves that meet those of other shares.
+    kept = np.flatnonzero(least & shared_out[segment])
+    for i in kept.tolist():
+        words = segments[segment[i]].split()[place[i] : place[i] + WINDOW]
+        digests.append(xxhash.xxh3_128_digest(b" ".join(words)))
+    columns = [
+        pa.array(np.concatenate([rows, row[segment[kept]]])),
+        table.column("doc_id").combine_chunks().take(pa.array(np.concatenate([docs, segment[kept]]))),
+        pa.array(np.concatenate([spans_, start[kept] << 8])),
+        pa.array(digests, pa.binary()),
+        pa.array(np.arange(len(digests)) >= len(rows)),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=_FOUND)
+
+
+def subtrees(segments: DataFrame) -> DataFrame:
+    """row, doc_id, at, node, least: of the groups by (code, salt) the repeats, and where salt >= 0 the nodes' least leaves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before = None
+        rest: pa.Table | None = None
+
+        def found(table: pa.Table, last: bool) -> tuple[pa.RecordBatch | None, pa.Table]:
+            """Of the whole groups; the one at the end may go on in the next batch."""
+            code, salt = table.column("code").to_numpy(), table.column("salt").to_numpy()
+            new = np.concatenate([[True], (code[1:] != code[:-1]) | (salt[1:] != salt[:-1])])
+            whole = len(code) if last else int(np.flatnonzero(new)[-1])
+            if not whole:
+                return None, table
+            return _repeats((np.cumsum(new) - 1)[:whole], salt[:whole] >= 0, table.slice(0, whole)), table.slice(whole)
+
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            here = np.stack([batch.column(k).to_numpy() for k in keys], 1)
-            same = np.zeros(len(here), bool)
-            same[1:] = (here[1:] == here[:-1]).all(1)
-            same[0] = before is not None and (here[0] == before).all()
-            before = here[-1]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(~same)], names=[*batch.schema.names, "least"])
-
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in leaves.schema.fields)
-    return (
-        leaves.repartition(*[k for k in keys if k != "window"])
-        .sortWithinPartitions(*keys, F.col("doc_id").asc_nulls_first(), "row", "place")
-        .mapInArrow(run, schema + ", least boolean")
+            own = pa.Table.from_batches([batch])
+            table = own if rest is None else pa.concat_tables([rest, own])
+            if table.num_rows:
+                out, rest = found(table, False)
+                if out is not None:
+                    yield out
+        if rest is not None and rest.num_rows:
+            yield found(rest, True)[0]
+
+    ready = segments.repartition("code", "salt").sortWithinPartitions("code", "salt")
+    return ready.mapInArrow(run, "row long, doc_id long, at long, node binary, least boolean")
+
+
+def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Texts (row, doc_id, packed, and lists at, code, copy of spans), and the repeats beside the copies (row, at)."""
+    rows = _rows(docs)
+    marks = save(repeated_codes(coded_spans(rows)), "repeated-codes")
+    by_row = marks.groupBy("row").agg(F.collect_list(F.struct("at", "code", "copy")).alias("marks"))
+    texts = _packed(rows).join(by_row, "row", "left").select(
+        "row", "doc_id", "packed", *[F.col(f"marks.{c}").alias(c) for c in ("at", "code", "copy")]
+    )
+    frequent = marks.where(F.col("total") > GROUP).groupBy("code").agg(F.max("total").alias("total"))
+    salt = F.pmod(F.xxhash64("row"), F.ceil(F.col("total") / GROUP))
+    segments = segments_of(texts).join(broadcast_small(frequent), "code", "left").select(
+        "code", F.coalesce(salt, F.lit(-1)).cast("long").alias("salt"), "row", "doc_id", "at", "words"
     )
+    found = subtrees(segments)
+    if not frequent.isEmpty():
+        leaves = Window.partitionBy("node").orderBy(F.col("doc_id").asc_nulls_first(), "row", "at")
+        found = found.withColumn("nth", F.row_number().over(leaves)).where("NOT least OR nth > 1")
+    return texts, found.select("row", "at")
 
 
 def _removed(texts: DataFrame) -> DataFrame:
-    """Results of documents that had suffixes in subtrees.  texts: doc_id, packed, repeats (spans), places (windows)."""
+    """Results of documents.  texts: doc_id, packed, at and copy (spans), repeats (spans)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc_id, packed, repeats, places in zip(*(c.to_pylist() for c in batch.columns)):
-                words = _unpack(packed).split()
-                at, single = np.array(repeats or [], np.int64), np.array(places or [], np.int64)
-                low = np.concatenate([at >> 8, single])
-                high = np.concatenate([(at >> 8) + (at & 255), single])
-                rows.append((doc_id, *_kept(words, _cover(len(words), low, high))))
+            for doc_id, packed, at, copy, repeats in zip(batch.column(0).to_pylist(), *batch.columns[1:]):
+                words = _unpack(packed.as_py()).split()
+                spans_ = [a for a, c in zip(at.as_py() or (), copy.as_py() or ()) if c] + (repeats.as_py() or [])
+                gone = np.array(spans_, np.int64)
+                rows.append((doc_id, *_kept(words, _cover(len(words), gone >> 8, (gone >> 8) + (gone & 255)) if spans_ else None)))
             types = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
             columns = [pa.array([r[j] for r in rows], t) for j, t in enumerate(types)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "n_removed", "kept_sha256"])
@@ -342,28 +404,10 @@ def _removed(texts: DataFrame) -> DataFrame:
 
 def substring_dedup(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_removed, kept_sha256."""
-    rows = _rows(docs)
-    marked = settle(coded_spans(rows)).groupBy("row").agg(F.collect_list(F.struct("at", "leaves")).alias("marks"))
-    texts = _packed(rows).join(marked, "row", "left").select(
-        "row", "doc_id", "packed", F.col("marks.at").alias("at"), F.col("marks.leaves").alias("leaves")
-    )
-    split = save(_suffixes(texts), "suffixes")
-    leaves = split.where("kind = 1").select("group", "window", "doc_id", "row", "place", "leaves")
-    small = leaves.where(F.col("leaves") <= LEAVES).drop("leaves")
-    large = leaves.where(F.col("leaves") > LEAVES).withColumn(
-        "salt", F.pmod(F.xxhash64("row"), F.ceil(F.col("leaves") / LEAVES))
-    ).drop("leaves")
-    firsts = save(_repeats(large, ["group", "salt", "window"]), "salted-nodes")
-    again = _repeats(firsts.where("least").drop("least", "salt"), ["group", "window"])
-    repeats = (
-        _repeats(small, ["group", "window"]).where("NOT least").select("row", "place")
-        .unionByName(firsts.where("NOT least").select("row", "place"))
-        .unionByName(again.where("NOT least").select("row", "place"))
-    )
-    places = repeats.groupBy("row").agg(F.collect_list("place").alias("places"))
-    pending = split.where("kind = 2").select("row", "doc_id", "packed", "repeats").join(places, "row", "left")
-    done = split.where("kind = 0").select("doc_id", "n_words", "n_removed", "kept_sha256")
-    return done.unionByName(_removed(pending.select("doc_id", "packed", "repeats", "places")))
+    text_batches(docs.sparkSession)
+    texts, found = repeats(docs)
+    by_row = found.groupBy("row").agg(F.collect_list("at").alias("repeats"))
+    return _removed(texts.join(by_row, "row", "left").select("doc_id", "packed", "at", "copy", "repeats"))
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
