@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -23,16 +25,43 @@ _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new path in the folder that driver and executors share.
 
-    The cluster names it in ``spark.checkpoint.dir``.  Where that is unset, as
-    in tests, a temporary folder is made and kept for the session.
+    The cluster names it in ``spark.checkpoint.dir``.  Where that is unset and
+    all executors are threads of the driver, as in tests, a temporary folder is
+    made and kept for the session; on a cluster that is an error, for executors
+    would write where nobody reads.
     """
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
         "tidemark.shared.dir", None
     )
     if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("on a cluster, spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("tidemark.shared.dir", root)
-    return f"{root.rstrip('/')}/tidemark-{name}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/tidemark-{name}-{uuid.uuid4().hex}"
+    for made in _MADE:
+        made.append(path)
+    return path
+
+
+#: Of the open blocks of ``intermediates_removed``: the paths that were given out in each.
+_MADE: list[list[str]] = []
+
+
+@contextmanager
+def intermediates_removed(spark: SparkSession):
+    """Remove the shared folders that are made within this block when it ends: what was computed must be written by then."""
+    _MADE.append([])
+    try:
+        yield
+    finally:
+        for path in _MADE.pop():
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def save(df: DataFrame, name: str) -> DataFrame:
@@ -42,8 +71,34 @@ def save(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stable(docs: DataFrame) -> DataFrame:
+    """``docs`` if it is a scan of files, with columns and filters at most; anything else is saved first, so that its rows can be numbered."""
+    plans = [docs._jdf.queryExecution().analyzed()]
+    for plan in plans:
+        if plan.nodeName() not in ("Project", "Filter", "SubqueryAlias", "View", "LogicalRelation"):
+            return save(docs, "rows")
+        children = plan.children()
+        plans += [children.apply(i) for i in range(children.size())]
+    return docs
+
+
+def fresh(docs: DataFrame, name: str) -> str:
+    """``name`` with so many underscores before it that no column of ``docs`` has it."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def without_rows(docs: DataFrame, lost: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose numbers are in ``lost`` (row); the same columns.  Texts are shuffled only if many rows go."""
+    row = fresh(docs, "__row")
+    lost = save(lost.select(F.col("row").alias(row)), "lost-rows")
+    return docs.withColumn(row, row_of(docs)).join(broadcast_small(lost), row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def row_of(docs: DataFrame) -> Column:
-    """A row number that every scan of ``docs`` gives alike, if it is a file scan.
+    """A row number that every scan of ``docs`` gives alike; it must be ``stable``.
 
     Files are split by size and by the cores at hand; a lost executor would change the latter between two scans,
     so the number of splits is pinned for the session where it isn't set.

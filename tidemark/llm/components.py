@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import save
+from tidemark.llm.common import remove, shared_dir
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
@@ -26,10 +26,20 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
 
 def components(links: DataFrame, most_rounds: int = 64) -> DataFrame:
     """id, root (the least id of its component) for every id in ``links`` (a, b)."""
-    links = save(links.where("a <> b").distinct(), "links")
+    spark = links.sparkSession
+
+    def written(df: DataFrame, before: str | None = None) -> tuple[DataFrame, str]:
+        """The frame, saved; the round before isn't needed then."""
+        path = shared_dir(spark, "stars")
+        df.write.parquet(path)
+        if before:
+            remove(spark, before)
+        return spark.read.schema(df.schema).parquet(path), path
+
+    links, path = written(links.where("a <> b").distinct())
     mark = None
     for _ in range(most_rounds):
-        links = save(_star(_star(links, True), False), "stars")
+        links, path = written(_star(_star(links, True), False), path)
         now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == mark:
             break

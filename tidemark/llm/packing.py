@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, text_batches
+from tidemark.llm.common import documents, parts, text_batches
 
 SIZE = 4096
 END = 2
@@ -263,8 +263,8 @@ def pack(docs: DataFrame, vocabulary: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, shard = encoder(vocabulary), None
         for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
+            for low, high in parts(batch.column(2)):
+                part = batch.slice(low, high - low)
                 if shard is None:
                     shard = _Shard(known.stop, part.column(0)[0].as_py() << 36)
                 shard.add(part.column(1).to_pylist(), *known.encode(part.column(2).to_pylist()))

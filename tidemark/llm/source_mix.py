@@ -27,7 +27,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, broadcast_small, documents, row_of, save, word_count
+from tidemark.llm.common import WORD, broadcast_small, documents, fresh, row_of, save, stable, word_count
 
 PHI = 0.6180339887498949
 
@@ -45,7 +45,7 @@ def sized_rows(docs: DataFrame) -> DataFrame:
     """doc_id, source, size and a row number, saved: the text is read once."""
     return save(
         docs.select(
-            row_of(docs).alias("row"),
+            row_of(docs).alias("row"),  # of a stable table
             docs["doc_id"].alias("doc_id"),
             docs["source"].cast("string").alias("source"),
             word_count(docs["text"].cast("string")).alias("size"),
@@ -201,25 +201,23 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     taken whole keeps its text; of one cut by its source's target the taken
     words stay, joined by one space.
     """
+    docs = stable(docs)
     sized = sized_rows(docs)
     pieces = mix(sized, targets(sized), **options).join(sized.select("row", "size"), "row")
     taken = pieces.groupBy("row", "epoch", "size").agg(
         F.sum("words").alias("words"), F.min("slot").alias("slot"), F.min_by("at", "slot").alias("at")
     )
-    rows = docs.withColumn("__row", row_of(docs))
-    slim = taken.select(
-        F.col("row").alias("__row"), F.col("words").alias("__words"), F.col("size").alias("__size"),
-        F.col("slot").alias("__slot"), F.col("at").alias("__at"),
-    )
-    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), F.col("__words").cast("int")), " ")
-    out = rows.join(slim, "__row").withColumn("text", F.when(F.col("__words") < F.col("__size"), cut).otherwise(F.col("text")))
+    row, words, size, slot, at, chunk = (fresh(docs, f"__{c}") for c in ("row", "words", "size", "slot", "at", "chunk"))
+    slim = taken.select(*[F.col(c).alias(own) for c, own in (("row", row), ("words", words), ("size", size), ("slot", slot), ("at", at))])
+    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), F.col(words).cast("int")), " ")
+    out = docs.withColumn(row, row_of(docs)).join(slim, row).withColumn("text", F.when(F.col(words) < F.col(size), cut).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return (
-        out.withColumn("__chunk", F.floor(F.col("__slot") / CHUNK))
-        .repartition("__chunk")
-        .sortWithinPartitions("__slot", "__at", "__row")
-        .select(*docs.columns)
+        out.withColumn(chunk, F.floor(F.col(slot) / CHUNK))
+        .repartition(chunk)
+        .sortWithinPartitions(slot, at, row)
+        .select(*[F.col(f"`{c}`") for c in docs.columns])
     )
 
 

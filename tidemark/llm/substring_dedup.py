@@ -29,7 +29,7 @@ frequent code's shares are the same (128 bits).
 Edge cases: a null text has no words; texts shorter than a window keep all; a
 null doc_id comes before all others; of repeated rows with the same doc_id the
 earlier row comes first; an empty table gives an empty result; other columns are
-ignored.  ``docs`` must be a stable relation, such as a file scan.
+ignored.
 """
 
 from __future__ import annotations
@@ -45,7 +45,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import broadcast_small, documents, parts, row_of, save, text_batches
+from tidemark.llm.common import broadcast_small, documents, parts, row_of, save, stable, text_batches
 
 WINDOW = 20
 #: Words of a prefix code; each window of WINDOW words holds SPAN of them (a power of two).
@@ -405,7 +405,7 @@ def _removed(texts: DataFrame) -> DataFrame:
 def substring_dedup(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_removed, kept_sha256."""
     text_batches(docs.sparkSession)
-    texts, found = repeats(docs)
+    texts, found = repeats(stable(docs))
     by_row = found.groupBy("row").agg(F.collect_list("at").alias("repeats"))
     return _removed(texts.join(by_row, "row", "left").select("doc_id", "packed", "at", "copy", "repeats"))
 
