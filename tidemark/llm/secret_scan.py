@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents
+from tidemark.llm.common import documents, text_batches
 
 KINDS = ("assign", "access", "hex", "token")
 
@@ -75,9 +75,12 @@ def key_runs(raw: bytes) -> Iterator[tuple[int, str]]:
     data = np.frombuffer(raw, np.uint8)
     edges = np.flatnonzero(np.diff(KEY_CHARACTER[data], prepend=False, append=False))
     starts, ends = edges[::2], edges[1::2]
+    counted = further = 0  # bytes so far that begin no character
     for i in np.flatnonzero(ends - starts >= 16):
         a, b = int(starts[i]), int(ends[i])
-        yield a - int(np.count_nonzero((data[:a] & 0xC0) == 0x80)), raw[a:b].decode("ascii")
+        further += int(np.count_nonzero((data[counted:a] & 0xC0) == 0x80))
+        counted = a
+        yield a - further, raw[a:b].decode("ascii")
 
 
 def is_random(run: str, encoding, ratio: float) -> bool:
@@ -128,6 +131,7 @@ def secret_scan(docs: DataFrame, vocabulary: str, ratio: float = RATIO) -> DataF
                 names=[x.split()[0] for x in SCHEMA.split(",")],
             )
 
+    text_batches(docs.sparkSession)
     return docs.select(
         docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text")
     ).mapInArrow(scan, SCHEMA)
