@@ -280,3 +280,31 @@ def test_spans_partition_the_windows():
     seen = sorted((int(t), s) for t, a, b in zip(text, low, high) for s in range(a, b + 1))
     assert seen == [(t, s) for t, words in enumerate(texts) for s in range(len(words) - 19)]
     assert ((low <= place) & (place + substring_dedup.CODE <= high + 20)).all() and (high - low < 256).all()
+
+
+def test_a_large_group_of_near_copies_is_not_copied_around(spark, docs_of, monkeypatch):
+    """Of 400 near copies in shards of 16 all but one go, and rows are dealt out in proportion to their number."""
+    monkeypatch.setattr(simhash, "SHARD", 16)
+    words = [f"w{i}" for i in range(300)]
+    rows = [(d, " ".join(words[: 299 - d % 7] + [f"d{d}"])) for d in range(400)] + [(1000 + d, f"some other text number {d} of its own") for d in range(40)]
+    dealt, deal = [], simhash._by_shard
+    monkeypatch.setattr(simhash, "_by_shard", lambda df, *a: dealt.append(df.count()) or deal(df, *a))
+    ids = {r.doc_id for r in simhash.keep_one_of_each(docs_of(rows)).collect()}
+    assert {x for x in ids if x < 1000} == {0}
+    assert dealt[0] <= 2 * simhash.KEYS * len(rows)
+
+
+def test_recall_at_the_similarity(docs_of):
+    """Of 400 pairs a little above 0.8, of 25 to 400 words, at least 0.99 are found; of 400 a little below none."""
+    rng = np.random.default_rng(12)
+    rows, above = [], set()
+    for g in range(800):
+        n = int(rng.integers(25, 400))
+        words, k = [f"g{g}w{i}" for i in range(n)], n - 4
+        c = k // 9 + (g % 2)  # shingles that differ on either side: up to k / 9 is 0.8 and more
+        if (k - c) / (k + c) >= 0.8:
+            above.add(g)
+        rows += [(2 * g, " ".join(words)), (2 * g + 1, " ".join(words[: n - c] + [f"new{g}x{i}" for i in range(c)]))]
+    ids = {r.doc_id for r in simhash.keep_one_of_each(docs_of(rows)).collect()}
+    gone = {g for g in range(800) if 2 * g + 1 not in ids}
+    assert gone <= above and len(gone) >= 0.99 * len(above) and len(above) >= 350

@@ -21,8 +21,10 @@ rehashed shingles (copies of similarity 0.8 share one of six with probability
 of the shingle sets rules out pairs well below the similarity.  What is left,
 groups of candidates, is searched again with the shingle sets at hand, and only
 pairs of that exact similarity are linked.  Here fingerprints, like sketches,
-are of distinct shingles.  A shard of over ``SHARD`` members is salted, and
-every two salts meet in a task, so each pair still meets.
+are of distinct shingles.  A shard of over ``SHARD`` members is dealt out by
+salts, and one member, its pivot, goes to all of them: a large group of near
+copies is linked through it in one step.  Members that this leaves apart from the
+pivot then meet all salts, so that no pair of the shard is left out.
 
 Edge cases: a null or wordless text has fingerprint 0, linked like any other
 (and has no shingles to be similar by); fewer words than a shingle make one
@@ -41,7 +43,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import broadcast_small, documents, row_of, save, text_batches
+from tidemark.llm.common import broadcast_small, documents, row_of, save, stable, text_batches, without_rows
 from tidemark.llm.components import components
 
 SEED = 42
@@ -133,6 +135,7 @@ def fingerprints(docs: DataFrame, words: int, sketch: bool = False) -> DataFrame
             yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in schema.split(", ")])
 
     text_batches(docs.sparkSession)
+    docs = stable(docs)
     slim = docs.select(
         row_of(docs).alias("row"),
         docs["doc_id"].cast("long").alias("doc_id"),
@@ -305,7 +308,9 @@ def _by_shard(dealt: DataFrame, search: Callable[[pa.Table], tuple[np.ndarray, n
         if rest is not None and rest.num_rows:
             yield groups(rest.combine_chunks(), True)[0]
 
-    ready = dealt.repartition(*keys).sortWithinPartitions(*keys, "id")
+    # A given number keeps adaptive execution from merging partitions that are small in bytes but not in work.
+    n = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ready = dealt.repartition(n, *keys).sortWithinPartitions(*keys, "id")
     return ready.mapInArrow(run, ", ".join(f"{x} long" for x in names))
 
 
@@ -378,32 +383,53 @@ def similar_components(
     dealt = known.select("id", "fingerprint", "sketch", F.posexplode("keys").alias("k", "value")).select(
         F.xxhash64("k", "value").alias("key"), "id", "fingerprint", "sketch"
     )
-    large = dealt.groupBy("key").count().where(F.col("count") > SHARD).select(
-        "key", F.ceil(F.col("count") * 2 / SHARD).alias("salts")
-    )
-    # Each row meets those of every other salt, and in each of these tasks those of its own.
-    salt = F.pmod(F.xxhash64("id"), "salts")
-    other = F.explode(F.when(F.col("salts").isNull(), F.array(F.lit(-1).cast("long"))).otherwise(
-        F.array_remove(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1), salt)))
-    dealt = dealt.join(broadcast_small(large), "key", "left").select("*", other.alias("other")).select(
-        "key", F.least(salt, "other").alias("key2"), F.greatest(salt, "other").alias("key3"), "id", "fingerprint", "sketch"
+
+    def links(shards: DataFrame) -> DataFrame:
+        """Links of the exact similarity in shards (key, key2, key3), saved."""
+        groups = save(_by_shard(shards, _candidates(radius, similarity), ("key", "id")).distinct(), "candidates")
+        sets = shingle_sets(docs, groups.select("id").distinct(), words)
+        joined = groups.join(sets, "id").select("key", "id", "fingerprint", "sketch", "shingles")
+        return save(_by_shard(joined, _confirmed(radius, similarity)), "near-links")
+
+    def shards(df: DataFrame, salt: Column | str | None = None, other: Column | str | None = None) -> DataFrame:
+        none = F.lit(-1).cast("long")
+        return df.select("key", (none if salt is None else F.col(salt)).alias("key2"), (none if other is None else F.col(other)).alias("key3"), "id", "fingerprint", "sketch")
+
+    many = lambda n: F.ceil(n * 2 / SHARD).cast("long")
+    salt_of = lambda n: F.pmod(F.xxhash64("id"), n)
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    large = save(dealt.groupBy("key").count().where(F.col("count") > SHARD).select("key", many(F.col("count")).alias("salts")), "large-shards")
+    if large.isEmpty():
+        return components(links(shards(dealt)))
+    sizes = broadcast_small(large)
+    hot = dealt.join(sizes, "key").withColumn("salt", salt_of(F.col("salts")))
+    member = F.struct("id", "fingerprint", "sketch")
+    pivots = save(hot.groupBy("key", "salts").agg(F.min_by(member, F.struct(F.xxhash64("id"), "id")).alias("m")).select("key", "salts", "m.*"), "pivots")
+    visits = pivots.withColumn("salt", every("salts")).where(F.col("salt") != salt_of(F.col("salts")))
+    near = links(shards(dealt.join(sizes, "key", "left_anti")).unionByName(shards(hot, "salt")).unionByName(shards(visits, "salt")))
+    linked = save(components(near), "near-groups")
+    home = pivots.join(linked, "id", "left").select("key", F.coalesce("root", "id").alias("home"))
+    apart = save(
+        hot.join(linked, "id", "left").join(broadcast_small(home), "key").where(F.coalesce("root", "id") != F.col("home")).select("key", "id", "fingerprint", "sketch", "salts"),
+        "apart",
     )
-    groups = save(_by_shard(dealt, _candidates(radius, similarity), ("key", "id")).distinct(), "candidates")
-    sets = shingle_sets(docs, groups.select("id").distinct(), words)
-    return components(_by_shard(groups.join(sets, "id").select("key", "id", "fingerprint", "sketch", "shingles"), _confirmed(radius, similarity)))
+    if apart.isEmpty():
+        return linked
+    counts = broadcast_small(save(apart.groupBy("key").agg(many(F.count(F.lit(1))).alias("others")), "apart-sizes"))
+    members = hot.join(counts, "key").withColumn("other", every("others"))
+    callers = apart.join(counts, "key").withColumn("salt", every("salts")).withColumn("other", salt_of(F.col("others")))
+    both = shards(members, "salt", "other").unionByName(shards(callers, "salt", "other")).dropDuplicates(["key", "key2", "key3", "id"])
+    return components(near.unionByName(links(both)))
 
 
 def keep_one_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """``docs`` without near copies: of each group the row with the least doc_id stays."""
+    docs = stable(docs)
     prints = fingerprints(docs, words, sketch=True)
     groups = similar_components(prints, docs, words, similarity=similarity)
     members = prints.select(F.col("row").alias("id"), "doc_id").join(groups, "id")
     first = members.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "id")).alias("first"))
-    lost = save(
-        members.join(first, "root").where("id <> first.id").select(F.col("id").alias("__row")), "near-copies"
-    )
-    rows = docs.withColumn("__row", row_of(docs))
-    return rows.join(broadcast_small(lost), "__row", "left_anti").select(*docs.columns)
+    return without_rows(docs, members.join(first, "root").where("id <> first.id").select(F.col("id").alias("row")))
 
 
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
