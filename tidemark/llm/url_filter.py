@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ascii_lower, broadcast_small, save
+from tidemark.llm.common import ascii_lower, broadcast_small, row_of, save, stable
 
 #: (action, host, path)
 RULES = (
@@ -56,15 +56,10 @@ def url_filter(pages: DataFrame, rules: DataFrame, default: str = "allow") -> Da
     # Distinct path lengths and label counts of the rules: at most as many as a URL has characters.
     lengths = [r[0] for r in rules.select(F.length("rule_path")).distinct().collect()]
     depths = [r[0] for r in rules.select(F.size(F.split("rule_host", r"\."))).distinct().collect()]
+    pages = stable(pages)
     url = pages["url"].cast("string")
-    rows = save(
-        pages.select(
-            F.monotonically_increasing_id().alias("row"),
-            pages["page_id"].alias("page_id"),
-            host_of(url).alias("host"),
-            path_of(url).alias("path"),
-        ),
-        "urls",
+    rows = pages.select(
+        row_of(pages).alias("row"), pages["page_id"].alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path")
     )
     suffixes = F.array_distinct(F.array(*[F.substring_index("host", ".", -n) for n in depths] or [F.lit("")]))
     prefixes = F.filter(
@@ -74,7 +69,7 @@ def url_filter(pages: DataFrame, rules: DataFrame, default: str = "allow") -> Da
     expressions = F.array_distinct(
         F.flatten(F.transform(suffixes, lambda s: F.transform(prefixes, lambda p: F.concat(s, F.lit("\n"), p))))
     )
-    expanded = rows.select("*", F.explode_outer(expressions).alias("expression")).withColumn(
+    expanded = rows.where("host <> ''").select("row", F.explode(expressions).alias("expression")).withColumn(
         "mine", _digest(F.col("expression"))
     )
     strength = F.struct(
@@ -85,12 +80,9 @@ def url_filter(pages: DataFrame, rules: DataFrame, default: str = "allow") -> Da
         (F.substring("mine", 1, 4) == F.col("short"))
         & (F.col("mine") == F.col("full"))
     )
-    best = (
-        expanded.join(broadcast_small(rules), hit, "left")
-        .groupBy("row", "page_id", "host", "path")
-        .agg(F.max(F.when(F.col("rule").isNotNull() & (F.col("host") != ""), strength)).alias("best"))
-    )
-    return best.select(
+    # Only rows that a rule fits are aggregated and kept.
+    best = save(expanded.join(broadcast_small(rules), hit).groupBy("row").agg(F.max(strength).alias("best")), "fitting-rules")
+    return rows.join(broadcast_small(best), "row", "left").select(
         "page_id", "host", "path", F.col("best.rule").alias("rule"),
         F.coalesce("best.action", F.lit(default)).alias("verdict"),
     )
