@@ -16,10 +16,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ascii_lower, broadcast_small, documents, row_of, shared_dir
+from tidemark.llm.common import ascii_lower, broadcast_small, documents, row_of, shared_dir, stable, without_rows
 
 _STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": (
@@ -88,11 +88,10 @@ def exact_dedup(
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, locator, digest, keep_id, group_size, kept.
 
-    ``docs`` must be a stable relation, such as a file scan.  ``batch_bytes``
-    bounds the fingerprints of a micro-batch.  ``digest`` may be weak: groups
-    are told apart by their full bytes.
+    ``batch_bytes`` bounds the fingerprints of a micro-batch.  ``digest`` may be
+    weak: groups are told apart by their full bytes.
     """
-    spark = docs.sparkSession
+    spark, docs = docs.sparkSession, stable(docs)
     text = _normalised(docs)
     path = shared_dir(spark, "exact-fingerprints")
     docs.select(
@@ -150,20 +149,9 @@ def exact_dedup(
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that stay, with its own columns."""
-    kept = exact_dedup(docs, **options).where("kept").select(
-        F.col("doc_id").alias("__keep"), F.col("digest").alias("__digest")
-    )
-    marked = docs.withColumn("__sha", sha256_digest(_normalised(docs)))
-    found = marked.join(
-        kept,
-        marked["doc_id"].cast("long").eqNullSafe(kept["__keep"])
-        & (marked["__sha"] == kept["__digest"]),
-    )
-    once = Window.partitionBy("__keep", "__sha").orderBy(F.lit(0))
-    return found.withColumn("__nth", F.row_number().over(once)).where("__nth = 1").select(
-        *docs.columns
-    )
+    """The rows of ``docs`` that stay, with its own columns.  Rows go by their locators, so texts need not meet."""
+    docs = stable(docs)
+    return without_rows(docs, exact_dedup(docs, **options).where("NOT kept").select(F.col("locator").alias("row")))
 
 
 def op7_exact_dedup(spark, sf_dir):
