@@ -160,3 +160,139 @@ def test_classifiers_without_labels(spark, docs_of):
     assert {r.score for r in toxicity.toxicity_scores(docs, none).collect()} == {0.0}
     assert quality.quality_scores(docs_of([]), none).count() == 0
     assert toxicity.toxicity_scores(docs_of([]), none).count() == 0
+
+
+def long_texts():
+    return ["a" * 100_000 + "1A", "\n".join("%016x" % (i * 0x9E3779B97F4A7C15 % 2**64) for i in range(200_000)), "\u00e9 " + "deadbeefdeadbeef \u00e9" * 50_000]
+
+
+def test_long_texts_take_linear_time():
+    """In a process of its own, as a match can't be interrupted; offsets after other characters are those of the pattern."""
+    code = (
+        "import re, sys; sys.path.insert(0, '.'); from tests.llm.test_scan_media_classify import long_texts, TOLD; from tidemark.llm import secret_scan as s;"
+        "e = s._encoding(s.default_vocabulary()); hexes = lambda t: [(m.start(), 2, m.end()) for m in TOLD[2][0].finditer(t) if TOLD[2][1](m)];"
+        "print([[x for x in s.scan_text(t, e)[0] if x[1] == 2] == hexes(t) for t in long_texts()])"
+    )
+    said = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120)
+    assert said.stdout.strip() == "[True, True, True]", said.stderr
+
+
+def brute_random(text, encoding):
+    """The added spans by their definition: maximal runs of key characters, no digests, characters per token; identifiers by their long letters."""
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]+", text):
+        run = m.group()
+        if len(run) < 20 or secret_scan.DIGEST.fullmatch(run):
+            continue
+        words = re.split(r"[_/=+-]+", run.strip("_/=+-"))
+        last = lambda w: re.fullmatch(r"[A-Z]?[a-z]{2,}([A-Z][a-z]{2,})*[0-9]*|[A-Z]+|[0-9]+", w)
+        name = all(re.fullmatch(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+", w) for w in words[:-1]) and last(words[-1])
+        measured = re.findall("[A-Za-z]{20,}", run) if name else [run]
+        if any(len(x) / len(encoding.encode_ordinary(x)) < 2 for x in measured):
+            out.append((m.start(), 3, m.end()))
+    return out
+
+
+def test_added_spans_match_brute_force(hard_rows):
+    encoding = secret_scan._encoding(secret_scan.default_vocabulary())
+    rng = np.random.default_rng(6)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"))
+    made = [" ".join("".join(letters[rng.integers(0, k, rng.integers(1, 60))]) for _ in range(30)) for k in (26, 52, 62, 67) for _ in range(20)]
+    for text in [*made, *SECRETS, *(r[1] or "" for r in hard_rows)]:
+        assert secret_scan.scan_text(text, encoding)[1] == brute_random(text, encoding)
+
+
+def box(kind, *parts):
+    body = b"".join(parts)
+    return (8 + len(body)).to_bytes(4, "big") + kind + body
+
+
+def u32(*xs):
+    return b"".join(x.to_bytes(4, "big") for x in xs)
+
+
+def test_a_film_of_two_tracks():
+    """A file put together by hand from the standard: video of differing frame sizes with key frames, and sound with compact sizes."""
+    frames, sound = [50, 7, 9, 60, 8, 40], [3, 5, 15, 1]
+    ftyp = box(b"ftyp", b"isom", u32(0), b"isom")
+    base = len(ftyp) + 8
+    at = [base, base + 57, base + 57 + 9 + sum(sound)]  # chunks of 2 and 1 frames, sound, 3 frames
+    mdhd1 = box(b"mdhd", u32(1 << 24), bytes(16), u32(600), (3600).to_bytes(8, "big"), bytes(4))
+    mdhd0 = box(b"mdhd", bytes(12), u32(8000, 4096), bytes(4))
+    stsd = lambda codec: box(b"stsd", u32(0, 1, 16), codec, bytes(8))
+    video = box(b"stbl", stsd(b"avc1"), box(b"stts", u32(0, 1, 6, 600)), box(b"stsc", u32(0, 3, 1, 2, 1, 2, 1, 1, 3, 3, 1)), box(b"stsz", u32(0, 0, 6, *frames)),
+                box(b"stco", u32(0, 3, *at)), box(b"stss", u32(0, 3, 1, 4, 5)))
+    audio = box(b"stbl", stsd(b"mp4a"), box(b"stts", u32(0, 1, 4, 1024)), box(b"stsc", u32(0, 1, 1, 4, 1)), box(b"stz2", u32(0, 4, 4), bytes([0x35, 0xF1])), box(b"stco", u32(0, 1, at[1] + 9)))
+    tracks = [box(b"trak", box(b"mdia", head, box(b"minf", table))) for head, table in ((mdhd1, video), (mdhd0, audio))]
+    data = ftyp + box(b"mdat", bytes(sum(frames) + sum(sound))) + box(b"moov", *tracks)
+    one, two = media_columns.probe(data)["tracks"]
+    assert (one["codec"], one["timescale"], one["duration"], one["ticks"], one["samples"]) == ("avc1", 600, 3600, 3600, 6)
+    assert one["ranges"] == [(at[0], at[0] + 57), (at[1], at[1] + 9), (at[2], at[2] + 108)]
+    assert one["keyframes"] == [(at[0], at[0] + 50), (at[2], at[2] + 68)]
+    assert (two["codec"], two["timescale"], two["duration"], two["ticks"]) == ("mp4a", 8000, 4096, 4096)
+    assert two["ranges"] == two["keyframes"] == [(at[1] + 9, at[1] + 9 + 24)]
+    with pytest.raises(ValueError):
+        media_columns.probe(data + box(b"moof", b""))
+    with pytest.raises(ValueError):
+        media_columns.probe(ftyp)
+
+
+def test_quality_matches_brute_force(spark, docs_of):
+    """The query's scores against plain arithmetic over all rows at once: kernel features, normal equations, pooled violators."""
+    rows, labels = sample(400)
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.score for r in quality.quality_scores(docs_of(rows), table).collect()}
+    learnt = [d for d, _ in rows if zlib.crc32(str(d).encode()) % 5]
+    apart = {r.doc_id for r in spark.createDataFrame([(d,) for d in learnt], "doc_id long").where("pmod(xxhash64('calibrate', doc_id), 4) = 0").collect()}
+    x = {d: np.array(quality.statistics(t)) for d, t in rows}
+    y = {d: float(q) for d, q, _ in labels}
+    all_ = np.array([x[d] for d in learnt])
+    rng = np.random.default_rng(quality.SEED)
+    project, shift = rng.normal(size=(all_.shape[1], quality.FEATURES)) / np.sqrt(all_.shape[1]), rng.uniform(0, 2 * np.pi, quality.FEATURES)
+
+    def phi(s):
+        z = np.clip((s - all_.mean(0)) / np.maximum(all_.std(0), 1e-6), -8, 8)
+        return np.append(np.cos(z @ project + shift) * np.sqrt(2 / quality.FEATURES), 1.0)
+
+    fitted = [d for d in learnt if d not in apart]
+    a = np.array([phi(x[d]) for d in fitted])
+    penalty = 1e-3 * len(fitted) * np.diag(np.append(np.ones(quality.FEATURES), 0)) + 1e-9 * np.eye(quality.FEATURES + 1)
+    w = np.linalg.solve(a.T @ a + penalty, a.T @ np.array([y[d] for d in fitted]))
+    blocks = []
+    for score, label in sorted((round(min(2, max(-1, float(phi(x[d]) @ w))) * quality.GRID) / quality.GRID, y[d]) for d in apart):
+        blocks.append([score, label, 1])
+    same = {}
+    for score, label, _ in blocks:
+        s = same.setdefault(score, [0.0, 0])
+        s[0], s[1] = s[0] + label, s[1] + 1
+    at, value = quality.isotonic(np.array(list(same)), np.array([v[0] for v in same.values()]), np.array([v[1] for v in same.values()], float))
+    for d, _ in rows:
+        assert abs(got[d] - np.interp(float(phi(x[d]) @ w), at, value)) < 1e-6
+
+
+def test_toxicity_matches_brute_force(spark, docs_of):
+    """Scores by dictionaries of n-gram buckets against the query's, given its weights; and its ratios against counts of presence."""
+    rows, labels = sample(300)
+    table, docs = spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), docs_of(rows)
+    dense, intercept = toxicity.fit(docs, table)
+    toxic = {d: t for d, _, t in labels}
+    learnt = [(d, t) for d, t in rows if zlib.crc32(str(d).encode()) % 3 != 1]
+    bags = [(toxic[d], set(np.concatenate(list(toxicity.grams(t))).tolist())) for d, t in learnt]
+    n = [sum(not y for y, _ in bags), sum(y for y, _ in bags)]
+    for bucket in np.flatnonzero(dense)[::50].tolist():
+        held = [sum(bucket in b for y, b in bags if bool(y) == k) for k in (False, True)]
+        assert sum(held) >= 3 and (held[1] + 1) / (n[1] + 2) != (held[0] + 1) / (n[0] + 2)
+    for r in toxicity.toxicity_scores(docs, table).collect():
+        bag = set(np.concatenate(list(toxicity.grams(dict(rows)[r.doc_id]))).tolist())
+        margin = sum(float(dense[b]) for b in bag) + intercept
+        assert abs(r.score - 1 / (1 + np.exp(-margin))) < 1e-4
+
+
+def test_repeated_rows_of_one_doc_id_are_learnt_once(spark, docs_of):
+    """However often a labelled row is repeated, the models are the same."""
+    rows, labels = sample(200)
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    once, often = docs_of(rows), docs_of(rows + [rows[3]] * 500)
+    for f in (quality.quality_scores, toxicity.toxicity_scores):
+        a, b = ({r.doc_id: r.score for r in f(d, table).collect()} for d in (once, often))
+        assert max(abs(a[d] - b[d]) for d in a) < 1e-9

@@ -2,12 +2,14 @@
 
 Statistics of a whole text (shares of kinds of characters, lengths, repetition)
 are standardised and mapped to cosines of random projections, whose products
-approximate a Gaussian kernel.  Each partition sums its part of the normal
-equations; their solution is a ridge score.  Pool-adjacent-violators on training
+approximate a Gaussian kernel.  The cosines and an intercept are all that is
+fitted: each partition sums its part of the normal equations; their solution is
+a ridge score.  Pool-adjacent-violators on training
 rows that the ridge fit has not seen turns scores into probabilities.
 
-Bound: the fit takes at most about ``SAMPLE`` labelled rows, chosen by a hash of
-doc_id; what reaches the driver is one matrix from each of ``FIT_PARTITIONS``
+Bound: the fit takes at most about ``SAMPLE`` labelled documents, chosen by a hash
+of doc_id, of repeated ones the least text; only theirs are the statistics that
+are computed before scoring.  What reaches the driver is one matrix from each of ``FIT_PARTITIONS``
 partitions and one row for each of at most ``GRID`` x 3 score bins.
 
 Edge cases: a null text counts as empty and has a score like any other; rows
@@ -86,7 +88,7 @@ class Model:
     def features(self, stats: np.ndarray) -> np.ndarray:
         z = np.clip((stats - self.mean) / self.scale, -8, 8)
         cosines = np.cos(z @ self.project + self.shift) * np.sqrt(2 / self.project.shape[1])
-        return np.hstack([cosines, z, np.ones((len(z), 1))])
+        return np.hstack([cosines, np.ones((len(z), 1))])
 
     def raw(self, stats: np.ndarray) -> np.ndarray:
         return self.features(stats) @ self.weights
@@ -111,21 +113,16 @@ def _stats_table(batch: pa.RecordBatch, column: str = "stats") -> np.ndarray:
     return batch.column(column).flatten().to_numpy(zero_copy_only=False).reshape(-1, N_STATS)
 
 
-def stats_of(docs: DataFrame) -> DataFrame:
-    """doc_id, stats of every row, saved."""
+def with_statistics(texts: DataFrame) -> DataFrame:
+    """stats, and the other columns, of texts (text, ...)."""
+    other = [f for f in texts.schema.fields if f.name != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [statistics(t.as_py()) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found, pa.list_(pa.float64()))], names=["doc_id", "stats"]
-            )
+            found = pa.array([statistics(t.as_py()) for t in batch.column("text")], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([found, *[batch.column(f.name) for f in other]], names=["stats", *[f.name for f in other]])
 
-    text_batches(docs.sparkSession)
-    slim = docs.select(
-        docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text")
-    )
-    return save(slim.mapInArrow(run, "doc_id long, stats array<double>"), "statistics")
+    return texts.mapInArrow(run, ", ".join(["stats array<double>", *[f"{f.name} {f.dataType.simpleString()}" for f in other]]))
 
 
 def label_sample(labels: DataFrame, label: str, where: Column, bound: int) -> DataFrame:
@@ -140,13 +137,17 @@ def label_sample(labels: DataFrame, label: str, where: Column, bound: int) -> Da
     return known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
 
 
-def fit(stats: DataFrame, labels: DataFrame, ridge: float = 1e-3) -> Model | float:
+def sampled_texts(docs: DataFrame, sample: DataFrame) -> DataFrame:
+    """doc_id, y, text of the sampled documents, in ``FIT_PARTITIONS`` partitions.  The sample has a proven bound, so it is broadcast."""
+    texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"))
+    return texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text")).repartition(FIT_PARTITIONS, "doc_id")
+
+
+def fit(docs: DataFrame, labels: DataFrame, ridge: float = 1e-3) -> Model | float:
     """The model; without both labels the mean label."""
     sample = label_sample(labels, "quality", fold_of(F.col("doc_id"), FOLDS) != 0, SAMPLE)
     rows = save(
-        stats.join(sample, "doc_id")
-        .withColumn("calibrate", F.pmod(F.xxhash64(F.lit("calibrate"), "doc_id"), F.lit(4)) == 0)
-        .repartition(FIT_PARTITIONS),
+        with_statistics(sampled_texts(docs, sample).withColumn("calibrate", F.pmod(F.xxhash64(F.lit("calibrate"), "doc_id"), F.lit(4)) == 0)),
         "quality-fit",
     )
     n, mean_y, some, most = rows.agg(F.count(F.lit(1)), F.avg("y"), F.min("y"), F.max("y")).first()
@@ -160,7 +161,7 @@ def fit(stats: DataFrame, labels: DataFrame, ridge: float = 1e-3) -> Model | flo
         mean=np.array(moments[:N_STATS]), scale=np.maximum(np.array(moments[N_STATS:]), 1e-6),
         project=rng.normal(size=(N_STATS, FEATURES)) / np.sqrt(N_STATS),
         shift=rng.uniform(0, 2 * np.pi, FEATURES),
-        weights=np.zeros(FEATURES + N_STATS + 1), at=np.zeros(1), value=np.zeros(1),
+        weights=np.zeros(FEATURES + 1), at=np.zeros(1), value=np.zeros(1),
     )
     width = len(model.weights)
 
@@ -200,21 +201,23 @@ def _scores(model: Model | float, stats: np.ndarray) -> np.ndarray:
 
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, score of every row of ``docs``."""
-    stats = stats_of(docs)
-    model = fit(stats, labels)
+    text_batches(docs.sparkSession)
+    model = fit(docs, labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(_scores(model, _stats_table(batch)))], names=["doc_id", "score"]
-            )
+            stats = np.array([statistics(t.as_py()) for t in batch.column(1)]).reshape(-1, N_STATS)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_scores(model, stats))], names=["doc_id", "score"])
 
-    return stats.mapInArrow(run, "doc_id long, score double")
+    return docs.select(
+        docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text")
+    ).mapInArrow(run, "doc_id long, score double")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
     """The rows of ``docs`` with a score of at least ``cut``."""
-    model = fit(stats_of(docs), labels)
+    text_batches(docs.sparkSession)
+    model = fit(docs, labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -8,7 +8,7 @@ regression on presence times r is fitted by iterative parameter mixing: each
 partition improves the weights on its rows, and rounds average them.
 
 Bound: the fit takes at most about ``SAMPLE`` labelled texts, chosen by a hash of
-doc_id, in ``FIT_PARTITIONS`` partitions; from each the driver gets two count
+doc_id, of repeated ones the least text, in ``FIT_PARTITIONS`` partitions; from each the driver gets two count
 vectors of ``BUCKETS`` and, a round, a weight vector of ``KEPT``.
 
 Edge cases: a null text counts as empty; an empty text has the score of the
@@ -27,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, save
-from tidemark.llm.quality import fold_of, label_sample
+from tidemark.llm.common import documents, save, text_batches
+from tidemark.llm.quality import fold_of, label_sample, sampled_texts
 
 SAMPLE = 20_000
 FIT_PARTITIONS = 8
@@ -77,20 +77,15 @@ def ratios(toxic: np.ndarray, other: np.ndarray, n_toxic: int, n_other: int) ->
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float] | float:
     """Weight of each bucket (0 for those not kept) and the intercept; without both labels the mean label."""
     sample = label_sample(labels, "toxic", fold_of(F.col("doc_id"), FOLDS) != OUT, SAMPLE)
-    # The sample has a proven bound, so it may be broadcast.
     rows = save(
-        docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"))
-        .join(F.broadcast(sample), "doc_id")
-        .select("text", (F.col("y") >= 0.5).alias("toxic"))
-        .repartition(FIT_PARTITIONS),
-        "toxic-fit",
+        sampled_texts(docs, sample).select("text", (F.col("y") >= 0.5).alias("toxic")).coalesce(FIT_PARTITIONS), "toxic-fit"
     ).coalesce(FIT_PARTITIONS)
     n, n_toxic = rows.agg(F.count(F.lit(1)), F.count_if("toxic")).first()
     if not n or n_toxic in (0, n):
         return n_toxic / n if n else 0.0
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros((2, BUCKETS), np.uint16)  # at most SAMPLE each
+        table = np.zeros((2, BUCKETS), np.uint32)
         for batch in batches:
             for text, toxic in zip(batch.column(0), batch.column(1).to_pylist()):
                 table[int(toxic), present(text.as_py())] += 1
@@ -98,7 +93,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float] | float:
 
     total = np.zeros((2, BUCKETS))
     for row in rows.mapInArrow(counts, "counts binary").toLocalIterator():
-        total += np.frombuffer(row[0], np.uint16).reshape(2, BUCKETS)
+        total += np.frombuffer(row[0], np.uint32).reshape(2, BUCKETS)
     r, strength = ratios(total[1], total[0], n_toxic, n - n_toxic)
     strength[total.sum(0) < 3] = 0
     kept = np.sort(np.argsort(-strength, kind="stable")[:KEPT])
@@ -146,8 +141,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float] | float:
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, score of every row of ``docs``."""
-    model = fit(docs, labels)
     spark = docs.sparkSession
+    text_batches(spark)
+    model = fit(docs, labels)
     shipped = spark.sparkContext.broadcast(model)  # a vector of BUCKETS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
