@@ -74,12 +74,12 @@ def test_lookback_changes_and_closed_percentile(spark):
 
 
 def test_resample_rules(spark):
-    cols = "symbol string, ts timestamp_ntz, perp_open double, perp_high double, perp_low double, perp_close double, perp_trades_volume double, perp_trades_buy_volume double, perp_trades_buy_volume_share double, oi double, funding_data_available boolean"
+    cols = "symbol string, ts timestamp_ntz, perp_open double, perp_high double, perp_low double, perp_close double, perps_trades_volume double, perps_trades_buy_volume double, perps_trades_buy_volume_share double, oi double, funding_data_available boolean"
     rows = [("B", at(i), 100.0 + i, 101.0 + i if i < 5 else 106.0, 99.0 + i if i < 5 else 104.0, 100.5 + i, 10.0 * (i + 1) if i < 4 else None if i == 4 else 60.0, 6.0 * (i + 1) if i < 4 else None if i == 4 else 36.0, 0.1, 1000.0 + i, None if i else True) for i in range(6)]
     a, b = resample(spark.createDataFrame(rows, cols), ["symbol"], "ts", 300).orderBy("ts").collect()
     assert (a.perp_open, a.perp_high, a.perp_low, a.perp_close, a.oi) == (100.0, 105.0, 99.0, 104.5, 1004.0)
-    assert (a.perp_trades_volume, a.perp_trades_buy_volume_share, a.funding_data_available) == (100.0, pytest.approx(0.6), True)
-    assert (b.perp_open, b.perp_trades_volume, b.funding_data_available) == (105.0, 60.0, False)
+    assert (a.perps_trades_volume, a.perps_trades_buy_volume_share, a.funding_data_available) == (100.0, pytest.approx(0.6), True)
+    assert (b.perp_open, b.perps_trades_volume, b.funding_data_available) == (105.0, 60.0, False)
     minutes = spark.createDataFrame([("B", at(i), 1.0) for i in range(60)], "symbol string, ts timestamp_ntz, x_close double")
     assert [resample(minutes, ["symbol"], "ts", s).count() for s in (300, 1800, 3600)] == [12, 2, 1]
 
@@ -87,11 +87,11 @@ def test_resample_rules(spark):
 def test_forward_targets(spark):
     rows = [("B", at(i), 100.0 + i, 22.0 + i, 0.001, 0.0 + i, 0.0) for i in range(65)]
     df = spark.createDataFrame(rows, "symbol string, ts timestamp_ntz, p double, rv double, funding double, spread double, z double")
-    out = T.forward_targets(df, ["symbol"], "ts", "p", "rv", 60, "1h").orderBy("ts").collect()
-    assert out[0].target_return_1h == pytest.approx(math.log(160 / 100))
-    assert out[0].target_cost_adjusted_1h == pytest.approx(math.log(160 / 100) - 0.0002 - 0.001 * 60 / 480)
-    assert (out[0].target_future_rv_1h, out[0].target_spread_change_1h, out[0].target_drawdown_1h) == (82.0, 60.0, pytest.approx(0.01))
-    assert all(r.target_return_1h is None and r.target_drawdown_1h is None for r in out[5:])
+    out = T.forward_targets(df, ["symbol"], "ts", "p", "rv", {"1h": 60}).orderBy("ts").collect()
+    assert out[0].target_forward_return_1h == pytest.approx(math.log(160 / 100))
+    assert out[0].target_cost_adjusted_return_1h == pytest.approx(math.log(160 / 100) - 0.0002 - 0.001 * 60 / 480)
+    assert (out[0].target_future_rv_1h, out[0].target_future_iv_spread_change_1h, out[0].target_forward_drawdown_1h) == (82.0, 60.0, pytest.approx(0.01))
+    assert all(r.target_forward_return_1h is None and r.target_forward_drawdown_1h is None for r in out[5:])
 
 
 def test_symbols_do_not_mix(spark):
@@ -189,7 +189,7 @@ def test_contracts_and_gold(spark):
     strategy = gold.with_strategy_features(core.withColumn("rv_1h", F.lit(0.1)))
     assert strategy.count() == 11 and "half_life" in strategy.columns
     labels = gold.with_targets(core.withColumns({c: F.lit(0.1) for c in ("rv_1h", "iv_minus_rv_1h", "iv_rv_zscore_1d", "funding_rate_last_known")}))
-    assert labels.where("target_return_1h IS NOT NULL").count() == 0
+    assert labels.where("target_forward_return_1h IS NOT NULL").count() == 0
 
 
 def test_other_silver_builders(spark):
@@ -225,3 +225,111 @@ def test_other_silver_builders(spark):
     meta = spark.createDataFrame([("option", 1.0, 1.0, 5.0, at(0), "C"), ("option", 1.0, 1.0, None, at(0), "C"), ("future", 1.0, 1.0, None, None, None), ("spot", 0.0, 1.0, None, None, None), ("spot", 1.0, 1.0, None, None, None)],
                                  "instrument_type string, tick_size double, contract_size double, strike double, expiry timestamp_ntz, option_type string")
     assert [r[0] for r in meta.select(valid_metadata()).collect()] == [True, False, False, False, True]
+
+
+def test_digests_tell_types_apart_and_refuse(spark):
+    rows = spark.createDataFrame([(1, 1, "1", 1.0, True, 0.0), (2, 1, "1", 1.0, True, -0.0)], "id long, i int, s string, f double, b boolean, z double")
+    each = rows.select(*[S.row_digest(rows.select(F.col(c).alias("x"), "id"), ["x"]).alias(c) if False else S.row_digest(rows, [c]).alias(c) for c in ("i", "s", "f", "b", "z")]).collect()
+    assert len(set(each[0])) == 5 and each[0].z == each[1].z
+    bad = spark.createDataFrame([(1, float("nan"))], "id long, f double")
+    with pytest.raises(Exception, match="finite"):
+        S.delta(bad, bad, ["id"], ["f"]).collect()
+    twice = spark.createDataFrame([(1, "a"), (1, "b")], "id long, s string")
+    with pytest.raises(Exception, match="repeats"):
+        S.delta(twice, twice.limit(1), ["id"], ["s"]).collect()
+
+
+def test_book_masks(spark):
+    from tidemark.operators.book import quality_mask
+
+    level = "array<struct<price: double, amount: double>>"
+    df = book_features(spark.createDataFrame([("ok", [(100.0, 1.0)], [(100.1, 3.0)]), ("one side", [], [(101.0, 1.0)])], f"id string, bids {level}, asks {level}"))
+    assert [r.id for r in quality_mask(df).collect()] == ["ok"]
+    with pytest.raises(Exception, match="unusable"):
+        quality_mask(df, strict=True).collect()
+
+
+def test_gold_shares_are_made_of_sums(spark):
+    rows = [("B", at(0), 10.0, 9.0, 0.9), ("B", at(1), 100.0, 10.0, 0.1)]
+    df = spark.createDataFrame(rows, "symbol string, ts timestamp_ntz, perps_trades_volume double, perps_trades_buy_volume double, perps_trades_buy_volume_share double")
+    assert resample(df, ["symbol"], "ts", 300).first().perps_trades_buy_volume_share == pytest.approx(19 / 110)
+
+
+def test_surfaces_of_underlyings_do_not_mix(spark):
+    option = "exchange string, instrument_name string, timestamp timestamp_ntz, ingested_at timestamp_ntz, implied_volatility double, strike double, underlying_price double, expiry date, option_type string, bid_price double, ask_price double"
+    q = lambda iv, name: ("d", name, at(0), at(0, 5), iv, 100.0, 100.0, datetime(2026, 1, 5).date(), "C", 1.0, 2.0)
+    df = spark.createDataFrame([q(0.5, "BTC-27MAR26-100-C"), q(0.9, "ETH-27MAR26-100-C")], option)
+    assert {r.symbol: r.atm_iv for r in silver.option_surface_feature(df, df.limit(0)).collect()} == {"BTC": 0.5, "ETH": 0.9}
+
+
+def test_exponential_means_fade_over_gaps(spark):
+    rows = [("B", at(i), p) for i, p in enumerate((1.0, None, 4.0, None, None, 2.0))]
+    got = T.ema(spark.createDataFrame(rows, "symbol string, ts timestamp_ntz, p double"), ["symbol"], "ts", "p", (3,)).orderBy("ts").collect()
+    second = (0.25 * 1 + 0.5 * 4) / 0.75
+    near([r.ema_3 for r in got], [1.0, None, second, None, None, (0.125 * second + 0.5 * 2) / 0.625])
+
+
+def test_rolling_moments_match_brute_force(spark):
+    import random
+
+    rng = random.Random(5)
+    rows = [(s, at(rng.randrange(6000)), None if rng.random() < 0.2 else rng.choice([5.0, 5.0, rng.random() * 1e3])) for s in "AB" for _ in range(300)] + [("A", None, 3.0)]
+    df = spark.createDataFrame(rows, "symbol string, ts timestamp_ntz, x double")
+    from tidemark.functions.windows import rolling
+
+    spans = {"s": 600, "m": 7200, "d": 2 * 86_400}
+    got = rolling(df, ["symbol"], "ts", {"v": F.col("x")}, spans).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        for name, seconds in spans.items():
+            if r.ts is None:
+                continue
+            xs = [x for s, t, x in rows if s == r.symbol and t is not None and x is not None and r.ts - timedelta(seconds=seconds) < t <= r.ts]
+            w = r[f"v_{name}"]
+            assert w.n == len(xs)
+            mean = sum(xs) / len(xs) if xs else None
+            std = math.sqrt(sum((x - mean) ** 2 for x in xs) / (len(xs) - 1)) if len(xs) > 1 else None
+            near([w.total, w.mean], [sum(xs) if xs else None, mean], 1e-9)
+            assert (w.std is None) == (std is None) and (std is None or abs(w.std - std) < 1e-7 * max(1, std)) and (len(set(xs)) != 1 or not w.std)
+
+
+def test_rows_are_reached_across_blocks(spark, monkeypatch):
+    from tidemark.functions import windows
+
+    monkeypatch.setattr(windows, "BLOCK_ROWS", 4)
+    rows = [(s, at(i * i), float(i)) for s in "AB" for i in range(50)]
+    df = spark.createDataFrame(rows, "symbol string, ts timestamp_ntz, x double")
+    out = windows.over_rows(df, ["symbol"], "ts", lambda w: {"a": F.lag("x", 3).over(w), "b": F.lead("x", 2).over(w)}, back=3, ahead=2).orderBy("symbol", "ts").collect()
+    assert [(r.a, r.b) for r in out] == [(i - 3.0 if i > 2 else None, i + 2.0 if i < 48 else None) for i in range(50)] * 2
+
+
+def test_recent_trades_and_metadata(spark):
+    when, later = at(0), at(1)
+    row = lambda name, kind, i, price, snap, side: ("D", "f", name, kind, i, when, snap, snap, price, 2.0, side)
+    cols = "exchange string, source string, instrument_name string, instrument_type string, trade_id string, exchange_timestamp timestamp_ntz, snapshot_time timestamp_ntz, ingested_at timestamp_ntz, price double, amount double, direction string"
+    rows = [row("BTC-PERPETUAL", "perp", "known-1", 100.0, when, "buy"), row("BTC-PERPETUAL", "perp", "known-1", 101.0, later, "buy"),
+            row("BTC-19JUN26-65000-C", "option", None, 0.1, when, "sell"), row("BTC-19JUN26-65000-C", "option", None, 0.1, later, "sell"),
+            row("BTC-19JUN26-65000-C", "option", None, -1.0, later, "sell"), row("BTC-BAD", "option", "x", 1.0, later, "?")]
+    got = silver.recent_trades_observed(spark.createDataFrame(rows, cols)).orderBy("instrument_name").collect()
+    assert [(r.instrument_name, r.price, r.trade_id_is_source, r.snapshot_timestamp, r.strike, r.side) for r in got] == [
+        ("BTC-19JUN26-65000-C", 0.1, False, later, 65000.0, "sell"), ("BTC-PERPETUAL", 101.0, True, later, None, "buy")]
+    assert got[0].deduplication_key.startswith("fallback:|d|BTC-19JUN26-65000-C|") and got[1].deduplication_key == "id:known-1"
+    assert got[0].asDict().keys() == dict.fromkeys(COLUMNS["recent_trade_observed"]).keys()
+
+
+def test_live_tables(spark):
+    """Snapshots of many instruments become one row a minute; observed minutes only, coarser forms too."""
+    from tidemark.plans.contracts import _LIVE
+
+    one = spark.createDataFrame([("d", "B", at(m), 10.0 + m, 11.0, 9.0, 12.0 + m, at(m)) for m in (0, 3)],
+                                "exchange string, symbol string, timestamp timestamp_ntz, volatility_close double, index_price double, mark_price double, open_interest double, ingested_at timestamp_ntz")
+    book = spark.createDataFrame([("d", "B", n, at(0), 99.0, 1.0, 101.0 + k, 3.0, at(0)) for k, n in enumerate("xy")],
+                                 "exchange string, symbol string, instrument_name string, timestamp timestamp_ntz, best_bid_price double, best_bid_size double, best_ask_price double, best_ask_size double, ingested_at timestamp_ntz")
+    quotes = spark.createDataFrame([("d", "B", n, at(0), iv, at(0)) for n, iv in (("x", 0.4), ("y", 0.6))], "exchange string, symbol string, instrument_name string, timestamp timestamp_ntz, implied_volatility double, ingested_at timestamp_ntz")
+    sources = {s: quotes if "ticker" in s else book if "l2" in s else one for s in _LIVE}
+    got = gold.build("live.extended", sources).orderBy("timestamp_m1").collect()
+    assert [r.timestamp_m1 for r in got] == [at(0), at(3)]
+    assert (got[0].options_l2_top_bid_depth, got[0].perps_l2_spread, got[0].options_ticker_median_implied_volatility) == (2.0, 2.5, 0.5)
+    assert got[0].live_extended_options_l2_depth_imbalance_ratio == pytest.approx(-0.5)
+    assert got[1].live_extended_futures_mark_price_mean_15m == 9.0 and got[1].live_extended_options_surface_skew_term_ratio is None
+    assert gold.build("live.full", sources, 300).count() == 1

@@ -2,13 +2,20 @@
 
 A trailing window never looks back further than its width.  Series are cut into
 slices at least as long; a slice is computed with the slice before it as
-context, so (key, slice) and not key alone is what a task gets.
+context, so (key, slice) and not key alone is what a task gets.  Sums over such
+windows are differences of running sums, so their cost doesn't grow with the
+width.  Windows over counts of rows are cut in blocks of numbered rows, with the
+rows of the neighbours that they reach as context.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -17,6 +24,26 @@ from tidemark.functions.exprs import micros
 SLICE_SECONDS = 86_400
 
 
+#: Rows of a block; a longer reach makes longer blocks.
+BLOCK_ROWS = 1 << 14
+#: Windows of at most so many seconds hold few rows: they are gone through, which keeps all digits.
+SHORT_SECONDS = 900
+#: Of rows without a time.
+_NEVER = -(1 << 40)
+
+
+def _sliced(df: DataFrame, ts: str, seconds: int) -> DataFrame:
+    """Rows with their time in microseconds, in their own slice and as context in the next one."""
+    width = max(seconds + 1, SLICE_SECONDS) * 1_000_000
+    tagged = df.withColumn("__us", micros(F.col(ts)))
+    tagged = tagged.withColumn("__own", F.coalesce(F.floor(F.col("__us") / width), F.lit(_NEVER)))
+    return tagged.withColumn("__slice", F.explode(F.when(F.col("__us").isNull(), F.array("__own")).otherwise(F.array(F.col("__own"), F.col("__own") + 1))))
+
+
+def _own(df: DataFrame) -> DataFrame:
+    return df.where("__slice = __own").drop("__us", "__own", "__slice")
+
+
 def trailing(
     df: DataFrame,
     keys: list[str],
@@ -25,24 +52,112 @@ def trailing(
     aggregates: dict[str, Callable[[WindowSpec], Column]],
     closed: bool = False,
 ) -> DataFrame:
-    """Add aggregates over (t - seconds, t], or over [t - seconds, t] if ``closed``.
+    """Add aggregates over (t - seconds, t], or over [t - seconds, t] if ``closed``; rows without a time are each other's window.
 
-    Rows without a time have no window and are dropped.
+    For windows of a few rows, and aggregates that aren't sums: each row's window is gone through anew.
     """
-    width = max(seconds + 1, SLICE_SECONDS) * 1_000_000
-    own = F.floor(F.col("__us") / width)
-    tagged = (
-        df.withColumn("__us", micros(F.col(ts)))
-        .withColumn("__own", own)
-        .withColumn("__slice", F.explode(F.array(F.col("__own"), F.col("__own") + 1)))
-    )
-    low = -(seconds * 1_000_000 - (0 if closed else 1))
-    w = Window.partitionBy(*keys, "__slice").orderBy("__us").rangeBetween(low, 0)
-    return (
-        tagged.withColumns({name: make(w) for name, make in aggregates.items()})
-        .where("__slice = __own")
-        .drop("__us", "__own", "__slice")
-    )
+    w = Window.partitionBy(*keys, "__slice").orderBy("__us").rangeBetween(-(seconds * 1_000_000 - (0 if closed else 1)), 0)
+    return _own(_sliced(df, ts, seconds).withColumns({name: make(w) for name, make in aggregates.items()}))
+
+
+def rolling(df: DataFrame, keys: list[str], ts: str, values: dict[str, Column], spans: dict[str, int], moments: bool = True) -> DataFrame:
+    """Add ``{value}_{span}``: a struct of n, total, mean, std of each value over each (t - seconds, t], all in one exchange.
+
+    Running sums of a slice, less those up to the window's start; short windows are gone through instead.  Values are taken
+    from the slice's mean, which keeps digits, and a window in which the value never changes gives exact results.  Without
+    ``moments`` only n and total.
+    """
+    rows = _sliced(df.withColumns({f"__x_{v}": x.cast("double") for v, x in values.items()}), ts, max(spans.values()))
+    part = Window.partitionBy(*keys, "__slice")
+    order = part.orderBy("__us")
+    up_to = lambda at: order.rangeBetween(Window.unboundedPreceding, at)
+    made, out = [f"__x_{v}" for v in values], {}
+    wide = {name: seconds for name, seconds in spans.items() if seconds > SHORT_SECONDS}
+    for name, seconds in spans.items():
+        if name not in wide:
+            w = order.rangeBetween(1 - seconds * 1_000_000, 0)
+            for v in values:
+                x = F.col(f"__x_{v}")
+                fields = [F.count(x).over(w).alias("n"), F.sum(x).over(w).alias("total")]
+                fields += [F.avg(x).over(w).alias("mean"), F.stddev_samp(x).over(w).alias("std")] if moments else []
+                out[f"{v}_{name}"] = F.struct(*fields)
+    if wide:
+        before = order.rowsBetween(Window.unboundedPreceding, -1)
+        rows = rows.withColumns({f"__c_{v}": F.coalesce(F.avg(f"__x_{v}").over(part), F.lit(0.0)) for v in values} | {
+            f"__p_{v}": F.last(F.when(F.col(f"__x_{v}").isNotNull(), F.struct("__us", F.col(f"__x_{v}").alias("x"))), True).over(before) for v in values})
+        rows = rows.withColumns({f"__y_{v}": F.col(f"__x_{v}") - F.col(f"__c_{v}") for v in values} | {
+            f"__e_{v}": F.when(F.col(f"__x_{v}") != F.col(f"__p_{v}.x"), F.col(f"__p_{v}.__us")) for v in values})
+        ends = {0: "now"} | {-seconds * 1_000_000: f"{name}_ago" for name, seconds in wide.items()}
+        sums = {}
+        for at, when in ends.items():
+            for v in values:
+                y = F.col(f"__y_{v}")
+                sums[f"__n_{v}_{when}"] = F.count(y).over(up_to(at))
+                sums[f"__s_{v}_{when}"] = F.coalesce(F.sum(y).over(up_to(at)), F.lit(0.0))
+                if moments:
+                    sums[f"__q_{v}_{when}"] = F.coalesce(F.sum(y * y).over(up_to(at)), F.lit(0.0))
+        # The last row before the value's last change, and the value since.
+        sums |= {f"__edge_{v}": F.max(f"__e_{v}").over(up_to(0)) for v in values} | {f"__last_{v}": F.last(f"__x_{v}", True).over(up_to(0)) for v in values}
+        rows = rows.withColumns(sums)
+        made += [f"__{x}_{v}" for v in values for x in ("c", "y", "p", "e")] + list(sums)
+    for name, seconds in wide.items():
+        for v in values:
+            n, s, q = (F.col(f"__{x}_{v}_now") - F.col(f"__{x}_{v}_{name}_ago") if moments or x != "q" else None for x in "nsq")
+            c, last = F.col(f"__c_{v}"), F.col(f"__last_{v}")
+            same = F.col(f"__edge_{v}").isNull() | (F.col(f"__edge_{v}") <= F.col("__us") - seconds * 1_000_000)
+            fields = [n.alias("n"), F.when(n > 0, F.when(same, n * last).otherwise(s + n * c)).alias("total")]
+            if moments:
+                std = F.when(same, 0.0).otherwise(F.sqrt(F.greatest(q - s * s / n, F.lit(0.0)) / F.greatest(n - 1, F.lit(1))))
+                fields += [F.when(n > 0, F.when(same, last).otherwise(c + s / n)).alias("mean"), F.when(n > 1, std).alias("std")]
+            out[f"{v}_{name}"] = F.struct(*fields)
+    return _own(rows.withColumns(out)).drop(*made)
+
+
+def running(df: DataFrame, keys: list[str], ts: str, value: Column, name: str, *order: str) -> DataFrame:
+    """Add the running sum of ``value`` in a series, this row's included: sums within slices of time, and those of the slices before."""
+    at = F.coalesce(F.floor(micros(F.col(ts)) / (SLICE_SECONDS * 1_000_000)), F.lit(_NEVER))
+    rows = df.withColumn("__slice", at).withColumn("__value", value)
+    place = F.struct(*keys, "__slice")
+    before = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    base = rows.groupBy(*keys, "__slice").agg(F.sum("__value").alias("c")).select(  # a row for each slice
+        place.alias("__place"), F.coalesce(F.sum("c").over(before), F.lit(0)).alias("__base"))
+    inside = Window.partitionBy(*keys, "__slice").orderBy(ts, *order).rowsBetween(Window.unboundedPreceding, 0)
+    own = rows.withColumn("__i", F.coalesce(F.sum("__value").over(inside), F.lit(0))).withColumn("__place", place)
+    return own.join(base, "__place").withColumn(name, F.col("__base") + F.col("__i")).drop("__place", "__base", "__i", "__slice", "__value")
+
+
+def numbered(df: DataFrame, keys: list[str], ts: str, *order: str) -> DataFrame:
+    """Add ``__n``, the number of each row in its series, from 0."""
+    return running(df, keys, ts, F.lit(1).cast("long"), "__n", *order).withColumn("__n", F.col("__n") - 1)
+
+
+def blocks(
+    df: DataFrame, keys: list[str], ts: str, *order: str, back: int = 0, ahead: int = 0, step: int | None = None, long: int = BLOCK_ROWS
+) -> tuple[DataFrame, WindowSpec]:
+    """``df`` dealt out in blocks of a series' rows, and the window in which to look so many rows back and ahead.
+
+    ``step``: the rows are a grid without gaps, of so many seconds; their numbers then follow from their times, and
+    nothing has to be counted.  ``whole`` takes the context away again.
+    """
+    long = max(back, ahead, long)
+    rows = df.withColumn("__n", F.floor(micros(F.col(ts)) / (step * 1_000_000))) if step else numbered(df, keys, ts, *order)
+    rows = rows.withColumn("__own", F.floor(F.col("__n") / long))
+    n = F.pmod(F.col("__n"), F.lit(long))
+    places = [F.col("__own"), F.when(n >= long - back, F.col("__own") + 1), F.when(n < ahead, F.col("__own") - 1)]
+    rows = rows.withColumn("__block", F.explode(F.array_compact(F.array(*places))))
+    return rows, Window.partitionBy(*keys, "__block").orderBy("__n")
+
+
+def whole(rows: DataFrame) -> DataFrame:
+    return rows.where("__block = __own").drop("__n", "__own", "__block")
+
+
+def over_rows(
+    df: DataFrame, keys: list[str], ts: str, make: Callable[[WindowSpec], dict[str, Column]], back: int = 0, ahead: int = 0, step: int | None = None
+) -> DataFrame:
+    """Add columns that look ``back`` and ``ahead`` so many rows of a series; ``step`` as in ``blocks``."""
+    rows, w = blocks(df, keys, ts, back=back, ahead=ahead, step=step)
+    return whole(rows.withColumns(make(w)))
 
 
 def last_known(
@@ -56,10 +171,7 @@ def last_known(
     at = F.floor(micros(F.col(ts)) / (slice_seconds * 1_000_000))
     rows = df.withColumn("__slice", at).withColumn("__value", value)
     place = F.struct(ts, *order)
-    ends = rows.where(F.col("__value").isNotNull()).groupBy(*keys, "__slice").agg(
-        F.max_by("__value", place).alias("__end")
-    )
-    filled = rows.select(*keys, "__slice").distinct().join(ends, [*keys, "__slice"], "left")
+    filled = rows.groupBy(*keys, "__slice").agg(F.max_by("__value", F.when(F.col("__value").isNotNull(), place)).alias("__end"))
     before = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = filled.select(*keys, "__slice", F.last("__end", True).over(before).alias("__carried"))
     inside = Window.partitionBy(*keys, "__slice").orderBy(ts, *order).rowsBetween(
@@ -73,52 +185,48 @@ def last_known(
     )
 
 
-def series(keys: list[str], *order: str) -> WindowSpec:
-    return Window.partitionBy(*keys).orderBy(*order)
-
-
-def rows_back(keys: list[str], n: int, *order: str) -> WindowSpec:
-    """The last n rows, the current one included."""
-    return series(keys, *order).rowsBetween(-(n - 1), 0)
-
-
-def mean2(x: Column) -> Callable[[WindowSpec], Column]:
-    """Mean of at least two values."""
-    return lambda w: F.when(F.count(x).over(w) >= 2, F.avg(x).over(w))
-
-
-def std2(x: Column) -> Callable[[WindowSpec], Column]:
-    return lambda w: F.stddev_samp(x).over(w)
-
-
 def max2(x: Column) -> Callable[[WindowSpec], Column]:
     return lambda w: F.when(F.count(x).over(w) >= 2, F.max(x).over(w))
 
 
-def total(x: Column) -> Callable[[WindowSpec], Column]:
-    return lambda w: F.sum(x).over(w)
-
-
-def zscore(x: Column) -> Callable[[WindowSpec], Column]:
-    """(x - mean) / std, null unless std > 0."""
-
-    def make(w: WindowSpec) -> Column:
-        std = F.stddev_samp(x).over(w)
-        return F.when(std > 0, (x - F.avg(x).over(w)) / std)
+def zscore(x: Column, window: str) -> Column:
+    """(x - mean) / std of a window of ``rolling``, null unless std > 0."""
+    return F.when(F.col(f"{window}.std") > 0, (x - F.col(f"{window}.mean")) / F.col(f"{window}.std"))
 
-    return make
 
+def percentile_rank(df: DataFrame, keys: list[str], ts: str, value: str, seconds: int, name: str) -> DataFrame:
+    """Add the share of the values in the closed [t - seconds, t] that are at most the current one; null for a null.
 
-def realized(r: Column) -> Callable[[WindowSpec], Column]:
-    """Root of the sum of squared returns; null where the current return is."""
-    return lambda w: F.when(r.isNotNull(), F.sqrt(F.sum(r * r).over(w)))
-
-
-def percentile_rank(x: Column) -> Callable[[WindowSpec], Column]:
-    """Share of the window's values that are at most the current one."""
-
-    def make(w: WindowSpec) -> Column:
-        held = F.collect_list(x).over(w)
-        return F.when(x.isNotNull(), F.size(F.filter(held, lambda y: y <= x)) / F.size(held))
-
-    return make
+    Counting orders has no built-in form that is linear in the width: each slice goes through one ordered pass in Arrow batches.
+    """
+    slim = [*keys, ts, value]
+    distinct = df.select(*slim).where(F.col(value).isNotNull() & F.col(ts).isNotNull()).groupBy(*slim).agg(F.count(F.lit(1)).alias("__times"))
+    rows = _sliced(distinct, ts, seconds)
+    reach = seconds * 1_000_000
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in distinct.schema.fields if f.name != "__times") + ", __rank double"
+
+    def ranked(table: pa.Table) -> pa.Table:
+        us, x, times = (table.column(c).to_numpy(zero_copy_only=False) for c in ("__us", value, "__times"))
+        order = np.argsort(us, kind="stable")
+        held: list[float] = []
+        out = np.zeros(len(us))
+        first = i = 0
+        while i < len(order):
+            j = i
+            while j < len(order) and us[order[j]] == us[order[i]]:  # rows of one instant see each other
+                for _ in range(times[order[j]]):
+                    insort(held, x[order[j]])
+                j += 1
+            while us[order[first]] < us[order[i]] - reach:
+                for _ in range(times[order[first]]):
+                    del held[bisect_left(held, x[order[first]])]
+                first += 1
+            for k in order[i:j]:
+                out[k] = bisect_right(held, x[k]) / len(held)
+            i = j
+        own = pc.equal(table.column("__slice"), table.column("__own"))
+        return table.select(slim).append_column("__rank", pa.array(out)).filter(own)
+
+    ranks = rows.groupBy(*keys, "__slice").applyInArrow(ranked, schema)
+    place = lambda d: d.withColumn("__place", F.struct(*slim))
+    return place(df).join(place(ranks).select("__place", F.col("__rank").alias(name)), "__place", "left").drop("__place")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import micros, ratio
+from tidemark.sources.scratch import scratch
 
 
 def _long(df: DataFrame, columns: list[str], measures: dict[str, str]) -> DataFrame:
@@ -100,8 +101,22 @@ def reconcile(a: DataFrame, b: DataFrame, keys: list[str], value: str, tolerance
 
 
 def even_sample(df: DataFrame, keys: list[str], order: str, most: int) -> DataFrame:
-    """Rows at even steps, at most ``most`` of each key: a sampling operator for plots."""
+    """Rows at even steps, at most ``most`` of each key: a sampling operator for plots.
+
+    Rows are dealt out by ranges of (key, order) and written, so that a key fills many tasks; counts of ranges number them.
+    """
+    spark = df.sparkSession
+    at = scratch(spark, "even-sample")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.repartitionByRange(n, *keys, order).withColumn("__part", F.spark_partition_id()).write.parquet(at)
+    rows = spark.read.parquet(at)
+    place = F.struct(*keys, "__part")
+    counts = rows.groupBy(*keys, "__part").agg(F.count(F.lit(1)).alias("c"))
     w = Window.partitionBy(*keys)
-    numbered = df.withColumn("__n", F.row_number().over(w.orderBy(order)) - 1).withColumn("__all", F.count(F.lit(1)).over(w))
+    base = counts.select(
+        place.alias("__place"), F.sum("c").over(w).alias("__all"),
+        F.coalesce(F.sum("c").over(w.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__base"))
+    own = rows.withColumn("__i", F.row_number().over(Window.partitionBy(*keys, "__part").orderBy(order)) - 1).withColumn("__place", place)
+    numbered = own.join(base, "__place").withColumn("__n", F.col("__base") + F.col("__i"))
     step = F.greatest(F.lit(1), F.ceil(F.col("__all") / most))
-    return numbered.where(F.col("__n") % step == 0).drop("__n", "__all")
+    return numbered.where(F.col("__n") % step == 0).select(*df.columns)

@@ -52,6 +52,17 @@ def book_features(books: DataFrame) -> DataFrame:
     return out
 
 
+def quality_mask(books: DataFrame, strict: bool = False) -> DataFrame:
+    """The books of ``book_features`` that can be used: both sides there, and a positive spread.
+
+    Lenient: others are dropped.  Strict: one of them makes the job fail.
+    """
+    usable = F.coalesce(F.col("spread") > 0, F.lit(False))
+    if not strict:
+        return books.where(usable)
+    return books.withColumn("spread", F.when(~usable, F.raise_error(F.lit("a book is unusable")).cast("double")).otherwise(F.col("spread")))
+
+
 def market_minute(books: DataFrame, keys: list[str]) -> DataFrame:
     """Contracts' books to one row per market and minute: median spread, summed depth, mean imbalance."""
     return books.groupBy(*keys).agg(

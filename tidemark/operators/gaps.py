@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import from_micros, micros
+from tidemark.functions.windows import over_rows, running
 
 
 def missing_ranges(df: DataFrame, keys: list[str], ts: str, seconds: int) -> DataFrame:
     """start, end of each run of missing steps between consecutive known times."""
     step = seconds * 1_000_000
     known = df.select(*keys, (F.floor(micros(F.col(ts)) / step) * step).alias("us")).distinct()
-    after = F.lead("us").over(Window.partitionBy(*keys).orderBy("us"))
-    gaps = known.withColumn("next", after).where(F.col("next") - F.col("us") > step)
+    known = known.withColumn("at", from_micros(F.col("us")))
+    gaps = over_rows(known, keys, "at", lambda w: {"next": F.lead("us").over(w)}, ahead=1).where(F.col("next") - F.col("us") > step)
     return gaps.select(
         *keys, from_micros(F.col("us") + step).alias("gap_start"), from_micros(F.col("next") - step).alias("gap_end"),
         ((F.col("next") - F.col("us")) / step - 1).cast("long").alias("missing_steps"),
@@ -22,11 +23,14 @@ def missing_ranges(df: DataFrame, keys: list[str], ts: str, seconds: int) -> Dat
 
 def islands(df: DataFrame, keys: list[str], ts: str, label: str, seconds: int) -> DataFrame:
     """start, end, steps of runs of equal labels over consecutive steps."""
-    w = Window.partitionBy(*keys).orderBy(ts)
-    starts = (F.lag(label).over(w).isNull() | (F.lag(label).over(w) != F.col(label))
-              | (micros(F.col(ts)) - micros(F.lag(ts).over(w)) > seconds * 1_000_000))
-    marked = df.withColumn("__start", starts.cast("int")).withColumn("__run", F.sum("__start").over(w))
-    return marked.groupBy(*keys, "__run").agg(
+    def start(w):
+        before = F.lag(label).over(w)
+        apart = micros(F.col(ts)) - micros(F.lag(ts).over(w)) > seconds * 1_000_000
+        return {"__start": before.isNull() | (before != F.col(label)) | apart}
+
+    marked = over_rows(df, keys, ts, start, back=1)
+    runs = running(marked, keys, ts, F.col("__start").cast("int"), "__run")
+    return runs.groupBy(*keys, "__run").agg(
         F.min(ts).alias("interval_start"), F.max(ts).alias("interval_end"), F.first(label).alias(label), F.count(F.lit(1)).alias("steps")
     ).drop("__run")
 

@@ -14,7 +14,7 @@ OPEN, HIGH, LOW, CLOSE = ("_open_price", "_open"), ("_high_price", "_high"), ("_
 SUMS = ("_volume", "_quote_volume", "_trade_count", "_buy_trade_count", "_sell_trade_count")
 FLAGS = ("funding_data_available", "is_funding_observation_minute", "open_interest_is_observed", "open_interest_is_ffill")
 #: Shares are recomputed from the sums: name -> (part, whole).
-SHARES = {f"{k}_buy_volume_share": (f"{k}_buy_volume", f"{k}_volume") for k in ("perp_trades", "options_trades")}
+SHARES = {f"{k}_buy_volume_share": (f"{k}_buy_volume", f"{k}_volume") for k in ("perps_trades", "options_trades")}
 
 
 def rule(name: str, ts: str) -> Callable[[Column], Column]:

@@ -6,21 +6,64 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def row_digest(columns: list[str]) -> Column:
-    """SHA-256 of a row's values, each with its null told apart from any text."""
-    parts = [F.coalesce(F.concat(F.lit("v"), F.col(c).cast("string")), F.lit("n")) for c in columns]
-    return F.sha2(F.concat_ws("\x1f", *parts), 256)
+def _typed(df: DataFrame, name: str) -> Column:
+    """A value as text that names its type, so that 1 and '1' differ; a number that isn't finite makes the job fail."""
+    x, kind = F.col(f"`{name}`"), df.schema[name].dataType.simpleString()
+    text = x.cast("string")
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        own = F.concat(F.lit("int:"), text)
+    elif kind == "boolean":
+        own = F.when(x, "bool:1").otherwise("bool:0")
+    elif kind in ("float", "double"):
+        bad = F.isnan(x) | (F.abs(x) == float("inf"))
+        own = F.concat(F.lit("float:"), F.when(bad, F.raise_error(F.lit(f"{name} isn't finite"))).otherwise(F.when(x == 0, 0.0).otherwise(x).cast("string")))
+    elif kind in ("timestamp", "timestamp_ntz"):
+        own = F.concat(F.lit("dt:"), F.unix_micros(x.cast("timestamp")).cast("string"))
+    elif kind == "binary":
+        own = F.concat(F.lit("bytes:"), F.lower(F.hex(x)))
+    elif kind in ("date", "string") or kind.startswith("decimal"):
+        own = F.concat(F.lit({"date": "date:", "string": "str:"}.get(kind, "decimal:")), text)
+    else:
+        own = F.concat(F.lit(f"{kind.split('<')[0]}:"), F.to_json(x))
+    return F.concat(F.lit(f"column:{name}="), F.when(x.isNull(), "null").otherwise(own), F.lit("\x1f"))
+
+
+def row_digest(df: DataFrame, columns: list[str]) -> Column:
+    """SHA-256 of a row's names, types and values, in order."""
+    return F.sha2(F.concat(*[_typed(df, c) for c in columns]), 256)
 
 
 def delta(source: DataFrame, target: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """key, action: insert, update, delete or unchanged.  Only keys and digests are shuffled."""
-    s = source.select(*keys, row_digest(columns).alias("__s"))
-    t = target.select(*keys, row_digest(columns).alias("__t"))
+    """key, action: insert, update, delete or unchanged.  Only keys and digests are shuffled; a key that repeats on a side is an error."""
+
+    def digests(df: DataFrame, name: str) -> DataFrame:
+        rows = df.select(*keys, row_digest(df, columns).alias("d")).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.max("d").alias("d"))
+        return rows.select(*keys, F.when(F.col("n") > 1, F.raise_error(F.lit("a key repeats"))).otherwise(F.col("d")).alias(name))
+
     action = (
         F.when(F.col("__t").isNull(), "insert").when(F.col("__s").isNull(), "delete")
         .when(F.col("__s") == F.col("__t"), "unchanged").otherwise("update")
     )
-    return s.join(t, keys, "full_outer").select(*keys, action.alias("action"))
+    return digests(source, "__s").join(digests(target, "__t"), keys, "full_outer").select(*keys, action.alias("action"))
+
+
+def tail_after(new: DataFrame, known: DataFrame, keys: list[str], ts: str) -> DataFrame:
+    """The rows of each series that are later than what is known of it; all rows of an unknown series."""
+    last = known.groupBy(*keys).agg(F.max(ts).alias("__last"))  # one row for each series
+    return new.join(last, keys, "left").where(F.col("__last").isNull() | (F.col(ts) > F.col("__last"))).drop("__last")
+
+
+def freshness(df: DataFrame, keys: list[str], ts: str, now: Column, limit_seconds: int) -> DataFrame:
+    """Last row of each series, its age at ``now``, and whether that is within the limit."""
+    age = ((F.unix_micros(now.cast("timestamp")) - F.unix_micros(F.col("last_seen").cast("timestamp"))) / 1_000_000).cast("long")
+    return df.groupBy(*keys).agg(F.max(ts).alias("last_seen")).withColumn("age_seconds", age).withColumn(
+        "status", F.when(F.col("age_seconds") <= limit_seconds, "FRESH").otherwise("STALE"))
+
+
+def in_month(df: DataFrame, ts: str, month: Column) -> DataFrame:
+    """The rows of one month: what a rebuild with earlier months as context gives out."""
+    first = F.date_trunc("month", month).cast("timestamp_ntz")
+    return df.where((F.col(ts) >= first) & (F.col(ts) < F.add_months(first.cast("date"), 1).cast("timestamp_ntz")))
 
 
 def certify(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
@@ -36,8 +79,8 @@ def certify(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
 
 def semver(version: Column) -> Column:
     """major, minor, patch as a comparable struct; nulls for malformed ones."""
-    return F.struct(*[F.try_to_number(F.nullif(F.regexp_extract(version, r"^v?(\d+)\.(\d+)\.(\d+)$", i), F.lit("")), F.lit("999999")).alias(n)
-                      for i, n in ((1, "major"), (2, "minor"), (3, "patch"))])
+    part = lambda i: F.nullif(F.regexp_extract(version, r"^v?(\d+)\.(\d+)\.(\d+)$", i), F.lit("")).try_cast("long")
+    return F.struct(*[part(i).alias(n) for i, n in ((1, "major"), (2, "minor"), (3, "patch"))])
 
 
 def latest_version(artifacts: DataFrame, keys: list[str], version: str, built: str) -> DataFrame:

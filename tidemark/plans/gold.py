@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import features as T
+from tidemark.operators.dedup import keep_last
 from tidemark.operators.grid import span_grid
 from tidemark.operators.resample import resample
-from tidemark.plans.contracts import GOLD, PREFIX
+from tidemark.plans.contracts import ABSENT, ALIASES, GOLD, OBSERVED_ONLY, PREFIX, carried
 
 KEYS = ["exchange", "symbol", "timestamp_m1"]
 
@@ -53,8 +54,9 @@ def build(dataset: str, sources: dict[str, DataFrame], seconds: int = 60) -> Dat
     required, optional = GOLD[dataset]
     if lacking := [s for s in required if s not in sources]:
         raise KeyError(f"{dataset} needs {lacking}")
-    ready = {s: _ready(sources[s]) for s in (*required, *(o for o in optional if o in sources))}
-    grid = span_grid(reduce(DataFrame.unionByName, [ready[s].select(*KEYS) for s in required]), KEYS[:2], KEYS[2])
+    ready = {s: prepared(s, sources[s]) for s in (*required, *(o for o in optional if o in sources))}
+    minutes = reduce(DataFrame.unionByName, [ready[s].select(*KEYS) for s in required])
+    grid = minutes.distinct() if dataset in OBSERVED_ONLY else span_grid(minutes, KEYS[:2], KEYS[2])
     out = grid
     for name in (*required, *optional):
         flag = f"{name}_available"
@@ -66,32 +68,71 @@ def build(dataset: str, sources: dict[str, DataFrame], seconds: int = 60) -> Dat
         side = prefixed(side, prefix) if prefix else side
         fresh = [c for c in side.columns if c in KEYS or c not in out.columns]
         out = out.join(side.select(*fresh).withColumn(flag, F.lit(True)), KEYS, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
+    if dataset == "live.extended":
+        out = T.live_extended(out)
     return out if seconds == 60 else resample(out, KEYS[:2], KEYS[2], seconds)
 
 
-def _ready(df: DataFrame) -> DataFrame:
-    time = next(c for c in ("timestamp_m1", "open_time", "timestamp") if c in df.columns)
-    df = df.withColumnRenamed(time, "timestamp_m1")
-    df = df.withColumn("timestamp_m1", F.date_trunc("minute", "timestamp_m1").cast("timestamp_ntz"))
-    return df.drop("ingested_at", "source_endpoint")
+#: Sources that only give their minutes: they are there for lineage.
+KEYS_ONLY = ("recent_trade_snapshot_1m_observed", "instrument_metadata_snapshot_daily_observed", "futures_instrument_metadata_snapshot_daily_observed")
+
+
+def prepared(name: str, df: DataFrame) -> DataFrame:
+    """A source on the minute grid, one row a key: older names renamed, absent columns null, snapshots of many instruments aggregated."""
+    renamed = {a: b for a, b in ALIASES.get(name, {}).items() if a in df.columns and b not in df.columns}
+    df = df.withColumnsRenamed(renamed)
+    time = next(c for c in ("timestamp_m1", "open_time", "trade_time", "snapshot_date", "timestamp") if c in df.columns)
+    df = df.withColumn("__minute", F.date_trunc("minute", F.col(time).cast("timestamp_ntz")).cast("timestamp_ntz")).drop("timestamp_m1").withColumnRenamed("__minute", KEYS[2])
+    df = df.drop(time) if time != KEYS[2] else df
+    if name in KEYS_ONLY:
+        return df.select(*KEYS).distinct()
+    for c, kind in ABSENT.get(name, {}).items():
+        if c not in df.columns:
+            df = df.withColumn(c, F.lit(None).cast(kind))
+    if name == "volatility_index_1m_feature":
+        df = df.withColumns({"as_of": carried(df, "iv_source_timestamp"), "live_snapshot_derived": F.lit(True)})
+    if "instrument_name" in df.columns:
+        return (options_minute if "implied_volatility" in df.columns else book_minute)(df)
+    own = [c for c in df.columns if c not in ("ingested_at", "source_endpoint", "schema_version", "dataset_type", "run_id", "event_time", "close_time", "timeframe", "origin_payload")]
+    return keep_last(df, KEYS, F.col("ingested_at") if "ingested_at" in df.columns else F.lit(1)).select(*own)
+
+
+def options_minute(df: DataFrame) -> DataFrame:
+    """Quotes of many contracts in one row: their number, medians of volatility and greeks, sums of interest and volume."""
+    last = keep_last(df, [*KEYS, "instrument_name"], F.col("ingested_at"))
+    middle = ("implied_volatility", "mark_price", "underlying_price", "delta", "gamma", "vega", "theta")
+    return last.groupBy(*KEYS).agg(
+        F.count_distinct("instrument_name").alias("contract_count"), *[F.median(c).alias(f"median_{c}") for c in middle if c in df.columns],
+        *[F.sum(c).alias(c) for c in ("open_interest", "volume") if c in df.columns])
+
+
+def book_minute(df: DataFrame) -> DataFrame:
+    """Books of one or many instruments in one row: median mid and spread, summed sizes at the top, imbalance, share quoted."""
+    last = keep_last(df, [*KEYS, "instrument_name"], F.col("ingested_at") if "ingested_at" in df.columns else F.lit(1))
+    have = set(df.columns)
+    bid, ask = F.col("best_bid_price"), F.col("best_ask_price")
+    if "mid_price" not in have:
+        last = last.withColumns({"mid_price": (bid + ask) / 2, "spread": ask - bid, "top_bid_size": F.col("best_bid_size"), "top_ask_size": F.col("best_ask_size")})
+    b, a = F.sum("top_bid_size"), F.sum("top_ask_size")
+    return last.groupBy(*KEYS).agg(
+        F.count_distinct("instrument_name").alias("instrument_count"), F.median("mid_price").alias("mid_price"), F.median("spread").alias("spread"),
+        b.alias("top_bid_depth"), a.alias("top_ask_depth"), F.when(a + b > 0, (b - a) / (b + a)).alias("top_of_book_imbalance"),
+        F.avg(F.col("mid_price").isNotNull().cast("double")).alias("quote_coverage_ratio"))
 
 
 def with_strategy_features(gold: DataFrame) -> DataFrame:
     """Regime table with momentum, cost, trend and reversion features."""
     keys, ts, p, s = KEYS[:2], KEYS[2], "perp_close_price", "spot_ohlcv_close_price"
-    out = T.log_returns(gold, keys, ts, p, (1, 5, 15))
+    out = T.log_returns(gold, keys, ts, p, (1, 5, 15), step=60)
     out = out.withColumnsRenamed({f"log_return_{n}": f"momentum_log_return_{n}m" for n in (1, 5, 15)})
     scaled = {f"momentum_vol_scaled_{n}m": F.when(F.col("rv_1h") != 0, F.col(f"momentum_log_return_{n}m") / F.col("rv_1h")) for n in (5, 15)}
     out = out.withColumns(scaled | {"cost_spot_perp_spread": F.when(F.col(s) != 0, F.col(p) / F.col(s)) - 1, "cost_turnover_notional_1m": F.col(p) * F.col("perp_volume")})
     out = T.momentum(out, keys, ts, p, "perp_volume")
-    for n in (5, 15):
-        out = T.rolling_zscore(out, keys, ts, "cost_spot_perp_spread", 60 * n, f"reversion_spot_perp_spread_zscore_{n}m")
+    out = T.rolling_zscore(out, keys, ts, "cost_spot_perp_spread", {f"{n}m": 60 * n for n in (5, 15)}, "reversion_spot_perp_spread_zscore_")
     return T.half_life(T.ema(out, keys, ts, p), keys, ts, p)
 
 
 def with_targets(gold: DataFrame) -> DataFrame:
     """Labels at one hour, four hours and a day from perp_close_price, rv_1h, iv_minus_rv_1h, iv_rv_zscore_1d, funding_rate_last_known."""
     own = gold.withColumns({"funding": F.col("funding_rate_last_known"), "spread": F.col("iv_minus_rv_1h"), "z": F.col("iv_rv_zscore_1d")})
-    for name, rows in (("1h", 60), ("4h", 240), ("1d", 1440)):
-        own = T.forward_targets(own, KEYS[:2], KEYS[2], "perp_close_price", "rv_1h", rows, name)
-    return own.drop("funding", "spread", "z")
+    return T.forward_targets(own, KEYS[:2], KEYS[2], "perp_close_price", "rv_1h", step=60).drop("funding", "spread", "z")

@@ -43,13 +43,14 @@ def log_return_last_known(t):
     return T.return_to_last_known(gappy, ["symbol"], "ts", "p", "r").drop("p")
 
 
-RV_SQL = RET_SQL + ", rv AS (SELECT symbol, ts, " + ", ".join(f"CASE WHEN r IS NOT NULL THEN sqrt(sum(r * r) OVER {frame(s)}) END AS rv_{n}" for n, s in T.RV_WINDOWS.items()) + " FROM ret)"
+RV_SPANS = T.RV_WINDOWS | {"30d": 30 * T.DAY}
+RV_SQL = RET_SQL + ", rv AS (SELECT symbol, ts, " + ", ".join(f"CASE WHEN r IS NOT NULL THEN sqrt(sum(r * r) OVER {frame(s)}) END AS rv_{n}" for n, s in RV_SPANS.items()) + " FROM ret)"
 
 
-@query("realized_vol", f"WITH {RV_SQL} SELECT * FROM rv", " ".join(f"rv_{n}" for n in T.RV_WINDOWS))
+@query("realized_vol", f"WITH {RV_SQL} SELECT * FROM rv", " ".join(f"rv_{n}" for n in RV_SPANS))
 def realized_vol(t):
-    """Realised volatility over trailing windows from 5 minutes to a day."""
-    return T.realized_volatility(returns(t), K, "ts", "r").drop("exchange", "price", "volume", "r")
+    """Realised volatility over trailing windows from 5 minutes to 30 days."""
+    return T.realized_volatility(returns(t), K, "ts", "r", RV_SPANS).drop("exchange", "price", "volume", "r")
 
 
 @query("realized_vol_annualized", f"WITH {RV_SQL} SELECT symbol, ts, " + ", ".join(f"rv_{n} * {math.sqrt(525600 / (s / 60))!r} * 100 AS rv_{n}_annualized_pct" for n, s in T.RV_WINDOWS.items()) + " FROM rv", " ".join(f"rv_{n}_annualized_pct" for n in T.RV_WINDOWS), places=4)
@@ -73,8 +74,7 @@ def z_sql(x: str, seconds: int, name: str) -> str:
 @query("rolling_zscore", f"WITH {SERIES_SQL} SELECT symbol, ts, {z_sql('price', 86400, 'z_1d')}, {z_sql('price', 7 * 86400, 'z_7d')} FROM series", "z_1d z_7d")
 def rolling_zscore(t):
     """Z-scores over a day and a week."""
-    one = T.rolling_zscore(t.minute_series(), K, "ts", "price", 86400, "z_1d")
-    return T.rolling_zscore(one, K, "ts", "price", 7 * 86400, "z_7d").select("symbol", "ts", "z_1d", "z_7d")
+    return T.rolling_zscore(t.minute_series(), K, "ts", "price", {"1d": 86400, "7d": 7 * 86400}, "z_").select("symbol", "ts", "z_1d", "z_7d")
 
 
 @query("jump_proxy", f"WITH {RET_SQL} SELECT symbol, ts, abs(z) AS jump_proxy FROM (SELECT symbol, ts, {z_sql('r', 86400, 'z')} FROM ret)", "jump_proxy")
@@ -96,18 +96,18 @@ def row_window_features(t):
     return T.row_window_features(returns(t), K, "ts", "price", "r").select("symbol", "ts", "zscore_15", "rv_15", "zscore_60", "rv_60")
 
 
-@query("ema", f"WITH {SERIES_SQL} SELECT symbol, ts, list_reduce(list(price) OVER (PARTITION BY symbol ORDER BY ts ROWS BETWEEN 39 PRECEDING AND CURRENT ROW), lambda a, y: a + 0.5::DOUBLE * (y - a)) AS ema_3, list_reduce(list(price) OVER (PARTITION BY symbol ORDER BY ts ROWS BETWEEN 137 PRECEDING AND CURRENT ROW), lambda a, y: a + (2 / 11::DOUBLE) * (y - a)) AS ema_10 FROM series", "ema_3 ema_10", places=12)
+@query("ema", f"WITH {SERIES_SQL} SELECT symbol, ts, list_reduce(list(price) OVER (PARTITION BY symbol ORDER BY ts ROWS BETWEEN 79 PRECEDING AND CURRENT ROW), lambda a, y: a + 0.5::DOUBLE * (y - a)) AS ema_3, list_reduce(list(price) OVER (PARTITION BY symbol ORDER BY ts ROWS BETWEEN 275 PRECEDING AND CURRENT ROW), lambda a, y: a + (2 / 11::DOUBLE) * (y - a)) AS ema_10 FROM series", "ema_3 ema_10", places=9)
 def ema(t):
     """Exponential means of spans 3 and 10."""
     return T.ema(t.minute_series(), K, "ts", "price").select("symbol", "ts", "ema_3", "ema_10")
 
 
-@query("ema_slope", f"WITH {SERIES_SQL}, e AS (SELECT symbol, ts, list_reduce(list(price) OVER (PARTITION BY symbol ORDER BY ts ROWS BETWEEN 39 PRECEDING AND CURRENT ROW), lambda a, y: a + 0.5::DOUBLE * (y - a)) AS e FROM series) SELECT symbol, ts, e / lag(e) OVER (PARTITION BY symbol ORDER BY ts) - 1 AS slope FROM e", "slope")
+@query("ema_slope", f"WITH {SERIES_SQL}, e AS (SELECT symbol, ts, list_reduce(list(price) OVER (PARTITION BY symbol ORDER BY ts ROWS BETWEEN 79 PRECEDING AND CURRENT ROW), lambda a, y: a + 0.5::DOUBLE * (y - a)) AS e FROM series) SELECT symbol, ts, e / lag(e) OVER (PARTITION BY symbol ORDER BY ts) - 1 AS slope FROM e", "slope")
 def ema_slope(t):
     """Relative change of the exponential mean."""
     e = T.ema(t.minute_series(), K, "ts", "price", (3,))
-    before = F.lag("ema_3").over(W.series(K, "ts"))
-    return e.select("symbol", "ts", (X.ratio(F.col("ema_3"), before) - 1).alias("slope"))
+    out = W.over_rows(e, K, "ts", lambda w: {"slope": X.ratio(F.col("ema_3"), F.lag("ema_3").over(w)) - 1}, back=1)
+    return out.select("symbol", "ts", "slope")
 
 
 def momentum_sql(expr: str, name: str) -> str:
@@ -151,61 +151,59 @@ def oi_delta(t):
 def flow_signals(t):
     """Composite signals of returns, open interest and flow."""
     b = whole_bars(t).withColumnRenamed("timestamp_m1", "ts").withColumn("oi", F.col("volume"))
-    b = T.log_returns(b, K, "ts", "close_price").withColumnRenamed("log_return_1", "r")
-    return T.flow_signals(b, K, "ts").select("symbol", "ts", "trade_imbalance", "price_impact", "leverage_build_up", "short_stress")
+    b = T.log_returns(b, K, "ts", "close_price", step=60).withColumnRenamed("log_return_1", "r")
+    return T.flow_signals(b, K, "ts", step=60).select("symbol", "ts", "trade_imbalance", "price_impact", "leverage_build_up", "short_stress")
 
 
 TARGET_SQL = FULL_SQL + f""", base AS (SELECT symbol, timestamp_m1 AS ts, close_price AS p, volume AS spread, buy_volume_share AS z, 0.0001::DOUBLE AS funding,
   CASE WHEN close_price > 0 AND lag(close_price) OVER (PARTITION BY symbol ORDER BY timestamp_m1) > 0 THEN ln(close_price / lag(close_price) OVER (PARTITION BY symbol ORDER BY timestamp_m1)) END AS r FROM filled),
 rvs AS (SELECT *, CASE WHEN r IS NOT NULL THEN sqrt(sum(r * r) OVER {frame(3600)}) END AS rv FROM base)"""
-_H = {"1h": 60, "4h": 240, "1d": 1440}
+_H = T.HORIZONS
 
 
 def target_columns(n: str, h: int) -> str:
     there = f"lead(1, {h}) OVER w IS NOT NULL"
     fwd = f"CASE WHEN p > 0 AND lead(p, {h}) OVER w > 0 THEN ln(lead(p, {h}) OVER w / p) END"
     return (
-        f"CASE WHEN {there} THEN {fwd} END AS target_return_{n}, "
-        f"CASE WHEN {there} AND p > 0 THEN min(p) OVER (PARTITION BY symbol ORDER BY ts ROWS BETWEEN 1 FOLLOWING AND {h} FOLLOWING) / p - 1 END AS target_drawdown_{n}, "
-        f"CASE WHEN {there} THEN {fwd} - 0.0002::DOUBLE - abs(coalesce(funding, 0)) * {h} / 480 END AS target_cost_adjusted_{n}, "
-        f"CASE WHEN {there} THEN lead(rv, {h}) OVER w END AS target_future_rv_{n}, CASE WHEN {there} THEN lead(spread, {h}) OVER w - spread END AS target_spread_change_{n}, "
-        f"CASE WHEN {there} THEN abs(lead(z, {h}) OVER w - z) >= 1.0 END AS target_regime_shift_{n}"
+        f"CASE WHEN {there} THEN {fwd} END AS target_forward_return_{n}, "
+        f"CASE WHEN {there} AND p > 0 THEN min(p) OVER (PARTITION BY symbol ORDER BY ts ROWS BETWEEN 1 FOLLOWING AND {h} FOLLOWING) / p - 1 END AS target_forward_drawdown_{n}, "
+        f"CASE WHEN {there} THEN {fwd} - 0.0002::DOUBLE - abs(coalesce(funding, 0)) * {h} / 480 END AS target_cost_adjusted_return_{n}, "
+        f"CASE WHEN {there} THEN lead(rv, {h}) OVER w END AS target_future_rv_{n}, CASE WHEN {there} THEN lead(spread, {h}) OVER w - spread END AS target_future_iv_spread_change_{n}, "
+        f"CASE WHEN {there} THEN abs(lead(z, {h}) OVER w - z) >= 1.0 END AS label_regime_shift_{n}"
     )
 
 
-@query("forward_targets", f"WITH {TARGET_SQL} SELECT symbol, ts, " + ", ".join(target_columns(n, h) for n, h in _H.items()) + " FROM rvs WINDOW w AS (PARTITION BY symbol ORDER BY ts)", " ".join(f"target_{x}_{n}" for n in _H for x in ("return", "drawdown", "cost_adjusted", "future_rv", "spread_change")))
+@query("forward_targets", f"WITH {TARGET_SQL} SELECT symbol, ts, " + ", ".join(target_columns(n, h) for n, h in _H.items()) + " FROM rvs WINDOW w AS (PARTITION BY symbol ORDER BY ts)", " ".join(f"target_{x}_{n}" for n in _H for x in ("forward_return", "forward_drawdown", "cost_adjusted_return", "future_rv", "future_iv_spread_change")))
 def forward_targets(t):
     """Forward-looking labels at an hour, four hours and a day of rows on a dense grid."""
     b = whole_bars(t).select(*K, F.col("timestamp_m1").alias("ts"), F.col("close_price").alias("p"), F.col("volume").alias("spread"),
                              F.col("buy_volume_share").alias("z"), F.lit(0.0001).alias("funding"))
-    b = T.log_returns(b, K, "ts", "p").withColumnRenamed("log_return_1", "r")
+    b = T.log_returns(b, K, "ts", "p", step=60).withColumnRenamed("log_return_1", "r")
     b = T.realized_volatility(b, K, "ts", "r", {"1h": 3600})
-    for n, h in _H.items():
-        b = T.forward_targets(b, K, "ts", "p", "rv_1h", h, n)
-    return b.drop("exchange", "p", "spread", "z", "funding", "r", "rv_1h")
+    return T.forward_targets(b, K, "ts", "p", "rv_1h", step=60).drop("exchange", "p", "spread", "z", "funding", "r", "rv_1h")
 
 
 def resampled_sql(seconds: int) -> str:
     return FULL_SQL + f""" SELECT symbol, time_bucket(INTERVAL '{seconds} seconds', timestamp_m1)::TIMESTAMP AS ts,
       arg_min(open_price, timestamp_m1) FILTER (open_price IS NOT NULL) AS perp_open_price, max(high_price) AS perp_high_price, min(low_price) AS perp_low_price,
-      arg_max(close_price, timestamp_m1) FILTER (close_price IS NOT NULL) AS perp_close_price, sum(volume) AS perp_trades_volume, sum(buy_volume) AS perp_trades_buy_volume,
+      arg_max(close_price, timestamp_m1) FILTER (close_price IS NOT NULL) AS perp_close_price, sum(volume) AS perps_trades_volume, sum(buy_volume) AS perps_trades_buy_volume,
       sum(trade_count)::BIGINT AS perp_trade_count, bool_or(trade_count > 0) AS open_interest_is_observed,
-      CASE WHEN sum(volume) > 0 THEN sum(buy_volume) / sum(volume) END AS perp_trades_buy_volume_share, arg_max(quote_volume, timestamp_m1) AS last_notional FROM filled GROUP BY 1, 2"""
+      CASE WHEN sum(volume) > 0 THEN sum(buy_volume) / sum(volume) END AS perps_trades_buy_volume_share, arg_max(quote_volume, timestamp_m1) AS last_notional FROM filled GROUP BY 1, 2"""
 
 
 def resampled(t, seconds):
     b = whole_bars(t).select(
         "symbol", F.col("timestamp_m1").alias("ts"), F.col("open_price").alias("perp_open_price"), F.col("high_price").alias("perp_high_price"),
-        F.col("low_price").alias("perp_low_price"), F.col("close_price").alias("perp_close_price"), F.col("volume").alias("perp_trades_volume"),
-        F.col("buy_volume").alias("perp_trades_buy_volume"), F.col("trade_count").alias("perp_trade_count"),
-        (F.col("trade_count") > 0).alias("open_interest_is_observed"), F.col("buy_volume_share").alias("perp_trades_buy_volume_share"),
+        F.col("low_price").alias("perp_low_price"), F.col("close_price").alias("perp_close_price"), F.col("volume").alias("perps_trades_volume"),
+        F.col("buy_volume").alias("perps_trades_buy_volume"), F.col("trade_count").alias("perp_trade_count"),
+        (F.col("trade_count") > 0).alias("open_interest_is_observed"), F.col("buy_volume_share").alias("perps_trades_buy_volume_share"),
         F.col("quote_volume").alias("last_notional"),
     )
     return resample(b, ["symbol"], "ts", seconds)
 
 
 for _name, _seconds in (("resample_5m", 300), ("resample_30m", 1800), ("resample_1h", 3600)):
-    query(_name, f"WITH {resampled_sql(_seconds)}", "perp_open_price perp_high_price perp_low_price perp_close_price perp_trades_volume perp_trades_buy_volume perp_trades_buy_volume_share last_notional")(
+    query(_name, f"WITH {resampled_sql(_seconds)}", "perp_open_price perp_high_price perp_low_price perp_close_price perps_trades_volume perps_trades_buy_volume perps_trades_buy_volume_share last_notional")(
         lambda t, s=_seconds: resampled(t, s))
 
 
@@ -214,9 +212,9 @@ def spot_perp_basis(t):
     """Basis between two sources, its change and its z-score over 30 days."""
     s, p = t.daily("orders"), t.daily("lineitem")
     b = s.select(F.col("day").alias("ts"), F.col("close").alias("s")).join(p.select(F.col("day").alias("ts"), F.col("close").alias("p")), "ts", "full_outer")
-    b = b.select(F.lit(1).alias("one"), "ts", (X.ratio(F.col("p"), F.col("s")) - 1).alias("basis"))
-    b = b.withColumn("basis_change", F.col("basis") - F.lag("basis").over(W.series(["one"], "ts")))
-    return T.rolling_zscore(b, ["one"], "ts", "basis", 30 * 86400, "basis_z").drop("one")
+    b = b.select("ts", (X.ratio(F.col("p"), F.col("s")) - 1).alias("basis"))
+    b = W.over_rows(b, [], "ts", lambda w: {"basis_change": F.col("basis") - F.lag("basis").over(w)}, back=1)
+    return T.rolling_zscore(b, [], "ts", "basis", 30 * 86400, "basis_z")
 
 
 @query("iv_rv_spread", f"WITH {RV_SQL}, {QUOTES_SQL}, q AS (SELECT symbol, date_trunc('minute', ts)::TIMESTAMP AS ts, arg_max(value, (ts, event_id)) / 1000 AS iv FROM quotes GROUP BY 1, 2) SELECT coalesce(q.symbol, v.symbol) AS symbol, coalesce(q.ts, v.ts) AS ts, iv - rv_1h AS iv_minus_rv_1h, CASE WHEN rv_1d > 0 THEN iv / rv_1d END AS iv_rv_ratio_1d, iv IS NOT NULL AS iv_available, rv_1h IS NOT NULL OR rv_1d IS NOT NULL AS rv_available FROM q FULL JOIN rv v ON q.symbol = v.symbol AND q.ts = v.ts", "iv_minus_rv_1h iv_rv_ratio_1d")
@@ -234,13 +232,8 @@ def live_extended_zscores(t):
     """Ratios and 15-minute z-scores of live series."""
     b = whole_bars(t).withColumnRenamed("timestamp_m1", "ts")
     b = b.withColumns({"rng": X.ratio(F.col("high_price") - F.col("low_price"), F.col("close_price")), "fill": X.ratio(F.col("buy_volume"), F.col("volume"))})
-    p = F.col("close_price")
-
-    def z(w):
-        std = F.stddev_samp(p).over(w)
-        return F.when(std > 1e-12, (p - F.avg(p).over(w)) / std)
-
-    return W.trailing(b, K, "ts", 900, {"mark_z_15m": z, "mark_mean_15m": lambda w: F.avg(p).over(w)}).select("symbol", "ts", "rng", "fill", "mark_z_15m", "mark_mean_15m")
+    b = W.rolling(b, K, "ts", {"__p": F.col("close_price")}, {"15m": 900})
+    return b.select("symbol", "ts", "rng", "fill", W.zscore(F.col("close_price"), "__p_15m").alias("mark_z_15m"), F.col("__p_15m.mean").alias("mark_mean_15m"))
 
 
 @query("option_quote_ratios", f"WITH {CHAIN_SQL} SELECT exchange, count(*) FILTER (quote_age <= 60) / count(*) AS quote_fill, count(*) FILTER (quote_age > 60) / count(*) AS stale_ratio, 1 - avg((ask >= bid)::INT::DOUBLE) AS coverage_gap FROM chain GROUP BY 1", "quote_fill stale_ratio coverage_gap")

@@ -235,10 +235,11 @@ def l2_market_minute(t):
 
 @query("l2_quality_mask", f"WITH {BOOK_SQL} SELECT date_trunc('day', ts)::TIMESTAMP AS day, count(*) FILTER (bid < ask) AS usable, count(*) FILTER (NOT coalesce(bid < ask, false)) AS rejected FROM top GROUP BY 1")
 def l2_quality_mask(t):
-    """The lenient mask: unusable books are counted and dropped (the strict one raises)."""
-    ok = F.coalesce(F.col("spread") > 0, F.lit(False))
+    """The lenient mask: unusable books are counted and dropped (the strict one fails on them)."""
     books = K.book_features(raw_books(t)).withColumn("day", F.date_trunc("day", "ts").cast("timestamp_ntz"))
-    return books.groupBy("day").agg(F.count_if(ok).alias("usable"), F.count_if(~ok).alias("rejected"))
+    all_, good = (df.groupBy("day").agg(F.count(F.lit(1)).alias(n)) for df, n in ((books, "n"), (K.quality_mask(books), "usable")))
+    usable = F.coalesce("usable", F.lit(0)).cast("long")
+    return all_.join(good, "day", "left").select("day", usable.alias("usable"), (F.col("n") - usable).alias("rejected"))
 
 
 STATS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")

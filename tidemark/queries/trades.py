@@ -127,13 +127,21 @@ def state_validity(t):
     )
 
 
-@query("metadata_validity", """SELECT p_partkey, p_type FROM part
-  WHERE p_retailprice > 0 AND CASE WHEN p_type LIKE '%STEEL%' THEN p_size > 10 WHEN p_type LIKE '%BRASS%' THEN p_size <= 40 ELSE p_size IS NOT NULL END""")
+@query("metadata_validity", """WITH m AS (SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'option' WHEN 1 THEN 'future' ELSE 'perp' END AS instrument_type, p_size - 3 AS tick_size, p_retailprice AS contract_size,
+    CASE WHEN p_size % 5 <> 0 THEN p_size - 20.0 END AS strike, CASE WHEN p_size % 7 <> 0 THEN DATE '2026-03-27' END AS expiry, CASE p_partkey % 4 WHEN 0 THEN 'C' WHEN 1 THEN 'P' WHEN 2 THEN 'X' END AS option_type FROM part)
+  SELECT p_partkey, instrument_type FROM m WHERE tick_size > 0 AND contract_size > 0 AND CASE instrument_type WHEN 'option' THEN coalesce(strike > 0 AND expiry IS NOT NULL AND option_type IN ('C', 'P'), false)
+    WHEN 'future' THEN expiry IS NOT NULL ELSE true END""")
 def metadata_validity(t):
-    """Instrument metadata: rules that depend on the kind of instrument."""
-    kind, size = F.col("p_type"), F.col("p_size")
-    rule = F.when(kind.contains("STEEL"), size > 10).when(kind.contains("BRASS"), size <= 40).otherwise(size.isNotNull())
-    return t.part.where((F.col("p_retailprice") > 0) & rule).select("p_partkey", "p_type")
+    """Instrument metadata: rules that depend on the kind of instrument, as the contract has them."""
+    from tidemark.plans.contracts import valid_metadata
+
+    key, size = F.col("p_partkey"), F.col("p_size")
+    rows = t.part.select(
+        "p_partkey", F.when(key % 3 == 0, "option").when(key % 3 == 1, "future").otherwise("perp").alias("instrument_type"), (size - 3).alias("tick_size"),
+        F.col("p_retailprice").alias("contract_size"), F.when(size % 5 != 0, size - 20.0).alias("strike"),
+        F.when(size % 7 != 0, F.lit("2026-03-27").cast("date")).alias("expiry"),
+        F.when(key % 4 == 0, "C").when(key % 4 == 1, "P").when(key % 4 == 2, "X").alias("option_type"))
+    return rows.where(valid_metadata()).select("p_partkey", "instrument_type")
 
 
 @query("funding_observed", f"""WITH {QUOTES_SQL} SELECT symbol, date_trunc('hour', ts)::TIMESTAMP AS funding_time,
@@ -196,12 +204,12 @@ def option_names(t):
     return t.part.withColumn("name", F.concat(F.upper("p_brand"), F.lit("-"), day, F.lit("MAR26-"), F.col("p_size").cast("string"), kind))
 
 
-@query("symbol_normalize", r"""SELECT DISTINCT n_name, upper(regexp_replace(trim(' ' || lower(n_name) || '/usd_perp '), '[/_:\s]+', '-', 'g')) AS symbol,
-  split_part(upper(regexp_replace(trim(' ' || lower(n_name) || '/usd_perp '), '[/_:\s]+', '-', 'g')), '-', 1) AS base FROM nation""")
+@query("symbol_normalize", r"""SELECT DISTINCT p_name, upper(regexp_replace(trim(' ' || lower(p_name) || '/usd_perp '), '[/_:\s]+', '-', 'g')) AS symbol,
+  split_part(upper(regexp_replace(trim(' ' || lower(p_name) || '/usd_perp '), '[/_:\s]+', '-', 'g')), '-', 1) AS base FROM part""")
 def symbol_normalize(t):
     """Symbols in one spelling, and their base asset."""
-    raw = F.concat(F.lit(" "), F.lower("n_name"), F.lit("/usd_perp "))
-    return t.nation.select("n_name", X.normal_symbol(raw).alias("symbol"), X.base_asset(raw).alias("base")).distinct()
+    raw = F.concat(F.lit(" "), F.lower("p_name"), F.lit("/usd_perp "))
+    return t.part.select("p_name", X.normal_symbol(raw).alias("symbol"), X.base_asset(raw).alias("base")).distinct()
 
 
 @query("minute_grid", f"WITH {GRID_SQL} SELECT * FROM grid")

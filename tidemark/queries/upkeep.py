@@ -190,16 +190,16 @@ def delta_summary(t):
     return S.delta(t.orders, changed, ["o_orderkey"], ["o_totalprice"]).groupBy("action").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("snapshot_certification", "SELECT count(*) AS n_rows, count(DISTINCT o_orderkey) AS n_keys, 0::BIGINT AS duplicate_keys, 0::BIGINT AS null_keys, min(o_orderdate) AS first_seen, max(o_orderdate) AS last_seen FROM orders")
+@query("snapshot_certification", "SELECT count(*) AS n_rows, count(DISTINCT (l_orderkey, l_partkey)) AS n_keys, (SELECT count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_partkey HAVING count(*) > 1)) AS duplicate_keys, count(*) FILTER (l_orderkey IS NULL OR l_partkey IS NULL) AS null_keys, min(l_shipdate) AS first_seen, max(l_shipdate) AS last_seen FROM lineitem")
 def snapshot_certification(t):
-    """Counts, key soundness and bounds of a snapshot before it is served."""
-    return S.certify(t.orders, ["o_orderkey"], "o_orderdate")
+    """Counts, key soundness and bounds of a snapshot before it is served: a key that some rows share."""
+    return S.certify(t.lineitem, ["l_orderkey", "l_partkey"], "l_shipdate")
 
 
-@query("row_digests", "SELECT n_nationkey, sha256('v' || n_name || chr(31) || 'v' || n_regionkey) AS digest FROM nation")
+@query("row_digests", "SELECT o_orderkey, sha256('column:o_orderstatus=str:' || o_orderstatus || chr(31) || 'column:o_custkey=int:' || o_custkey || chr(31) || 'column:o_orderdate=dt:' || epoch_us(o_orderdate) || chr(31)) AS digest FROM orders")
 def row_digests(t):
-    """Digests of rows."""
-    return t.nation.select("n_nationkey", S.row_digest(["n_name", "n_regionkey"]).alias("digest"))
+    """Digests of rows, with the types of their values."""
+    return t.orders.select("o_orderkey", S.row_digest(t.orders, ["o_orderstatus", "o_custkey", "o_orderdate"]).alias("digest"))
 
 
 @query("schema_signature", "SELECT count(*) AS n_rows, sha256('o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string,o_totalprice:double,o_orderdate:timestamp_ntz,o_orderpriority:string') AS signature FROM orders")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,12 +12,7 @@ from pyspark.sql.types import _parse_datatype_string
 
 from tidemark.operators.dedup import keep_last
 from tidemark.operators.sync import schema_signature
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share (``spark.checkpoint.dir``)."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="tidemark-")
-    return f"{root.rstrip('/')}/tidemark-{name}-{uuid.uuid4().hex}"
+from tidemark.sources.scratch import scratch
 
 
 def read_declared(spark: SparkSession, path: str | list[str], ddl: str) -> DataFrame:
@@ -57,7 +52,7 @@ def merge_partitions(spark: SparkSession, table: str, new: DataFrame, keys: list
     spark.read.parquet(at).repartition(*partitions).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(table)
 
 
-def publish(df: DataFrame, root: str, version: str, keys: list[str], builder: str) -> dict:
+def publish(df: DataFrame, root: str, version: str, keys: list[str], builder: str, attestation: dict[str, str] | None = None) -> dict:
     """Write a version and then its manifest: readers that follow manifests see all of it or nothing."""
     spark = df.sparkSession
     path = f"{root.rstrip('/')}/data/{version}-{uuid.uuid4().hex}"
@@ -66,21 +61,85 @@ def publish(df: DataFrame, root: str, version: str, keys: list[str], builder: st
     n = written.count()
     if written.groupBy(*keys).count().where("count > 1").limit(1).count():
         raise ValueError("keys repeat; nothing is published")
-    manifest = {"version": version, "path": path, "rows": n, "schema": schema_signature(written), "keys": keys, "builder": builder}
-    spark.createDataFrame([(version, json.dumps(manifest))], "version string, manifest string").coalesce(1).write.mode("append").json(f"{root.rstrip('/')}/manifests")
+    serial = time.time_ns()
+    manifest = {"version": version, "path": path, "rows": n, "schema": schema_signature(written), "keys": keys, "builder": builder, "built": serial, "attests": attestation or {}}
+    spark.createDataFrame([(version, serial, json.dumps(manifest))], MANIFEST).coalesce(1).write.mode("append").json(f"{root.rstrip('/')}/manifests")
     return manifest
 
 
+MANIFEST = "version string, built long, manifest string"
+
+
+def manifests(spark: SparkSession, root: str) -> DataFrame:
+    """version, built, manifest of what was published and not withdrawn."""
+    found = spark.read.schema(MANIFEST).json(f"{root.rstrip('/')}/manifests")
+    gone = found.where("manifest = 'withdrawn'").select("version", "built")
+    return found.where("manifest <> 'withdrawn'").join(gone, ["version", "built"], "left_anti")
+
+
 def published(spark: SparkSession, root: str, version: str | None = None) -> DataFrame:
-    """The data of the newest version (or of ``version``), by manifest."""
+    """The data of the newest version (or of ``version``), of equal versions the last build, by manifest."""
+    return spark.read.parquet(_newest(spark, root, version)["path"])
+
+
+def _newest(spark: SparkSession, root: str, version: str | None = None) -> dict:
     from tidemark.operators.sync import semver
 
-    found = spark.read.schema("version string, manifest string").json(f"{root.rstrip('/')}/manifests")
+    found = manifests(spark, root)
     found = found.where(F.col("version") == version) if version else found
-    best = found.orderBy(semver(F.col("version")).desc()).first()
+    best = found.orderBy(semver(F.col("version")).desc(), F.col("built").desc()).first()
     if best is None:
         raise FileNotFoundError("no such version is published")
-    return spark.read.parquet(json.loads(best["manifest"])["path"])
+    return json.loads(best["manifest"])
+
+
+def roll_back(spark: SparkSession, root: str) -> dict:
+    """Withdraw the newest publication: readers get the one before.  Nothing is deleted."""
+    gone = _newest(spark, root)
+    row = [(gone["version"], gone["built"], "withdrawn")]
+    spark.createDataFrame(row, MANIFEST).coalesce(1).write.mode("append").json(f"{root.rstrip('/')}/manifests")
+    return gone
+
+
+def attested(spark: SparkSession, root: str, sources: dict[str, str], version: str | None = None) -> bool:
+    """Whether the newest publication says that it was made of just these sources (name -> path or digest) and still has its rows."""
+    manifest = _newest(spark, root, version)
+    return manifest["attests"] == sources and spark.read.parquet(manifest["path"]).count() == manifest["rows"]
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """One folder of CSV files with headers; times in ISO form."""
+    df.write.mode("overwrite").option("header", "true").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").csv(path)
+
+
+def markdown_report(df: DataFrame, title: str, most: int = 1000) -> str:
+    """A small result as a Markdown table; more than ``most`` rows are an error, for a report is read by people."""
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"a report of over {most} rows")
+    line = lambda cells: "| " + " | ".join("" if c is None else str(c).replace("|", "\\|") for c in cells) + " |"
+    return "\n".join([f"# {title}", "", line(df.columns), line(["---"] * len(df.columns)), *map(line, rows)]) + "\n"
+
+
+def json_report(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").json(path)
+
+
+#: Names of types in a relational database.
+_DDL = {"string": "TEXT", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE PRECISION", "float": "REAL", "boolean": "BOOLEAN", "date": "DATE",
+        "timestamp": "TIMESTAMPTZ", "timestamp_ntz": "TIMESTAMP", "binary": "BYTEA", "smallint": "SMALLINT"}
+
+
+def table_ddl(df: DataFrame, table: str, keys: list[str]) -> str:
+    """CREATE TABLE of a frame's schema, keys NOT NULL and primary; a type without a counterpart is an error."""
+    quote = lambda c: '"' + c.replace('"', '""') + '"'
+    lines = []
+    for f in df.schema.fields:
+        kind = f.dataType.simpleString()
+        if kind not in _DDL and not kind.startswith("decimal"):
+            raise TypeError(f"{f.name} of type {kind} has no column type")
+        lines.append(f"  {quote(f.name)} {_DDL.get(kind, kind.upper().replace('DECIMAL', 'NUMERIC'))}{' NOT NULL' if f.name in keys else ''}")
+    return f"CREATE TABLE {table} (\n" + ",\n".join([*lines, f"  PRIMARY KEY ({', '.join(map(quote, keys))})"]) + "\n)"
 
 
 def bounds_by_partition(df: DataFrame, partitions: list[str], ts: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.sources.lake import scratch
+from tidemark.sources.scratch import scratch
 
 
 def source(spark: SparkSession, path: str) -> DataFrame:
@@ -46,14 +46,29 @@ def _run(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
-def run_minute_bars(spark: SparkSession, path: str) -> DataFrame:
-    """Every minute of the table: rows of one run are in one micro-batch or later ones, none is late."""
+def run_minute_bars(spark: SparkSession, path: str, delay: str = "1 day") -> DataFrame:
+    """The table's minutes, from a stream that is run to its end.
+
+    A row that is later than ``delay`` after newer ones of an earlier micro-batch isn't counted any more: its minute is closed,
+    and its month is one to be rebuilt.
+    """
     from tidemark.operators.dedup import keep_last
 
-    bars = _run(minute_bars(source(spark, path), "3650 days"), "stream-bars")
+    bars = _run(minute_bars(source(spark, path), delay), "stream-bars")
     return keep_last(bars, ["event_type", "timestamp_m1"], F.col("__batch")).drop("__batch")
 
 
+def follow_minute_bars(spark: SparkSession, path: str, out: str, checkpoint: str, delay: str = "10 minutes") -> None:
+    """Append the minutes that have closed since the last run to ``out``: each once, whatever fails between.
+
+    ``path``: a folder that gets files.  ``checkpoint`` keeps what was read and the open minutes from run to run, so a run
+    reads the new files alone; a minute is written when the watermark, ``delay`` behind the newest row, has passed it.
+    """
+    bars = minute_bars(source(spark, path), delay)
+    run = bars.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    run.awaitTermination()
+
+
 def run_last_wins(spark: SparkSession, path: str) -> DataFrame:
     from tidemark.operators.dedup import keep_last
 
