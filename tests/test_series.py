@@ -229,8 +229,9 @@ def test_other_silver_builders(spark):
 
 def test_digests_tell_types_apart_and_refuse(spark):
     rows = spark.createDataFrame([(1, 1, "1", 1.0, True, 0.0), (2, 1, "1", 1.0, True, -0.0)], "id long, i int, s string, f double, b boolean, z double")
-    each = rows.select(*[S.row_digest(rows.select(F.col(c).alias("x"), "id"), ["x"]).alias(c) if False else S.row_digest(rows, [c]).alias(c) for c in ("i", "s", "f", "b", "z")]).collect()
-    assert len(set(each[0])) == 5 and each[0].z == each[1].z
+    named = rows.select("id", *[F.struct(F.col(c).alias("x")).alias(c) for c in ("i", "s", "f", "b", "z")])
+    each = [named.select("id", f"{c}.x").select(S.row_digest(named.select(f"{c}.x"), ["x"]).alias("d"), "id").orderBy("id").collect() for c in ("i", "s", "f", "b", "z")]
+    assert len({e[0].d for e in each}) == 5 and each[4][0].d == each[4][1].d
     bad = spark.createDataFrame([(1, float("nan"))], "id long, f double")
     with pytest.raises(Exception, match="finite"):
         S.delta(bad, bad, ["id"], ["f"]).collect()

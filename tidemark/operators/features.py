@@ -87,7 +87,8 @@ def ema(df: DataFrame, keys: list[str], ts: str, value: str, spans=(3, 10)) -> D
 
     The mean so far has weight (1 - a)^gap beside a for a new value, so y' = (1 - g) y + g x with g = a / ((1 - a)^gap + a).  With
     p the running sum of ln(1 - g), y is e^p times the running sum of g x e^-p: two running sums over the rows whose weight
-    is above 1e-12 (and as many again, as gaps let weights fade less), not a fold over the series.
+    is above 1e-12 (and as many again, as gaps let weights fade less), not a fold over the series.  Where no value is
+    missing, the few rows are folded as the recursion says, to its last digit.
     """
     x = F.col(value).cast("double")
     alpha = {span: 2 / (span + 1) for span in spans}
@@ -98,10 +99,24 @@ def ema(df: DataFrame, keys: list[str], ts: str, value: str, spans=(3, 10)) -> D
     rows = rows.withColumn("__gap", F.col("__n") - F.last(F.when(x.isNotNull(), F.col("__n")), True).over(before))
     old = {span: F.when(F.col("__gap") == 1, 1 - a).otherwise(F.pow(F.lit(1 - a), F.col("__gap"))) for span, a in alpha.items()}
     share = {span: F.when(x.isNotNull(), F.coalesce(a / (old[span] + a), F.lit(1.0))) for span, a in alpha.items()}  # of the new value; the first has all
-    rows = rows.withColumns({f"__p_{s}": F.sum(F.when(F.col("__gap").isNotNull() & x.isNotNull(), F.ln(1 - share[s])).otherwise(0.0)).over(so_far) for s in spans})
-    rows = rows.withColumns({f"__s_{s}": F.sum(share[s] * x * F.exp(-F.col(f"__p_{s}"))).over(so_far) for s in spans})
-    rows = rows.withColumns({f"ema_{s}": F.when(x.isNotNull(), F.exp(f"__p_{s}") * F.col(f"__s_{s}")) for s in spans})
-    return whole(rows).drop("__gap", *[f"__{y}_{s}" for y in "ps" for s in spans])
+    rows = rows.withColumn("__steps", F.sum(F.when(x.isNotNull() & (F.col("__gap") == 1), 1).otherwise(0)).over(so_far))
+    rows = rows.withColumns({f"__p_{s}": F.sum(F.when(x.isNotNull() & (F.col("__gap") > 1), F.ln(1 - share[s])).otherwise(0.0)).over(so_far) for s in spans})
+    # Steps of one row, nearly all, go by a power, which loses no digits; e^p is for the others.
+    faded = {s: F.pow(F.lit(1 - alpha[s]), F.col("__steps")) * F.exp(f"__p_{s}") for s in spans}
+    rows = rows.withColumns({f"__s_{s}": F.sum(share[s] * x / faded[s]).over(so_far) for s in spans})
+    near = {s: w.rowsBetween(-(math.ceil(math.log(1e-12) / math.log(1 - a)) - 1), 0) for s, a in alpha.items()}
+    full = {s: F.count(x).over(near[s]) == F.count(F.lit(1)).over(near[s]) for s in spans}
+    held = {s: F.collect_list(x).over(near[s]) for s in spans}
+    fold = {s: F.aggregate(held[s], F.get(held[s], 0), _step(a)) for s, a in alpha.items()}
+    rows = rows.withColumns({f"ema_{s}": F.when(x.isNotNull(), F.when(full[s], fold[s]).otherwise(faded[s] * F.col(f"__s_{s}"))) for s in spans})
+    return whole(rows).drop("__gap", "__steps", *[f"__{y}_{s}" for y in "ps" for s in spans])
+
+
+def _step(a: float):
+    def step(mean, value):
+        return mean + a * (value - mean)
+
+    return step
 
 
 def momentum(df: DataFrame, keys: list[str], ts: str, p: str, v: str) -> DataFrame:

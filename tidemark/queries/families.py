@@ -41,7 +41,7 @@ def recent_trades_observed(t):
 @query("instrument_metadata_observed", """WITH m AS (
   SELECT CASE p_partkey % 3 WHEN 0 THEN 'option' ELSE 'future' END AS kind, 'I' || p_partkey || CASE WHEN p_partkey % 3 = 1 THEN '-PERPETUAL' ELSE '' END AS instrument_name,
     p_size - 1.0 AS tick_size, p_retailprice AS contract_size, CASE WHEN p_size % 4 <> 0 THEN TIMESTAMP '2026-03-01 08:00:00' + p_size * INTERVAL 1 DAY END AS expires,
-    CASE WHEN p_partkey % 3 = 0 THEN p_size - 5.0 END AS strike, CASE p_partkey % 4 WHEN 0 THEN 'C' WHEN 1 THEN 'P' ELSE 'x' END AS side, p_size % 2 = 0 AS active FROM part),
+    CASE WHEN p_partkey % 3 = 0 THEN p_size - 5.0::DOUBLE END AS strike, CASE p_partkey % 4 WHEN 0 THEN 'C' WHEN 1 THEN 'P' ELSE 'x' END AS side, p_size % 2 = 0 AS active FROM part),
  k AS (SELECT *, CASE WHEN kind = 'option' THEN 'option' WHEN instrument_name LIKE '%-PERPETUAL' THEN 'perp' ELSE 'future' END AS instrument_type FROM m)
   SELECT instrument_name, instrument_type, expires::DATE::VARCHAR AS expiry, strike, CASE WHEN kind = 'option' THEN side END AS option_type, coalesce(expires::DATE >= DATE '2026-03-20', true) AS is_listed,
     CASE WHEN active THEN 'active' ELSE 'inactive' END AS listing_state FROM k
