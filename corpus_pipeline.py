@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import exact_dedup, packing, quality, simhash, source_mix
-from tidemark.llm.common import documents, shared_dir
+from tidemark.llm.common import documents, intermediates_removed, shared_dir
 
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,6 +57,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     for _, stage in STAGES[:-1]:
         path = shared_dir(spark, "stage")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with intermediates_removed(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
