@@ -85,6 +85,20 @@ def test_small_sources_lose_no_words(docs_of):
     assert {d for d, *_ in small} <= {r.doc_id for r in source_mix.mixed_documents(docs).collect()}
 
 
+def test_rows_without_ids_are_spread(docs_of, monkeypatch):
+    """Neither null ids nor rows without words gather in one bucket; the mix stays whole."""
+    monkeypatch.setattr(source_mix, "BUCKET_DOCS", 16)
+    docs = docs_of([(None, f"w{i} " * (1 + i % 5)) for i in range(300)] + [(None, None)] * 200 + [(i, "w " * 3) for i in range(100)], clash=False)
+    sized, sources, pieces = mixed(docs)
+    placed = sorted((r.start, r["size"]) for r in source_mix._positions(sized, sources, 42).collect())
+    assert len(placed) == 400 and all(a + n == b for (a, n), (b, _) in zip(placed, placed[1:]))
+    by_start = [r.row for r in source_mix._positions(sized, sources, 42).orderBy("start").collect()]
+    null = {r.row for r in sized.where("doc_id IS NULL").collect()}
+    runs = "".join("n" if r in null else " " for r in by_start).split()
+    assert len(runs) > 30 and max(map(len, runs)) < 60
+    assert pieces.agg({"words": "sum"}).first()[0] == sources.first().take
+
+
 def test_mix_of_empty_tables(docs_of):
     for rows in ([], [(1, None), (2, "")]):
         docs = docs_of(rows)

@@ -10,8 +10,9 @@ cumulative targets map to a source; a slot's rank among its source's slots is
 the number of the block of ``block`` words that it takes.  Blocks that the
 schedule leaves out (a small source may meet no point) follow at its end, so
 each source has a slot for every block.  The documents of a
-source lie shuffled (by MD5 of seed and doc_id) in a stream, again for each
-epoch, and the stream is cut in blocks of equal words.  A source's last block
+source lie shuffled (by MD5 of seed and doc_id, without which the text's own MD5
+tells rows apart) in a stream, again for each epoch, and the stream is cut in
+blocks of equal words.  A source's last block
 ends at its target; later slots of that source are void.
 
 Edge cases: a null source is a source; a null or wordless text has size 0 and
@@ -42,13 +43,15 @@ CELLS = 1 << 12
 
 
 def sized_rows(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size and a row number, saved: the text is read once."""
+    """doc_id, source, size, a row number and the text's digest where doc_id is null, saved: the text is read once."""
+    text = docs["text"].cast("string")
     return save(
         docs.select(
             row_of(docs).alias("row"),  # of a stable table
             docs["doc_id"].alias("doc_id"),
             docs["source"].cast("string").alias("source"),
-            word_count(docs["text"].cast("string")).alias("size"),
+            word_count(text).alias("size"),
+            F.when(docs["doc_id"].isNull(), F.md5(F.coalesce(text, F.lit("")).cast("binary"))).alias("digest"),
         ),
         "mix-sizes",
     )
@@ -89,13 +92,14 @@ def targets(sized: DataFrame, weights=(3, 1, 2), share: float = 1.5, epochs: int
 
 
 def _positions(sized: DataFrame, sources: DataFrame, seed: int) -> DataFrame:
-    """row, source_no, size and the place of the row's words in its source's shuffled stream."""
+    """row, source_no, size and the place of the words in its source's shuffled stream, of each row that has words."""
     largest = sources.agg(F.max("n")).first()[0] or 0
     buckets = max(1, -(-largest // max(BUCKET_DOCS, math.isqrt(largest))))
-    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).cast("binary"))
+    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("digest")).cast("binary"))  # nulls are skipped
     bucket = F.floor(F.conv(F.substring("key", 1, 8), 16, 10).cast("double") / float(1 << 32) * buckets)
     rows = (
-        sized.withColumn("source", F.struct("source"))
+        sized.where("size > 0")  # the others take no place
+        .withColumn("source", F.struct("source"))
         .join(broadcast_small(sources.select(F.struct("source").alias("source"), "source_no")), "source")
         .select("row", "doc_id", "source_no", "size", key.alias("key"))
         .withColumn("bucket", bucket)
@@ -171,7 +175,7 @@ def schedule(spark: SparkSession, sources: DataFrame, block: int) -> DataFrame:
 
 def mix(sized: DataFrame, sources: DataFrame, block: int = 128, epochs: int = 2, seed: int = 42) -> DataFrame:
     """The mix: slot, row, epoch, first (word of the document), words, at (word of the slot)."""
-    placed = _positions(sized, sources, seed).where("size > 0").join(
+    placed = _positions(sized, sources, seed).join(
         broadcast_small(sources.select("source_no", "source_size", "take")), "source_no"
     )
     epoch = F.explode(F.sequence(F.lit(0), F.lit(epochs - 1)))
@@ -237,7 +241,7 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP1_SQL = r"""
 WITH d AS (
   SELECT doc_id, source,
-         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, md5(coalesce(text, '')) AS digest
   FROM documents),
 s AS (
   SELECT source, sum(size) AS source_size,
@@ -253,7 +257,7 @@ v AS (SELECT min_by(level, cap / weight) AS level FROM l WHERE level <= cap / we
 t AS (SELECT source, source_size, least(cap, v.level * weight) AS target FROM l, v),
 p AS (
   SELECT d.*, t.source_size, t.target, least(round(target), 2 * t.source_size)::BIGINT AS take,
-         coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY md5('42:' || coalesce(doc_id::VARCHAR, 'null')), doc_id, size
+         coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY md5('42:' || coalesce(doc_id::VARCHAR, 'null:' || digest)), doc_id, size
                                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size::BIGINT AS size, source_size::BIGINT AS source_size, target,
