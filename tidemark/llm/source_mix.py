@@ -36,7 +36,7 @@ PHI = 0.6180339887498949
 CHUNK = 1 << 14
 
 #: A bucket of the shuffled order holds about so many documents of the largest source, or their square root if more.
-BUCKET_DOCS = 1 << 11
+BUCKET_DOCS = 1 << 8
 
 #: Cells of [0, 1) by which slots meet the sources.
 CELLS = 1 << 12
