@@ -126,3 +126,32 @@ def version_bump(before: dict | None, after: dict) -> str:
     if list(before["columns"]) != list(after["columns"]):
         return "major"
     return "patch" if before["data_hash"] != after["data_hash"] else "none"
+
+
+def artifact_status(wanted: DataFrame, artifacts: DataFrame, manifests: DataFrame, keys: list[str], path: str, built: str) -> DataFrame:
+    """For each wanted key its newest artifact and a status: missing, blocked (it has no manifest) or current."""
+    newest = artifacts.groupBy(*keys).agg(F.max(F.struct(built, path)).alias("__newest"))
+    told = manifests.select(F.col(path)).distinct().withColumn("__told", F.lit(True))
+    found = wanted.select(*keys).distinct().join(newest, keys, "left").select(*keys, F.col(f"__newest.{path}").alias(path), F.col(f"__newest.{built}").alias(built))
+    status = F.when(F.col(path).isNull(), "missing").when(F.col("__told"), "current").otherwise("blocked")
+    return found.join(told, path, "left").select(*keys, path, built, status.alias("status"))
+
+
+def dataset_states(found: DataFrame, contracts: DataFrame, legacy: dict[str, str]) -> DataFrame:
+    """layer, dataset, state of raw datasets that are there, and of all contracted ones.
+
+    found: layer, dataset.  contracts: layer, dataset; of the layer ``bronze`` they name what has a target.
+    Raw: mapped or unmapped.  Others: materialized, legacy_artifact (only its older name, by ``legacy``, is there) or not_materialized.
+    """
+    there = found.select("layer", "dataset").distinct()
+    known = contracts.select("layer", "dataset").distinct().withColumn("__known", F.lit(True))
+    raw = there.where("layer = 'bronze'").join(known, ["layer", "dataset"], "left").select(
+        "layer", "dataset", F.when(F.col("__known"), "mapped").otherwise("unmapped").alias("state"))
+    older = F.lit(None).cast("string")
+    for name, old in legacy.items():
+        older = F.when(F.col("dataset") == name, old).otherwise(older)
+    own = there.withColumn("__own", F.lit(True))
+    old = there.select("layer", F.col("dataset").alias("__older"), F.lit(True).alias("__old"))
+    made = known.where("layer <> 'bronze'").withColumn("__older", older).join(own, ["layer", "dataset"], "left").join(old, ["layer", "__older"], "left")
+    state = F.when(F.col("__own"), "materialized").when(F.col("__old"), "legacy_artifact").otherwise("not_materialized")
+    return raw.unionByName(made.select("layer", "dataset", state.alias("state")))

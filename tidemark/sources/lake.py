@@ -144,3 +144,26 @@ def table_ddl(df: DataFrame, table: str, keys: list[str]) -> str:
 
 def bounds_by_partition(df: DataFrame, partitions: list[str], ts: str) -> DataFrame:
     return df.groupBy(*partitions).agg(F.min(ts).alias("low"), F.max(ts).alias("high"), F.count(F.lit(1)).alias("n_rows"))
+
+
+EXPORT_KEYS = ["exchange", "instrument_type", "symbol", "timeframe", "open_time"]
+
+
+def combined_export(candles: list[DataFrame], open_interest: DataFrame | None = None, start=None, end=None, limit: int | None = None) -> DataFrame:
+    """Candles of all sources between ``start`` and ``end`` (both included), by time, the first ``limit`` of them, with open interest.
+
+    Columns that a source lacks are null.  Of one key the open interest that was ingested last counts; without any it is null.
+    """
+    if limit is not None and limit <= 0:
+        raise ValueError("a limit must be positive")
+    order = ["open_time", "exchange", "instrument_type", "symbol", "timeframe"]
+    rows = candles[0]
+    for c in candles[1:]:
+        rows = rows.unionByName(c, allowMissingColumns=True)
+    rows = rows.where(F.lit(True) if start is None else F.col("open_time") >= start).where(F.lit(True) if end is None else F.col("open_time") <= end)
+    rows = rows if limit is None else rows.orderBy(*order).limit(limit)
+    values = ["open_interest", "open_interest_value"]
+    if open_interest is None:
+        return rows.withColumns({v: F.lit(None).cast("double") for v in values}).orderBy(*order)
+    last = keep_last(open_interest, EXPORT_KEYS, F.col("ingested_at") if "ingested_at" in open_interest.columns else F.lit(1))
+    return rows.join(last.select(*EXPORT_KEYS, *values), EXPORT_KEYS, "left").select(*rows.columns, *values).orderBy(*order)
