@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import base_asset, clip_low, empty_to_null, finite, log_ratio, micros, minute, normal_symbol, option_parts, ratio
-from tidemark.functions.windows import blocks, over_rows, percentile_rank, rolling, whole
+from tidemark.functions.windows import over_rows, percentile_rank, rolling, zscore
 from tidemark.operators import bars as B
 from tidemark.operators import book as K
 from tidemark.operators import dedup as D
@@ -350,39 +350,36 @@ def option_surface_feature(currency: DataFrame, instrument: DataFrame) -> DataFr
 def historical_prediction_feature(df: DataFrame, keys: list[str] = KEYS, ts: str = "timestamp_m1") -> DataFrame:
     """Row-window features from spot_close, perps_close, open_interest, funding_rate, trade and option flows.
 
-    Windows count rows (15, 60, 1440; at least 2 values), so the input should be a dense grid.
+    Windows count rows (15, 60, 1440; at least 2 values) of a grid that has every minute, so they are windows of time there.
     """
-    df, w = blocks(df, keys, ts, back=1500, step=60)  # a day of rows of returns, which look one row further back
-    f = F.col
-    lag = lambda c: F.lag(c).over(w)
-
-    def z(c, n):
-        own = w.rowsBetween(-(n - 1), 0)
-        std = F.stddev_samp(c).over(own)
-        return F.when((F.count(c).over(own) >= 2) & (std > 0), (f(c) - F.avg(c).over(own)) / std)
-
-    def rv(c, n):
-        own = w.rowsBetween(-(n - 1), 0)
-        return F.when(F.count(c).over(own) >= 2, F.sqrt(F.sum(f(c) * f(c)).over(own)))
-
-    p = "historical_prediction_"
-    out = df.withColumns({f"{p}{s}_log_return_1m": log_ratio(f(f"{s}_close"), lag(f"{s}_close")) for s in ("spot", "perps")})
-    out = out.withColumns({f"{p}{s}_rv_{n}": rv(f"{p}{s}_log_return_1m", k) for s in ("spot", "perps") for n, k in (("15m", 15), ("1h", 60), ("1d", 1440))})
-    out = out.withColumn(f"{p}spot_perp_basis", ratio(f("perps_close"), f("spot_close")) - 1)
+    f, p = F.col, "historical_prediction_"
     basis, oi, fr = f"{p}spot_perp_basis", "open_interest", "funding_rate"
-    out = out.withColumns({f"{p}basis_change_1m": f(basis) - lag(basis), f"{p}basis_zscore_1h": z(basis, 60)})
-    out = out.withColumns({
-        f"{p}open_interest_delta_1m": f(oi) - lag(oi), f"{p}open_interest_pct_change_1m": ratio(f(oi) - lag(oi), lag(oi)), f"{p}open_interest_zscore_1h": z(oi, 60),
-        f"{p}funding_rate_change_1m": f(fr) - lag(fr), f"{p}funding_rate_zscore_1d": z(fr, 1440), f"{p}funding_basis_divergence": f(fr) - f(basis),
-    })
+    df = df.withColumn(basis, ratio(f("perps_close"), f("spot_close")) - 1)
+
+    def steps(w):
+        lag = lambda c: F.lag(c).over(w)
+        return {f"{p}{s}_log_return_1m": log_ratio(f(f"{s}_close"), lag(f"{s}_close")) for s in ("spot", "perps")} | {
+            f"{p}basis_change_1m": f(basis) - lag(basis), f"{p}open_interest_delta_1m": f(oi) - lag(oi),
+            f"{p}open_interest_pct_change_1m": ratio(f(oi) - lag(oi), lag(oi)), f"{p}funding_rate_change_1m": f(fr) - lag(fr)}
+
+    out = over_rows(df, keys, ts, steps, back=1, step=60)
+    squares = {f"__{s}": f(f"{p}{s}_log_return_1m") * f(f"{p}{s}_log_return_1m") for s in ("spot", "perps")}
+    spans = {"15m": 900, "1h": 3600, "1d": 86_400}
+    out = rolling(out, keys, ts, squares, spans, moments=False)
+    out = out.withColumns({f"{p}{s}_rv_{n}": F.when(f(f"__{s}_{n}.n") >= 2, F.sqrt(F.greatest(f(f"__{s}_{n}.total"), F.lit(0.0)))) for s in ("spot", "perps") for n in spans})
+    hourly = {"basis": basis, "open_interest": oi} | {f"{s}_{c}": f"{s}_{c}" for s in ("perps", "options") for c in ("trade_count", "quote_volume")}
+    out = rolling(out, keys, ts, {f"__{n}": f(c) for n, c in hourly.items()}, {"1h": 3600})
+    out = rolling(out, keys, ts, {"__fr": f(fr)}, {"1d": 86_400})
+    out = out.withColumns({f"{p}{n}_zscore_1h": zscore(f(c), f"__{n}_1h") for n, c in hourly.items()} | {
+        f"{p}funding_rate_zscore_1d": zscore(f(fr), "__fr_1d"), f"{p}funding_basis_divergence": f(fr) - f(basis)})
+    out = out.drop("__fr_1d", *[f"__{n}_1h" for n in hourly], *[f"__{s}_{n}" for s in ("spot", "perps") for n in spans])
     for s in ("perps", "options"):
         b, a = f(f"{s}_buy_volume"), f(f"{s}_sell_volume")
-        out = out.withColumns({f"{p}{s}_trade_imbalance": ratio(b - a, b + a), f"{p}{s}_trade_count_zscore_1h": z(f"{s}_trade_count", 60),
-                               f"{p}{s}_quote_volume_zscore_1h": z(f"{s}_quote_volume", 60)})
-    r, up = f(f"{p}perps_log_return_1m"), f(oi) > lag(oi)
+        out = out.withColumn(f"{p}{s}_trade_imbalance", ratio(b - a, b + a))
+    r, up = f(f"{p}perps_log_return_1m"), f(f"{p}open_interest_delta_1m") > 0
     zero = lambda c: F.coalesce(f(c), F.lit(0.0))
-    return whole(out.withColumns({
+    return out.withColumns({
         f"{p}perps_price_impact_1m": ratio(F.abs(r), f("perps_quote_volume")), f"{p}leverage_build_up_signal": ((r > 0) & up).cast("int"),
         f"{p}short_stress_signal": ((r < 0) & up).cast("int"),
         f"{p}flow_volatility_pressure": zero(f"{p}perps_quote_volume_zscore_1h") + zero(f"{p}options_quote_volume_zscore_1h") + zero(f"{p}open_interest_zscore_1h"),
-    }))
+    })
