@@ -60,10 +60,11 @@ def trailing(
     return _own(_sliced(df, ts, seconds).withColumns({name: make(w) for name, make in aggregates.items()}))
 
 
-def rolling(df: DataFrame, keys: list[str], ts: str, values: dict[str, Column], spans: dict[str, int], moments: bool = True) -> DataFrame:
+def rolling(df: DataFrame, keys: list[str], ts: str, values: dict[str, Column], spans: dict[str, int], moments: bool = True, short: int = SHORT_SECONDS) -> DataFrame:
     """Add ``{value}_{span}``: a struct of n, total, mean, std of each value over each (t - seconds, t], all in one exchange.
 
-    Running sums of a slice, less those up to the window's start; short windows are gone through instead.  Values are taken
+    Running sums of a slice, less those up to the window's start; windows of up to ``short`` seconds are gone through instead,
+    as values whose sizes differ by many powers of ten need.  Values are taken
     from the slice's mean, which keeps digits, and a window in which the value never changes gives exact results.  Without
     ``moments`` only n and total.
     """
@@ -72,7 +73,7 @@ def rolling(df: DataFrame, keys: list[str], ts: str, values: dict[str, Column],
     order = part.orderBy("__us")
     up_to = lambda at: order.rangeBetween(Window.unboundedPreceding, at)
     made, out = [f"__x_{v}" for v in values], {}
-    wide = {name: seconds for name, seconds in spans.items() if seconds > SHORT_SECONDS}
+    wide = {name: seconds for name, seconds in spans.items() if seconds > short}
     for name, seconds in spans.items():
         if name not in wide:
             w = order.rangeBetween(1 - seconds * 1_000_000, 0)
