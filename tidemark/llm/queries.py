@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import exact_dedup, fill_in_middle, license_scan, media_columns, packing, quality, secret_scan, simhash, source_mix, substring_dedup, toxicity, url_filter
+from tidemark.llm import exact_dedup, fill_in_middle, license_scan, media_columns, packing, prefix_trie, quality, secret_scan, simhash, source_mix, substring_dedup, toxicity, url_filter
 
 QUERIES = {
     "op1_source_mix": source_mix.op1_source_mix,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_packing": packing.op10_packing,
     "op11_license_scan": license_scan.op11_license_scan,
     "op12_fill_in_middle": fill_in_middle.op12_fill_in_middle,
+    "op13_prefix_trie": prefix_trie.op13_prefix_trie,
 }
 
 ORACLE_SQL = {
@@ -25,4 +26,5 @@ ORACLE_SQL = {
     "op7_exact_dedup": exact_dedup.OP7_SQL,
     "op9_url_filter": url_filter.OP9_SQL,
     "op12_fill_in_middle": fill_in_middle.OP12_SQL,
+    "op13_prefix_trie": prefix_trie.OP13_SQL,
 }
