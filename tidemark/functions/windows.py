@@ -2,9 +2,10 @@
 
 A trailing window never looks back further than its width.  Series are cut into
 slices at least as long; a slice is computed with the slice before it as
-context, so (key, slice) and not key alone is what a task gets.  Sums over such
-windows are differences of running sums, so their cost doesn't grow with the
-width.  Windows over counts of rows are cut in blocks of numbered rows, with the
+context, so (key, slice) and not key alone is what a task gets.  Sums and moments
+over such windows are merged from two parts, the end of one block of the window's
+length and the beginning of the next, so their cost doesn't grow with the width
+and nothing outside the window leaves a trace.  Windows over counts of rows are cut in blocks of numbered rows, with the
 rows of the neighbours that they reach as context.
 """
 
@@ -26,7 +27,7 @@ SLICE_SECONDS = 86_400
 
 #: Rows of a block; a longer reach makes longer blocks.
 BLOCK_ROWS = 1 << 14
-#: Windows of at most so many seconds hold few rows: they are gone through, which keeps all digits.
+#: Windows of at most so many seconds hold few rows: they are gone through, which needs no further sorts.
 SHORT_SECONDS = 900
 #: Of rows without a time.
 _NEVER = -(1 << 40)
@@ -60,20 +61,43 @@ def trailing(
     return _own(_sliced(df, ts, seconds).withColumns({name: make(w) for name, make in aggregates.items()}))
 
 
-def rolling(df: DataFrame, keys: list[str], ts: str, values: dict[str, Column], spans: dict[str, int], moments: bool = True, short: int = SHORT_SECONDS) -> DataFrame:
+def _partial(x: Column, w: WindowSpec, moments: bool) -> list[Column]:
+    """What is kept of a part of a window: parts merge without loss of digits."""
+    fields = [F.count(x).over(w).alias("n"), F.sum(x).over(w).alias("total")]
+    return fields + ([F.var_pop(x).over(w).alias("var"), F.min(x).over(w).alias("low"), F.max(x).over(w).alias("high")] if moments else [])
+
+
+def _merged(a: Column, b: Column, moments: bool) -> Column:
+    """n, total, mean, std of two parts together; ``a`` may be null, where there is none."""
+    count = lambda p: F.coalesce(p["n"], F.lit(0))
+    n = count(a) + count(b)
+    total = F.coalesce(a["total"] + b["total"], a["total"], b["total"])
+    if not moments:
+        return F.struct(n.alias("n"), total.alias("total"))
+    low = F.least(a["low"], b["low"])
+    same = low == F.greatest(a["high"], b["high"])
+    apart = F.coalesce(a["total"] / F.nullif(a["n"], F.lit(0)) - b["total"] / F.nullif(b["n"], F.lit(0)), F.lit(0.0))
+    squares = F.coalesce(a["var"] * a["n"], F.lit(0.0)) + F.coalesce(b["var"] * b["n"], F.lit(0.0)) + apart * apart * (count(a) * count(b) / F.greatest(n, F.lit(1)))
+    return F.struct(
+        n.alias("n"), F.when(same, n * low).otherwise(total).alias("total"), F.when(same, low).otherwise(total / F.nullif(n, F.lit(0))).alias("mean"),
+        F.when(n > 1, F.when(same, 0.0).otherwise(F.sqrt(squares / (n - 1)))).alias("std"))
+
+
+def rolling(df: DataFrame, keys: list[str], ts: str, values: dict[str, Column], spans: dict[str, int], moments: bool = True) -> DataFrame:
     """Add ``{value}_{span}``: a struct of n, total, mean, std of each value over each (t - seconds, t], all in one exchange.
 
-    Running sums of a slice, less those up to the window's start; windows of up to ``short`` seconds are gone through instead,
-    as values whose sizes differ by many powers of ten need.  Values are taken
-    from the slice's mean, which keeps digits, and a window in which the value never changes gives exact results.  Without
-    ``moments`` only n and total.
+    Time is cut in blocks as long as the window, so a window is the end of one block and the beginning of the next.  Running
+    moments forwards give each row the beginning of its block, backwards the end of its block; the first row after t - seconds
+    is the one after the last row up to then.  The two parts are merged by count, mean and sum of squared deviations, so a value
+    counts only where its window has it, and no large sums are subtracted.  A window in which the value never changes
+    gives exact results; windows of up to ``SHORT_SECONDS`` are gone through instead.  Without ``moments`` only n and total.
+    Rows without a time are each other's window.
     """
     rows = _sliced(df.withColumns({f"__x_{v}": x.cast("double") for v, x in values.items()}), ts, max(spans.values()))
-    part = Window.partitionBy(*keys, "__slice")
-    order = part.orderBy("__us")
-    up_to = lambda at: order.rangeBetween(Window.unboundedPreceding, at)
+    order = Window.partitionBy(*keys, "__slice").orderBy("__us")
+    so_far = lambda w: w.rangeBetween(Window.unboundedPreceding, 0)
     made, out = [f"__x_{v}" for v in values], {}
-    wide = {name: seconds for name, seconds in spans.items() if seconds > short}
+    wide = {name: seconds * 1_000_000 for name, seconds in spans.items() if seconds > SHORT_SECONDS}
     for name, seconds in spans.items():
         if name not in wide:
             w = order.rangeBetween(1 - seconds * 1_000_000, 0)
@@ -82,35 +106,22 @@ def rolling(df: DataFrame, keys: list[str], ts: str, values: dict[str, Column],
                 fields = [F.count(x).over(w).alias("n"), F.sum(x).over(w).alias("total")]
                 fields += [F.avg(x).over(w).alias("mean"), F.stddev_samp(x).over(w).alias("std")] if moments else []
                 out[f"{v}_{name}"] = F.struct(*fields)
-    if wide:
-        before = order.rowsBetween(Window.unboundedPreceding, -1)
-        rows = rows.withColumns({f"__c_{v}": F.coalesce(F.avg(f"__x_{v}").over(part), F.lit(0.0)) for v in values} | {
-            f"__p_{v}": F.last(F.when(F.col(f"__x_{v}").isNotNull(), F.struct("__us", F.col(f"__x_{v}").alias("x"))), True).over(before) for v in values})
-        rows = rows.withColumns({f"__y_{v}": F.col(f"__x_{v}") - F.col(f"__c_{v}") for v in values} | {
-            f"__e_{v}": F.when(F.col(f"__x_{v}") != F.col(f"__p_{v}.x"), F.col(f"__p_{v}.__us")) for v in values})
-        ends = {0: "now"} | {-seconds * 1_000_000: f"{name}_ago" for name, seconds in wide.items()}
-        sums = {}
-        for at, when in ends.items():
-            for v in values:
-                y = F.col(f"__y_{v}")
-                sums[f"__n_{v}_{when}"] = F.count(y).over(up_to(at))
-                sums[f"__s_{v}_{when}"] = F.coalesce(F.sum(y).over(up_to(at)), F.lit(0.0))
-                if moments:
-                    sums[f"__q_{v}_{when}"] = F.coalesce(F.sum(y * y).over(up_to(at)), F.lit(0.0))
-        # The last row before the value's last change, and the value since.
-        sums |= {f"__edge_{v}": F.max(f"__e_{v}").over(up_to(0)) for v in values} | {f"__last_{v}": F.last(f"__x_{v}", True).over(up_to(0)) for v in values}
-        rows = rows.withColumns(sums)
-        made += [f"__{x}_{v}" for v in values for x in ("c", "y", "p", "e")] + list(sums)
-    for name, seconds in wide.items():
+    for name, us in wide.items():
+        rows = rows.withColumn(f"__block_{name}", F.floor(F.col("__us") / us))
+        block = Window.partitionBy(*keys, "__slice", f"__block_{name}")
+        ways = {"begin": so_far(block.orderBy("__us")), "end": so_far(block.orderBy(F.col("__us").desc()))}
+        for way, w in ways.items():
+            rows = rows.withColumn(f"__{way}_{name}", F.struct(F.col(f"__block_{name}").alias("block"), *[
+                F.struct(*_partial(F.col(f"__x_{v}"), w, moments)).alias(v) for v in values]))
+        made += [f"__block_{name}", f"__begin_{name}", f"__end_{name}", f"__next_{name}", f"__edge_{name}"]
+    rows = rows.withColumns({f"__next_{name}": F.lead(f"__end_{name}").over(order) for name in wide})
+    rows = rows.withColumns({f"__edge_{name}": F.coalesce(
+        F.last(f"__next_{name}", True).over(order.rangeBetween(Window.unboundedPreceding, -us)), F.first(f"__end_{name}").over(so_far(order)))
+        for name, us in wide.items()})
+    for name in wide:
+        edge = F.when(F.col(f"__edge_{name}.block") == F.col(f"__block_{name}") - 1, F.col(f"__edge_{name}"))
         for v in values:
-            n, s, q = (F.col(f"__{x}_{v}_now") - F.col(f"__{x}_{v}_{name}_ago") if moments or x != "q" else None for x in "nsq")
-            c, last = F.col(f"__c_{v}"), F.col(f"__last_{v}")
-            same = F.col(f"__edge_{v}").isNull() | (F.col(f"__edge_{v}") <= F.col("__us") - seconds * 1_000_000)
-            fields = [n.alias("n"), F.when(n > 0, F.when(same, n * last).otherwise(s + n * c)).alias("total")]
-            if moments:
-                std = F.when(same, 0.0).otherwise(F.sqrt(F.greatest(q - s * s / n, F.lit(0.0)) / F.greatest(n - 1, F.lit(1))))
-                fields += [F.when(n > 0, F.when(same, last).otherwise(c + s / n)).alias("mean"), F.when(n > 1, std).alias("std")]
-            out[f"{v}_{name}"] = F.struct(*fields)
+            out[f"{v}_{name}"] = _merged(edge[v], F.col(f"__begin_{name}.{v}"), moments)
     return _own(rows.withColumns(out)).drop(*made)
 
 

@@ -124,7 +124,7 @@ PREDICTION = "basis_change_1m basis_zscore_1h open_interest_zscore_1h funding_ra
   SELECT symbol, ts, basis - lag(basis) OVER v AS basis_change_1m, {_z('basis', 60)} AS basis_zscore_1h, zo AS open_interest_zscore_1h, {_z('fr', 1440)} AS funding_rate_zscore_1d,
     fr - basis AS funding_basis_divergence, (b - a) / nullif(b + a, 0) AS perps_trade_imbalance, abs(r) / nullif(q, 0) AS perps_price_impact_1m,
     CASE WHEN count(r) OVER u >= 2 THEN sqrt(sum(r * r) OVER u) END AS perps_rv_15m, coalesce(zq, 0) + coalesce(zo, 0) + coalesce(zo, 0) AS flow_volatility_pressure
-  FROM z WINDOW v AS (PARTITION BY symbol ORDER BY ts), u AS (PARTITION BY symbol ORDER BY ts ROWS BETWEEN 14 PRECEDING AND CURRENT ROW)""", PREDICTION, places=5)
+  FROM z WINDOW v AS (PARTITION BY symbol ORDER BY ts), u AS (PARTITION BY symbol ORDER BY ts ROWS BETWEEN 14 PRECEDING AND CURRENT ROW)""", PREDICTION)
 def historical_prediction(t):
     """Windows of rows of returns, basis, funding and flows, and their composite pressure."""
     b = whole_bars(t).select(
