@@ -12,6 +12,8 @@ from tidemark.operators.bars import KEYS
 from tidemark.operators.grid import span_grid
 from tidemark.plans.registry import query
 from tidemark.queries.trades import BARS_SQL, GRID_SQL, bars
+from tidemark.sources.files import discovered, footer_bounds
+from tidemark.sources.scratch import scratch
 from tidemark.sources.tables import PERP_SQL, SPOT_SQL
 
 GAPS_SQL = BARS_SQL + """, gaps AS (
@@ -92,8 +94,9 @@ def partition_bounds(t):
 
 @query("file_bounds", "SELECT min(o_orderdate) AS low, max(o_orderdate) AS high, count(*) AS n_rows FROM orders")
 def file_bounds(t):
-    """Bounds and row count of a table, which scans can take from footers."""
-    return t.orders.agg(F.min("o_orderdate").alias("low"), F.max("o_orderdate").alias("high"), F.count(F.lit(1)).alias("n_rows"))
+    """Bounds and row count of a table, from footers alone."""
+    found = footer_bounds(t.spark, f"{t.sf_dir}/orders.parquet", ["o_orderdate"])
+    return found.select(F.col("low_o_orderdate").alias("low"), F.col("high_o_orderdate").alias("high"), "n_rows")
 
 
 @query("topk_export", f"WITH {SPOT_SQL} SELECT * FROM spot ORDER BY volume DESC, day DESC LIMIT 100", "open high low close volume")
@@ -145,8 +148,12 @@ def month_difference(t):
 
 @query("series_discovery", "SELECT DISTINCT event_type AS dataset, 'S' || (user_id % 5) AS symbol, strftime(ts, '%Y-%m') AS month FROM events")
 def series_discovery(t):
-    """The series and months that exist."""
-    return t.events.select(F.col("event_type").alias("dataset"), F.concat(F.lit("S"), (F.col("user_id") % 5).cast("string")).alias("symbol"), F.date_format("ts", "yyyy-MM").alias("month")).distinct()
+    """The series and months that exist, from the names of a table's folders."""
+    at = scratch(t.spark, "series")
+    symbol, month = F.concat(F.lit("S"), (F.col("user_id") % 5).cast("string")), F.date_format("ts", "yyyy-MM")
+    rows = t.events.select("event_id", "value", F.col("event_type").alias("dataset"), symbol.alias("symbol"), month.alias("month"))
+    rows.repartition("dataset", "symbol", "month").write.partitionBy("dataset", "symbol", "month").parquet(at)
+    return discovered(t.spark, at)
 
 
 ARTIFACT_SQL = """art AS (SELECT p_brand AS dataset, (1 + p_size % 3) || '.' || (p_size % 12) || '.' || (p_partkey % 15) AS version, p_partkey AS built FROM part)"""

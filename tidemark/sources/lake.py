@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,29 +13,32 @@ from pyspark.sql.types import _parse_datatype_string
 
 from tidemark.operators.dedup import keep_last
 from tidemark.operators.sync import schema_signature
+from tidemark.sources.files import as_type, content_digests, read_drifted, schema_groups
 from tidemark.sources.scratch import scratch
 
 
 def read_declared(spark: SparkSession, path: str | list[str], ddl: str) -> DataFrame:
     """Files read by a declared schema: missing columns are null, others ignored, nothing is inferred.
 
-    A column whose type in the files differs is cast, or null where it can't be.
+    Types may differ from file to file: files that agree are read together, and each value is cast to the declared type, or
+    null where it can't be.
     """
     wanted = _parse_datatype_string(ddl)
-    paths = [path] if isinstance(path, str) else list(path)
-    found = spark.read.option("mergeSchema", "true").parquet(*paths)
-    have = set(found.columns)
-    return found.select(*[
-        (F.col(f.name).try_cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name) for f in wanted.fields
-    ])
+    sides = []
+    for found in schema_groups(spark, [path] if isinstance(path, str) else list(path)):
+        have = {f.name: f.dataType for f in found.schema.fields}
+        sides.append(found.select(*[
+            (as_type(F.col(f"`{f.name}`"), have[f.name], f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name) for f in wanted.fields]))
+    return reduce(DataFrame.unionByName, sides)
 
 
 def freshest(spark: SparkSession, paths: list[str], keys: list[str]) -> DataFrame:
-    """Rows of all files; of one key the row of the newest file, and there the last, stays."""
-    found = spark.read.option("mergeSchema", "true").parquet(*paths).select(
-        "*", F.col("_metadata.file_modification_time").alias("__time"), F.col("_metadata.file_path").alias("__path"),
-        F.col("_metadata.row_index").alias("__index"),
-    )
+    """Rows of all files; of one key the row of the newest file, and there the last, stays.
+
+    Columns whose types differ from file to file take the type that holds all: the wider number or time, else text.
+    """
+    place = (F.col("_metadata.file_modification_time").alias("__time"), F.col("_metadata.file_path").alias("__path"), F.col("_metadata.row_index").alias("__index"))
+    found = read_drifted(spark, paths, place)
     return keep_last(found, keys, F.col("__time"), F.col("__path"), F.col("__index")).drop("__time", "__path", "__index")
 
 
@@ -58,11 +62,11 @@ def publish(df: DataFrame, root: str, version: str, keys: list[str], builder: st
     path = f"{root.rstrip('/')}/data/{version}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     written = spark.read.parquet(path)
-    n = written.count()
+    told = content_digests(written).first()
     if written.groupBy(*keys).count().where("count > 1").limit(1).count():
         raise ValueError("keys repeat; nothing is published")
     serial = time.time_ns()
-    manifest = {"version": version, "path": path, "rows": n, "schema": schema_signature(written), "keys": keys, "builder": builder, "built": serial, "attests": attestation or {}}
+    manifest = {"version": version, "path": path, "rows": told.n_rows, "content": told.digest, "schema": schema_signature(written), "keys": keys, "builder": builder, "built": serial, "attests": attestation or {}}
     spark.createDataFrame([(version, serial, json.dumps(manifest))], MANIFEST).coalesce(1).write.mode("append").json(f"{root.rstrip('/')}/manifests")
     return manifest
 
@@ -102,9 +106,9 @@ def roll_back(spark: SparkSession, root: str) -> dict:
 
 
 def attested(spark: SparkSession, root: str, sources: dict[str, str], version: str | None = None) -> bool:
-    """Whether the newest publication says that it was made of just these sources (name -> path or digest) and still has its rows."""
+    """Whether the newest publication says that it was made of just these sources (name -> path or digest) and still has the content it was published with."""
     manifest = _newest(spark, root, version)
-    return manifest["attests"] == sources and spark.read.parquet(manifest["path"]).count() == manifest["rows"]
+    return manifest["attests"] == sources and content_digests(spark.read.parquet(manifest["path"])).first().digest == manifest["content"]
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.sources.scratch import scratch
+from tidemark.streaming.checkpoints import bound_checkpoint
 
 
 def source(spark: SparkSession, path: str) -> DataFrame:
@@ -62,10 +63,12 @@ def follow_minute_bars(spark: SparkSession, path: str, out: str, checkpoint: str
     """Append the minutes that have closed since the last run to ``out``: each once, whatever fails between.
 
     ``path``: a folder that gets files.  ``checkpoint`` keeps what was read and the open minutes from run to run, so a run
-    reads the new files alone; a minute is written when the watermark, ``delay`` behind the newest row, has passed it.
+    reads the new files alone; a minute is written when the watermark, ``delay`` behind the newest row, has passed it.  The checkpoint belongs
+    to its plan, input and output: another one is refused.
     """
     bars = minute_bars(source(spark, path), delay)
-    run = bars.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    own = bound_checkpoint(spark, checkpoint, bars, {"path": path, "out": out, "delay": delay})
+    run = bars.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", own).trigger(availableNow=True).start()
     run.awaitTermination()
 
 
