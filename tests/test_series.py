@@ -353,7 +353,74 @@ def test_live_tables(spark):
     sources = {s: quotes if "ticker" in s else book if "l2" in s else one for s in _LIVE}
     got = gold.build("live.extended", sources).orderBy("timestamp_m1").collect()
     assert [r.timestamp_m1 for r in got] == [at(0), at(3)]
-    assert (got[0].options_l2_top_bid_depth, got[0].perps_l2_spread, got[0].options_ticker_median_implied_volatility) == (2.0, 2.5, 0.5)
+    assert (got[0].options_l2_top_bid_depth, got[0].options_l2_median_spread, got[0].options_surface_atm_iv, got[0].options_surface_atm_iv_right) == (2.0, 2.5, 0.5, 0.5)
+    assert (got[0].options_surface_contract_count, got[0].live_extended_options_surface_quote_fill_ratio, got[0].live_extended_options_surface_stale_quote_ratio) == (2, 0.0, 1.0)
     assert got[0].live_extended_options_l2_depth_imbalance_ratio == pytest.approx(-0.5)
     assert got[1].live_extended_futures_mark_price_mean_15m == 9.0 and got[1].live_extended_options_surface_skew_term_ratio is None
     assert gold.build("live.full", sources, 300).count() == 1
+
+
+def test_gold_sources_have_their_contracted_columns(spark):
+    from tidemark.plans.contracts import PREPARED
+
+    perps = spark.createDataFrame([("d", "B", "p", at(0), 99.0, 101.0, 100.0, 2.0, 1.0, 3.0, 5.0, True, False, 3.0)],
+        "exchange string, symbol string, instrument_name string, timestamp_m1 timestamp_ntz, best_bid_price double, best_ask_price double, mid_price double, spread double, top_bid_size double, top_ask_size double, bid_depth_10bps double, quote_available boolean, stale_quote boolean, quote_age_seconds double")
+    got = gold.prepared("perps_l2_1m_feature", perps).first()
+    assert got.__fields__ == [*gold.KEYS, *PREPARED["perps_l2_1m_feature"]] and len(got.__fields__) == 20
+    assert (got.perps_l2_best_bid_price, got.perps_l2_spread, got.perps_l2_bid_depth_10bps, got.perps_l2_quote_available, got.perps_l2_stale_quote, got.perps_l2_quote_age_seconds) == (99.0, 2.0, 5.0, True, False, 3.0)
+    assert got.perps_l2_as_of == at(0) and got.perps_l2_live_snapshot_derived and got.perps_l2_ask_depth_50bps is None
+    raw = perps.withColumnsRenamed({"timestamp_m1": "timestamp", "top_bid_size": "best_bid_size", "top_ask_size": "best_ask_size"}).drop("mid_price", "spread", "quote_available", "stale_quote")
+    got = gold.prepared("perps_l2_snapshot_1m_observed", raw.withColumn("ingested_at", F.lit(at(0, 7)))).first()
+    assert (got.perps_l2_mid_price, got.perps_l2_spread, got.perps_l2_top_of_book_imbalance, got.perps_l2_quote_age_seconds, got.perps_l2_stale_quote) == (100.0, 2.0, -0.5, 7.0, False)
+    options = perps.withColumn("instrument_name", F.lit("a")).unionByName(perps.withColumns({"instrument_name": F.lit("b"), "quote_available": F.lit(False), "stale_quote": F.lit(True), "top_bid_size": F.lit(6.0), "spread": F.lit(None).cast("double"), "quote_age_seconds": F.lit(4.0)}))
+    got = gold.prepared("options_l2_1m_feature", options).first()
+    assert (got.options_l2_contract_count, got.options_l2_quote_coverage_ratio, got.options_l2_stale_quote_ratio, got.options_l2_median_spread, got.options_l2_top_bid_depth,
+            got.options_l2_bid_depth_10bps, got.options_l2_max_quote_age_seconds) == (2, 0.5, 0.5, 2.0, 7.0, 10.0, 4.0)
+    quotes = spark.createDataFrame([("d", "B", n, at(0), iv, b, 2.0, 1.5, at(0, 9)) for n, iv, b in (("x", 0.4, 1.0), ("y", 0.6, 1.0), ("z", 0.5, None))],
+        "exchange string, symbol string, instrument_name string, timestamp timestamp_ntz, implied_volatility double, bid_price double, ask_price double, mark_price double, ingested_at timestamp_ntz")
+    got = gold.prepared("options_ticker_snapshot_1m_observed", quotes).first()
+    assert (got.options_surface_atm_iv, got.options_surface_contract_count, got.options_surface_fresh_quote_count, got.options_surface_stale_quote_count, got.options_surface_max_quote_age_seconds) == (0.5, 3, 2, 1, 9.0)
+    assert got.options_surface_quote_coverage_ratio == pytest.approx(2 / 3) and got.options_surface_skew is None
+    ready = spark.createDataFrame([("d", "B", at(0), 0.5, 10, at(1)), ("d", "B", at(0), 0.55, 12, at(2))], "exchange string, symbol string, timestamp_m1 timestamp_ntz, options_surface_atm_iv double, options_surface_contract_count long, ingested_at timestamp_ntz")
+    got = gold.prepared("options_ticker_snapshot_1m_observed", ready).collect()
+    assert [(r.options_surface_atm_iv, r.options_surface_contract_count) for r in got] == [(0.55, 12)]
+    hv = spark.createDataFrame([("d", "B", at(0), 55.0, at(0))], "exchange string, symbol string, timestamp timestamp_ntz, historical_volatility double, historical_volatility_source_timestamp timestamp_ntz")
+    assert gold.prepared("historical_volatility_observed", hv).columns[3:] == ["historical_volatility_reference", "historical_volatility_source_timestamp", "historical_volatility_available"]
+
+
+def test_gold_columns_do_not_depend_on_what_is_there(spark, monkeypatch):
+    from tidemark.plans import contracts
+
+    one = spark.createDataFrame([("d", "B", at(0), 1.0, "perps")], "exchange string, symbol string, timestamp_m1 timestamp_ntz, spread double, canonical_rv_source string")
+    required, optional = contracts.GOLD["market.regime_features"]
+    sources = dict.fromkeys(required, one)
+    bare, full = gold.build("market.regime_features", sources), gold.build("market.regime_features", sources | {o: one.withColumn("instrument_name", F.lit("x")) for o in optional})
+    assert bare.dtypes == full.dtypes
+    assert bare.first().perps_l2_spread is None and full.first().perps_l2_spread == 1.0 and not bare.first().perps_l2_1m_feature_available
+    assert {"canonical_rv_source", "canonical_rv_source_right"} <= set(bare.columns)
+    monkeypatch.setitem(contracts.PREPARED, "funding_1m_feature", {"rv_1h": ("spread", "double")})
+    with pytest.raises(ValueError, match="shares columns"):
+        gold.build("market.regime_features", sources)
+
+
+def test_ranks_equal_counting():
+    import random
+    import time
+
+    import numpy as np
+
+    from tidemark.functions.windows import Ranks
+
+    rng = random.Random(4)
+    for n, kinds in ((1, 1), (7, 2), (200, 5), (300, 1000)):
+        x, w = np.array([float(rng.randrange(kinds)) for _ in range(n)]), np.array([rng.randrange(1, 4) for _ in range(n)])
+        low = np.array([rng.randrange(n) for _ in range(50)])
+        high = np.array([rng.randrange(a, n) + 1 for a in low])
+        bound = x[[rng.randrange(n) for _ in range(50)]]
+        want = [int(sum(w[i] for i in range(a, b) if x[i] <= c)) for a, b, c in zip(low, high, bound)]
+        assert Ranks(x, w).at_most(low, high, bound).tolist() == want
+    x = np.random.default_rng(1).random(200_000)
+    at = np.arange(len(x))
+    began = time.perf_counter()
+    share = Ranks(x, np.ones(len(x), np.int64)).at_most(np.maximum(at - 100_000, 0), at + 1, x)  # windows of 100,000 rows
+    assert time.perf_counter() - began < 5 and share[-1] == (x[-100_001:] <= x[-1]).sum()

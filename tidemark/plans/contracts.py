@@ -158,37 +158,96 @@ GOLD: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
 }
 #: Tables on whose rows only observed minutes stand; the others have every minute of their span.
 OBSERVED_ONLY = ("live.volatility_features", "live.microstructure_features", "live.full", "live.extended")
-PREFIX = {
-    "spot_ohlcv": "spot_ohlcv", "perps_ohlcv": "perp", "open_interest_1m_feature": "", "funding_1m_feature": "", "perps_trades_1m_feature": "perps_trades",
-    "options_trades_1m_feature": "options_trades", "realized_volatility_1m_feature": "", "iv_rv_1m_feature": "", "volatility_index_1m_feature": "",
-    "index_price_1m_feature": "", "futures_summary_1m_feature": "futures_summary", "perps_l2_1m_feature": "perps_l2",
-    "options_l2_1m_feature": "options_l2", "options_surface_1m_feature": "options_surface", "historical_volatility_observed": "historical_volatility",
-    "historical_prediction_1m_feature": "", "gold_l2": "l2", "volatility_index_snapshot_1m_observed": "volatility_index",
-    "index_price_snapshot_1m_observed": "", "futures_summary_snapshot_1m_observed": "futures_summary", "options_ticker_snapshot_1m_observed": "options_ticker",
-    "options_instrument_ticker_snapshot_1m_observed": "options_instrument_ticker", "perps_l2_snapshot_1m_observed": "perps_l2",
-    "options_l2_snapshot_1m_observed": "options_l2", "recent_trade_snapshot_1m_observed": "", "instrument_metadata_snapshot_daily_observed": "",
-    "futures_instrument_metadata_snapshot_daily_observed": "",
-}
-#: Older names of columns, and what a source may lack (with its type): filled with nulls.
+#: Sources that only give their minutes: they are there for lineage, and in live tables they make no minute of their own.
+KEYS_ONLY = ("recent_trade_snapshot_1m_observed", "instrument_metadata_snapshot_daily_observed", "futures_instrument_metadata_snapshot_daily_observed")
+
+
+def _made(names: str, kind: str = "double", prefix: str = "") -> dict[str, tuple[str, str]]:
+    """Column of the Gold table -> column of the source and type."""
+    return {prefix + n: (n, kind) for n in names.split()}
+
+
+def _prices(prefix: str) -> dict[str, tuple[str, str]]:
+    return _made("open_price high_price low_price close_price volume quote_volume", prefix=prefix) | _made("trade_count", "bigint", prefix)
+
+
+def _trades(prefix: str) -> dict[str, tuple[str, str]]:
+    return _prices(prefix) | _made("buy_volume sell_volume", prefix=prefix) | _made("buy_trade_count sell_trade_count", "bigint", prefix) | _made("buy_volume_share", prefix=prefix)
+
+
+_RV = "rv_5m rv_15m rv_1h rv_4h rv_1d"
+_ANNUAL = "rv_5m_annualized_pct rv_15m_annualized_pct rv_1h_annualized_pct rv_4h_annualized_pct rv_1d_annualized_pct"
+_INDEX = _made("index_price") | _made("index_price_is_observed", "boolean") | _made("minutes_since_index_price_observation", "bigint")
+_SUMMARY = (
+    _made("instrument_type", "string", "futures_summary_")
+    | _made("mark_price index_price mark_index_spread mark_index_ratio open_interest volume turnover funding_rate", prefix="futures_summary_")
+    | {"futures_summary_is_observed": ("summary_is_observed", "boolean")} | _made("minutes_since_summary_observation", "bigint")
+)
+_SURFACE = (
+    _made("atm_iv short_dated_iv skew term_structure put_call_iv_spread", prefix="options_surface_")
+    | _made("contract_count fresh_quote_count stale_quote_count", "bigint", "options_surface_") | _made("max_quote_age_seconds quote_coverage_ratio", prefix="options_surface_")
+)
+_PERPS_BOOK = (
+    _made("best_bid_price best_ask_price mid_price spread top_bid_size top_ask_size top_of_book_imbalance bid_depth_10bps ask_depth_10bps bid_depth_50bps"
+          " ask_depth_50bps quote_age_seconds", prefix="perps_l2_")
+    | _made("quote_available stale_quote", "boolean", "perps_l2_") | {"perps_l2_minutes_since_observation": ("minutes_since_l2_observation", "bigint")}
+    | _made("as_of", "timestamp_ntz", "perps_l2_") | _made("live_snapshot_derived", "boolean", "perps_l2_")
+)
+_OPTIONS_BOOK = (
+    _made("contract_count", "bigint", "options_l2_")
+    | _made("quote_coverage_ratio stale_quote_ratio median_spread top_bid_depth top_ask_depth bid_depth_10bps ask_depth_10bps bid_depth_50bps ask_depth_50bps"
+            " max_quote_age_seconds", prefix="options_l2_")
+    | _made("as_of", "timestamp_ntz", "options_l2_") | _made("live_snapshot_derived", "boolean", "options_l2_")
+)
+_VOLATILITY_INDEX = {f"volatility_index_{x}": (f"volatility_{x}", "double") for x in ("value", "open", "high", "low", "close")}
+
+#: The columns that each source gives a Gold table, in order, with what they are made of.
+PREPARED: dict[str, dict[str, tuple[str, str]]] = {
+    "spot_ohlcv": _prices("spot_ohlcv_"),
+    "perps_ohlcv": _prices("perp_"),
+    "open_interest_1m_feature": {"open_interest_open_interest": ("open_interest", "double")} | _made("open_interest_is_observed open_interest_is_ffill", "boolean")
+    | _made("minutes_since_open_interest_observation open_interest_observation_lag_sec", "bigint") | _made("open_interest_source_timestamp", "timestamp_ntz"),
+    "funding_1m_feature": _made("funding_rate_last_known") | _made("funding_observed_at", "timestamp_ntz") | _made("minutes_since_funding", "bigint")
+    | _made("is_funding_observation_minute funding_data_available", "boolean"),
+    "perps_trades_1m_feature": _trades("perps_trades_"),
+    "options_trades_1m_feature": _trades("options_trades_"),
+    "historical_prediction_1m_feature": _made(" ".join(COLUMNS["historical_prediction_1m_feature"][3:])),
+    "volatility_index_data_observed": _VOLATILITY_INDEX,
+    "volatility_index_snapshot_1m_observed": _VOLATILITY_INDEX,
+    "volatility_index_1m_feature": _made("iv_open iv_high iv_low iv_close iv_range iv_return_1m iv_change_5m iv_change_15m iv_change_1h iv_zscore_1d iv_zscore_7d"
+                                         " iv_percentile_30d iv_30d_annualized_pct")
+    | _made("iv_source_dataset", "string") | _made("iv_source_timestamp", "timestamp_ntz") | _made("minutes_since_iv_observation", "bigint")
+    | _made("iv_data_available", "boolean") | {"as_of": ("iv_source_timestamp", "timestamp_ntz")} | _made("live_snapshot_derived", "boolean"),
+    "iv_rv_1m_feature": _made("canonical_rv_source", "string")
+    | _made("iv_minus_rv_1h iv_minus_rv_1d iv_rv_ratio_1h iv_rv_ratio_1d iv_rv_spread_30d_pct iv_rv_ratio_30d iv_rv_zscore_1d iv_rv_percentile_30d")
+    | _made("minutes_since_iv_observation minutes_since_rv_observation", "bigint") | _made("iv_available rv_available", "boolean"),
+    "realized_volatility_1m_feature": _made("canonical_rv_source", "string") | _made("canonical_rv_source_available", "boolean")
+    | _made(f"{_RV} {_ANNUAL} rv_30d rv_30d_annualized_pct")
+    | {k: v for side in ("spot_", "perps_") for k, v in {f"{side}{n}": (f"{side}{n}", "double") for n in f"log_return {_RV} rv_30d {_ANNUAL} rv_30d_annualized_pct".split()}.items()}
+    | _made("parkinson_rv_1h jump_proxy") | _made("spot_available perps_available spot_perps_basis_available", "boolean"),
+    "index_price_1m_feature": _INDEX,
+    "index_price_snapshot_1m_observed": _INDEX,
+    "futures_summary_1m_feature": _SUMMARY,
+    "futures_summary_snapshot_1m_observed": _SUMMARY,
+    "options_surface_1m_feature": _SURFACE,
+    "options_ticker_snapshot_1m_observed": _SURFACE,
+    "options_instrument_ticker_snapshot_1m_observed": _SURFACE,
+    "perps_l2_1m_feature": _PERPS_BOOK,
+    "perps_l2_snapshot_1m_observed": _PERPS_BOOK,
+    "options_l2_1m_feature": _OPTIONS_BOOK,
+    "options_l2_snapshot_1m_observed": _OPTIONS_BOOK,
+    "historical_volatility_observed": {"historical_volatility_reference": ("historical_volatility", "double")}
+    | _made("historical_volatility_source_timestamp", "timestamp_ntz") | _made("historical_volatility_available", "boolean"),
+} | {name: {} for name in KEYS_ONLY}
+#: Older names of columns in sources.
 ALIASES = {
     "open_interest_1m_feature": {
         "oi_is_observed": "open_interest_is_observed", "oi_is_ffill": "open_interest_is_ffill", "oi_source_timestamp": "open_interest_source_timestamp",
         "minutes_since_oi_observation": "minutes_since_open_interest_observation", "oi_observation_lag_sec": "open_interest_observation_lag_sec",
     },
-    "volatility_index_snapshot_1m_observed": {f"volatility_{x}": x for x in ("open", "high", "low", "close", "value")},
-    "futures_summary_1m_feature": {"summary_is_observed": "is_observed"},
-}
-ABSENT = {
-    "spot_ohlcv": {"quote_volume": "double", "trade_count": "bigint"}, "perps_ohlcv": {"quote_volume": "double", "trade_count": "bigint"},
-    "iv_rv_1m_feature": {"canonical_rv_source": "string"},
-    "index_price_1m_feature": {"index_price_is_observed": "boolean", "minutes_since_index_price_observation": "bigint"},
-    "index_price_snapshot_1m_observed": {"index_price_is_observed": "boolean", "minutes_since_index_price_observation": "bigint"},
-    "futures_summary_snapshot_1m_observed": {
-        "mark_index_spread": "double", "mark_index_ratio": "double", "is_observed": "boolean", "minutes_since_summary_observation": "bigint"},
-    "realized_volatility_1m_feature": {"canonical_rv_source": "string"} | dict.fromkeys(("canonical_rv_source_available", "spot_perps_basis_available"), "boolean")
-    | dict.fromkeys((c for c in COLUMNS["realized_volatility_1m_feature"] if c.startswith(("spot_rv", "perps_rv", "spot_log", "perps_log"))), "double"),
-    "historical_prediction_1m_feature": dict.fromkeys(COLUMNS["historical_prediction_1m_feature"][3:], "double"),
 }
+#: Columns that a later source shares with an earlier one of the same table: they get ``_right`` at their end.  Any other clash is an error.
+SHARED = {"iv_rv_1m_feature": {"canonical_rv_source"}, "options_instrument_ticker_snapshot_1m_observed": set(_SURFACE)}
 
 
 def carried(df: DataFrame, name: str, kind: str | None = None):

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.exprs import micros
 from tidemark.operators import features as T
 from tidemark.operators.dedup import keep_last
 from tidemark.operators.grid import span_grid
 from tidemark.operators.resample import resample
-from tidemark.plans.contracts import ABSENT, ALIASES, GOLD, OBSERVED_ONLY, PREFIX, carried
+from tidemark.plans.contracts import ALIASES, GOLD, KEYS_ONLY, OBSERVED_ONLY, PREPARED, SHARED
 
 KEYS = ["exchange", "symbol", "timestamp_m1"]
 
@@ -48,76 +49,122 @@ def _joined(out: DataFrame, name: str, df: DataFrame) -> DataFrame:
 def build(dataset: str, sources: dict[str, DataFrame], seconds: int = 60) -> DataFrame:
     """A Gold table on the union grid of its required sources; coarser than a minute it is resampled.
 
-    sources: by name; time columns may be open_time, timestamp or timestamp_m1.  Absent optional sources add nothing
-    but their availability flag.
+    sources: by name; time columns may be open_time, timestamp or timestamp_m1.  Absent optional sources add typed nulls, so the
+    columns don't depend on what is there; each source has a flag for the minutes that it knows.  Columns that two sources share are an error
+    unless the contract knows of them.
     """
     required, optional = GOLD[dataset]
     if lacking := [s for s in required if s not in sources]:
         raise KeyError(f"{dataset} needs {lacking}")
     ready = {s: prepared(s, sources[s]) for s in (*required, *(o for o in optional if o in sources))}
-    minutes = reduce(DataFrame.unionByName, [ready[s].select(*KEYS) for s in required])
-    grid = minutes.distinct() if dataset in OBSERVED_ONLY else span_grid(minutes, KEYS[:2], KEYS[2])
-    out = grid
+    of_grid = [s for s in required if not (dataset in LIVE_TABLES and s in KEYS_ONLY)]
+    minutes = reduce(DataFrame.unionByName, [ready[s].select(*KEYS) for s in of_grid])
+    out = minutes.distinct() if dataset in OBSERVED_ONLY else span_grid(minutes, KEYS[:2], KEYS[2])
     for name in (*required, *optional):
         flag = f"{name}_available"
         if name not in ready:
-            out = out.withColumn(flag, F.lit(False))
+            out = out.withColumns({c: F.lit(None).cast(kind) for c, (_, kind) in PREPARED.get(name, {}).items()} | {flag: F.lit(False)})
             continue
         side = ready[name]
-        prefix = PREFIX[name]
-        side = prefixed(side, prefix) if prefix else side
-        fresh = [c for c in side.columns if c in KEYS or c not in out.columns]
-        out = out.join(side.select(*fresh).withColumn(flag, F.lit(True)), KEYS, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
+        clash = (set(side.columns) & set(out.columns)) - set(KEYS)
+        if clash - SHARED.get(name, set()):
+            raise ValueError(f"{name} shares columns with earlier sources: {sorted(clash)}")
+        side = side.withColumnsRenamed({c: f"{c}_right" for c in clash})
+        out = out.join(side.withColumn(flag, F.lit(True)), KEYS, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
     if dataset == "live.extended":
         out = T.live_extended(out)
     return out if seconds == 60 else resample(out, KEYS[:2], KEYS[2], seconds)
 
 
-#: Sources that only give their minutes: they are there for lineage.
-KEYS_ONLY = ("recent_trade_snapshot_1m_observed", "instrument_metadata_snapshot_daily_observed", "futures_instrument_metadata_snapshot_daily_observed")
+LIVE_TABLES = ("live.full", "live.extended")
 
 
 def prepared(name: str, df: DataFrame) -> DataFrame:
-    """A source on the minute grid, one row a key: older names renamed, absent columns null, snapshots of many instruments aggregated."""
+    """A source on the minute grid, one row a key, with the columns that its contract gives a Gold table, in order.
+
+    Older names are renamed, columns that the source lacks are typed nulls, contracts of a minute are aggregated, of several
+    rows of a key the one that was ingested last stays.
+    """
     renamed = {a: b for a, b in ALIASES.get(name, {}).items() if a in df.columns and b not in df.columns}
     df = df.withColumnsRenamed(renamed)
-    time = next(c for c in ("timestamp_m1", "open_time", "trade_time", "snapshot_date", "timestamp") if c in df.columns)
-    df = df.withColumn("__minute", F.date_trunc("minute", F.col(time).cast("timestamp_ntz")).cast("timestamp_ntz")).drop("timestamp_m1").withColumnRenamed("__minute", KEYS[2])
-    df = df.drop(time) if time != KEYS[2] else df
+    time = next(c for c in ("timestamp_m1", "ts_minute", "open_time", "trade_time", "snapshot_date", "timestamp") if c in df.columns)
+    df = df.withColumn("__at", F.col(time).cast("timestamp_ntz"))
+    df = df.drop("timestamp_m1", "ts_minute").withColumn(KEYS[2], F.date_trunc("minute", "__at").cast("timestamp_ntz"))
     if name in KEYS_ONLY:
         return df.select(*KEYS).distinct()
-    for c, kind in ABSENT.get(name, {}).items():
-        if c not in df.columns:
-            df = df.withColumn(c, F.lit(None).cast(kind))
-    if name == "volatility_index_1m_feature":
-        df = df.withColumns({"as_of": carried(df, "iv_source_timestamp"), "live_snapshot_derived": F.lit(True)})
-    if "instrument_name" in df.columns:
-        return (options_minute if "implied_volatility" in df.columns else book_minute)(df)
-    own = [c for c in df.columns if c not in ("ingested_at", "source_endpoint", "schema_version", "dataset_type", "run_id", "event_time", "close_time", "timeframe", "origin_payload")]
-    return keep_last(df, KEYS, F.col("ingested_at") if "ingested_at" in df.columns else F.lit(1)).select(*own)
-
-
-def options_minute(df: DataFrame) -> DataFrame:
-    """Quotes of many contracts in one row: their number, medians of volatility and greeks, sums of interest and volume."""
-    last = keep_last(df, [*KEYS, "instrument_name"], F.col("ingested_at"))
-    middle = ("implied_volatility", "mark_price", "underlying_price", "delta", "gamma", "vega", "theta")
-    return last.groupBy(*KEYS).agg(
-        F.count_distinct("instrument_name").alias("contract_count"), *[F.median(c).alias(f"median_{c}") for c in middle if c in df.columns],
-        *[F.sum(c).alias(c) for c in ("open_interest", "volume") if c in df.columns])
-
-
-def book_minute(df: DataFrame) -> DataFrame:
-    """Books of one or many instruments in one row: median mid and spread, summed sizes at the top, imbalance, share quoted."""
-    last = keep_last(df, [*KEYS, "instrument_name"], F.col("ingested_at") if "ingested_at" in df.columns else F.lit(1))
-    have = set(df.columns)
-    bid, ask = F.col("best_bid_price"), F.col("best_ask_price")
-    if "mid_price" not in have:
-        last = last.withColumns({"mid_price": (bid + ask) / 2, "spread": ask - bid, "top_bid_size": F.col("best_bid_size"), "top_ask_size": F.col("best_ask_size")})
-    b, a = F.sum("top_bid_size"), F.sum("top_ask_size")
+    if name == "gold_l2":
+        return prefixed(keep_last(df, KEYS, *_newest(df)).drop("__at", "timestamp"), "l2")
+    if name == "options_l2_1m_feature" or name == "options_l2_snapshot_1m_observed":
+        df = options_book(df)
+    elif name in ("options_ticker_snapshot_1m_observed", "options_instrument_ticker_snapshot_1m_observed"):
+        df = options_quotes(df)
+    else:
+        df = keep_last(df, KEYS, *_newest(df))
+        if name == "perps_l2_snapshot_1m_observed":
+            df = book_snapshot(df)
+        if name in ("perps_l2_1m_feature", "perps_l2_snapshot_1m_observed"):
+            df = df.withColumns({"as_of": F.col(KEYS[2]), "live_snapshot_derived": F.lit(True)})
+        if name == "historical_volatility_observed":
+            df = df.withColumn("historical_volatility_available", F.lit(True))
+        if name == "volatility_index_1m_feature":
+            df = df.withColumn("live_snapshot_derived", F.lit(True))
+    return df.select(*KEYS, *[(F.col(c).cast(kind) if c in df.columns else F.lit(None).cast(kind)).alias(out) for out, (c, kind) in PREPARED[name].items()])
+
+
+def _newest(df: DataFrame) -> list[Column]:
+    return [F.col(c) for c in ("ingested_at", "__at", "instrument_name") if c in df.columns]
+
+
+def _age(df: DataFrame) -> Column:
+    """Whole seconds between a quote's time and its arrival."""
+    if "ingested_at" not in df.columns:
+        return F.lit(None).cast("double")
+    return F.abs(((micros(F.col("ingested_at")) - micros(F.col("__at"))) / 1_000_000).cast("long")).cast("double")
+
+
+def book_snapshot(df: DataFrame) -> DataFrame:
+    """Top of the book of a snapshot without its depth."""
+    bid, ask, b, a = (F.col(f"best_{side}_{what}").cast("double") for what in ("price", "size") for side in ("bid", "ask"))
+    return df.withColumns({
+        "mid_price": (bid + ask) / 2, "spread": ask - bid, "top_bid_size": b, "top_ask_size": a, "top_of_book_imbalance": F.when(b + a > 0, (b - a) / (b + a)),
+        "quote_available": bid.isNotNull() & ask.isNotNull(), "stale_quote": F.lit(False), "quote_age_seconds": _age(df)})
+
+
+def options_book(df: DataFrame) -> DataFrame:
+    """Liquidity of all contracts of a minute: their number, shares quoted and stale, median spread, summed sizes and depths, greatest age.
+
+    From books (best prices and sizes) or from the minutes of each contract, of which the last of a contract counts.
+    """
+    snapshot = "quote_available" not in df.columns and "best_bid_size" in df.columns
+    last = keep_last(df, [*KEYS, *(c for c in ("instrument_name",) if c in df.columns)], *_newest(df))
+    last = book_snapshot(last) if snapshot else last
+    own = lambda c: (F.col(c) if c in last.columns else F.lit(None)).cast("double")
+    share = lambda c: F.avg(own(c))
+    total = lambda c: F.coalesce(F.sum(own(c)), F.lit(0.0))
+    depths = [f"{side}_depth_{n}bps" for n in (10, 50) for side in ("bid", "ask")]
     return last.groupBy(*KEYS).agg(
-        F.count_distinct("instrument_name").alias("instrument_count"), F.median("mid_price").alias("mid_price"), F.median("spread").alias("spread"),
-        b.alias("top_bid_depth"), a.alias("top_ask_depth"), F.when(a + b > 0, (b - a) / (b + a)).alias("top_of_book_imbalance"),
-        F.avg(F.col("mid_price").isNotNull().cast("double")).alias("quote_coverage_ratio"))
+        F.count_distinct("instrument_name").alias("contract_count"), share("quote_available").alias("quote_coverage_ratio"), share("stale_quote").alias("stale_quote_ratio"),
+        F.median(own("spread")).alias("median_spread"), total("top_bid_size").alias("top_bid_depth"), total("top_ask_size").alias("top_ask_depth"),
+        *[(F.lit(None).cast("double") if snapshot else total(c)).alias(c) for c in depths], F.max(own("quote_age_seconds")).alias("max_quote_age_seconds"),
+        F.max(KEYS[2]).alias("as_of"), F.lit(True).alias("live_snapshot_derived"))
+
+
+def options_quotes(df: DataFrame) -> DataFrame:
+    """A surface of all quotes of a minute: median volatility, contracts, fresh (with bid, ask and mark) and other quotes, greatest age.
+
+    Rows that are surfaces already (``atm_iv``, with or without prefix) are taken as they are, the last of a minute.
+    """
+    if "atm_iv" in df.columns or "options_surface_atm_iv" in df.columns:
+        last = keep_last(df, KEYS, *_newest(df))
+        return last.withColumnsRenamed({c: c.removeprefix("options_surface_") for c in last.columns if c.startswith("options_surface_") and c.removeprefix("options_surface_") not in last.columns})
+    last = keep_last(df, [*KEYS, *(c for c in ("instrument_name",) if c in df.columns)], *_newest(df))
+    quoted = F.lit(True)
+    for c in ("bid_price", "ask_price", "mark_price"):
+        quoted = quoted & (F.col(c).isNotNull() if c in df.columns else F.lit(False))
+    iv = F.median(F.col("implied_volatility") if "implied_volatility" in last.columns else F.lit(None).cast("double"))
+    return last.withColumns({"__fresh": quoted, "__age": _age(last)}).groupBy(*KEYS).agg(
+        iv.alias("atm_iv"), iv.alias("short_dated_iv"), F.count_distinct("instrument_name").alias("contract_count"), F.count_if("__fresh").alias("fresh_quote_count"),
+        F.count_if(~F.col("__fresh")).alias("stale_quote_count"), F.max("__age").alias("max_quote_age_seconds"), F.avg(F.col("__fresh").cast("double")).alias("quote_coverage_ratio"))
 
 
 def with_strategy_features(gold: DataFrame) -> DataFrame:
