@@ -327,3 +327,23 @@ def test_checkpoints_belong_to_their_plan(spark, tmp_path):
             bound_checkpoint(spark, root, df, options)
     second = bound_checkpoint(spark, root, stream().where("id > 2"), {"delay": "1 day"}, anew=True)
     assert second != first and bound_checkpoint(spark, root, stream().where("id > 1"), {"delay": "1 day"}) == first
+
+
+def test_a_gold_chain_over_buckets_shuffles_nothing(spark, tmp_path):
+    from tidemark.plans import bucketed, contracts, gold
+
+    def side(name, n):
+        rows = [(e, s, datetime(2024, 1, 1) + timedelta(hours=h), float(h + n)) for e in "xy" for s in "ab" for h in range(n, 60)]
+        return spark.createDataFrame(rows, "exchange string, symbol string, timestamp_m1 timestamp_ntz, value double").withColumn("instrument_name", F.lit("i")).withColumnRenamed("value", {"spot_ohlcv": "close_price", "perps_ohlcv": "close_price"}.get(name, "spread"))
+
+    required, optional = contracts.GOLD["market.regime_features"]
+    sources = {n: side(n, i) for i, n in enumerate((*required, *optional[:2]))}
+    tables = bucketed.store_sources("market.regime_features", sources, "shuffle_free", str(tmp_path / "b"), 8)
+    out = bucketed.build(spark, "market.regime_features", tables)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("SortMergeJoin") == len(sources) and "Bucketed: true" in plan
+    plain = gold.build("market.regime_features", sources)
+    assert out.columns == plain.columns
+    assert sorted(map(str, out.collect())) == sorted(map(str, plain.collect()))
+    with pytest.raises(KeyError):
+        bucketed.build(spark, "market.regime_features", {"grid": tables["grid"]})

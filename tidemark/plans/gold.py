@@ -57,23 +57,34 @@ def build(dataset: str, sources: dict[str, DataFrame], seconds: int = 60) -> Dat
     if lacking := [s for s in required if s not in sources]:
         raise KeyError(f"{dataset} needs {lacking}")
     ready = {s: prepared(s, sources[s]) for s in (*required, *(o for o in optional if o in sources))}
-    of_grid = [s for s in required if not (dataset in LIVE_TABLES and s in KEYS_ONLY)]
+    out = chained(dataset, grid_of(dataset, ready), ready, KEYS)
+    if dataset == "live.extended":
+        out = T.live_extended(out)
+    return out if seconds == 60 else resample(out, KEYS[:2], KEYS[2], seconds)
+
+
+def grid_of(dataset: str, ready: dict[str, DataFrame]) -> DataFrame:
+    """The minutes of a table, from its required sources."""
+    of_grid = [s for s in GOLD[dataset][0] if not (dataset in LIVE_TABLES and s in KEYS_ONLY)]
     minutes = reduce(DataFrame.unionByName, [ready[s].select(*KEYS) for s in of_grid])
-    out = minutes.distinct() if dataset in OBSERVED_ONLY else span_grid(minutes, KEYS[:2], KEYS[2])
+    return minutes.distinct() if dataset in OBSERVED_ONLY else span_grid(minutes, KEYS[:2], KEYS[2])
+
+
+def chained(dataset: str, out: DataFrame, ready: dict[str, DataFrame], on: list[str], hint: str | None = None) -> DataFrame:
+    """The grid with the columns of each source, or typed nulls, and a flag whether the source has the row."""
+    required, optional = GOLD[dataset]
     for name in (*required, *optional):
         flag = f"{name}_available"
         if name not in ready:
             out = out.withColumns({c: F.lit(None).cast(kind) for c, (_, kind) in PREPARED.get(name, {}).items()} | {flag: F.lit(False)})
             continue
         side = ready[name]
-        clash = (set(side.columns) & set(out.columns)) - set(KEYS)
+        clash = (set(side.columns) & set(out.columns)) - set(on)
         if clash - SHARED.get(name, set()):
             raise ValueError(f"{name} shares columns with earlier sources: {sorted(clash)}")
-        side = side.withColumnsRenamed({c: f"{c}_right" for c in clash})
-        out = out.join(side.withColumn(flag, F.lit(True)), KEYS, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
-    if dataset == "live.extended":
-        out = T.live_extended(out)
-    return out if seconds == 60 else resample(out, KEYS[:2], KEYS[2], seconds)
+        side = side.withColumnsRenamed({c: f"{c}_right" for c in clash}).withColumn(flag, F.lit(True))
+        out = out.join(side.hint(hint) if hint else side, on, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
+    return out
 
 
 LIVE_TABLES = ("live.full", "live.extended")
@@ -136,7 +147,7 @@ def options_book(df: DataFrame) -> DataFrame:
     From books (best prices and sizes) or from the minutes of each contract, of which the last of a contract counts.
     """
     snapshot = "quote_available" not in df.columns and "best_bid_size" in df.columns
-    last = keep_last(df, [*KEYS, *(c for c in ("instrument_name",) if c in df.columns)], *_newest(df))
+    last = keep_last(df, [*KEYS, "instrument_name"], *_newest(df))
     last = book_snapshot(last) if snapshot else last
     own = lambda c: (F.col(c) if c in last.columns else F.lit(None)).cast("double")
     share = lambda c: F.avg(own(c))
@@ -157,7 +168,7 @@ def options_quotes(df: DataFrame) -> DataFrame:
     if "atm_iv" in df.columns or "options_surface_atm_iv" in df.columns:
         last = keep_last(df, KEYS, *_newest(df))
         return last.withColumnsRenamed({c: c.removeprefix("options_surface_") for c in last.columns if c.startswith("options_surface_") and c.removeprefix("options_surface_") not in last.columns})
-    last = keep_last(df, [*KEYS, *(c for c in ("instrument_name",) if c in df.columns)], *_newest(df))
+    last = keep_last(df, [*KEYS, "instrument_name"], *_newest(df))
     quoted = F.lit(True)
     for c in ("bid_price", "ask_price", "mark_price"):
         quoted = quoted & (F.col(c).isNotNull() if c in df.columns else F.lit(False))

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.plans import gold
+from tidemark.plans import bucketed, gold
 from tidemark.plans.contracts import _LIVE, KEYS_ONLY
 from tidemark.plans.registry import query
 from tidemark.queries.trades import GRID_SQL, bars
+from tidemark.sources.scratch import scratch
 
 #: Ticks as quotes of contracts: bid and ask around the price, some without an ask, some without a mark.
 QUOTES_SQL = r"""quotes AS (
@@ -78,23 +79,41 @@ REGIME_SQL = f"""WITH {GRID_SQL} SELECT g.symbol, g.timestamp_m1 AS ts, b.close_
   FROM grid g LEFT JOIN bars b ON g.symbol = b.symbol AND g.timestamp_m1 = b.timestamp_m1"""
 
 
-@query("gold_regime_features", REGIME_SQL, "spot_close perp_close oi funding rv_1h spread l2_spread")
-def gold_regime_features(t):
-    """The regime table of six required sources and one of six optional ones: what is absent is a typed null, shared columns keep both sides."""
+def regime_sources(t) -> dict:
     b, at = bars(t), F.col("timestamp_m1")
     keyed = lambda time, **columns: b.select("exchange", "symbol", at.alias(time), *[F.col(c).alias(n) if isinstance(c, str) else c.alias(n) for n, c in columns.items()])
     prices = {f"{n}_price": F.col("close_price") for n in ("open", "high", "low", "close")} | {"volume": "volume"}
-    sources = {
+    return {
         "spot_ohlcv": keyed("open_time", **prices), "perps_ohlcv": keyed("open_time", **(prices | {"close_price": "high_price"})),
         "funding_1m_feature": keyed("timestamp", funding_rate_last_known=F.col("low_price") / 1000), "open_interest_1m_feature": keyed("timestamp_m1", open_interest="volume", oi_is_observed=F.lit(True)),
         "realized_volatility_1m_feature": keyed("timestamp_m1", rv_1h=F.col("open_price") / 100, canonical_rv_source=F.lit("perps")),
         "iv_rv_1m_feature": keyed("timestamp_m1", iv_minus_rv_1h="quote_volume", canonical_rv_source=F.lit("both")),
         "perps_l2_1m_feature": keyed("timestamp_m1", spread=F.col("high_price") - F.col("low_price"), quote_available=F.lit(True)),
     }
-    out = gold.build("market.regime_features", sources)
+
+
+def regime_shown(out):
     return out.select(
-        "symbol", at.alias("ts"), F.col("spot_ohlcv_close_price").alias("spot_close"), F.col("perp_close_price").alias("perp_close"), F.col("open_interest_open_interest").alias("oi"),
+        "symbol", F.col("timestamp_m1").alias("ts"), F.col("spot_ohlcv_close_price").alias("spot_close"), F.col("perp_close_price").alias("perp_close"), F.col("open_interest_open_interest").alias("oi"),
         F.col("funding_rate_last_known").alias("funding"), "rv_1h", F.col("canonical_rv_source").alias("source"), F.col("canonical_rv_source_right").alias("source_right"),
         F.col("iv_minus_rv_1h").alias("spread"), F.col("perps_l2_spread").alias("l2_spread"), F.col("perps_l2_1m_feature_available").alias("has_l2"),
         F.col("options_surface_atm_iv").alias("surface_iv"), F.col("options_surface_contract_count").alias("contracts"), F.col("historical_volatility_reference").alias("volatility"),
         F.col("historical_volatility_observed_available").alias("has_volatility"))
+
+
+REGIME_DOUBLES = "spot_close perp_close oi funding rv_1h spread l2_spread"
+
+
+@query("gold_regime_features", REGIME_SQL, REGIME_DOUBLES)
+def gold_regime_features(t):
+    """The regime table of six required sources and one of six optional ones: what is absent is a typed null, shared columns keep both sides."""
+    return regime_shown(gold.build("market.regime_features", regime_sources(t)))
+
+
+@query("gold_regime_bucketed", REGIME_SQL, REGIME_DOUBLES)
+def gold_regime_bucketed(t):
+    """The same table from sources that were stored in buckets: its joins shuffle nothing."""
+    root = scratch(t.spark, "buckets")
+    prefix = "t" + root.rpartition("-")[2]
+    tables = bucketed.store_sources("market.regime_features", regime_sources(t), prefix, root, 16)
+    return regime_shown(bucketed.build(t.spark, "market.regime_features", tables))
