@@ -347,3 +347,42 @@ def test_a_gold_chain_over_buckets_shuffles_nothing(spark, tmp_path):
     assert sorted(map(str, out.collect())) == sorted(map(str, plain.collect()))
     with pytest.raises(KeyError):
         bucketed.build(spark, "market.regime_features", {"grid": tables["grid"]})
+
+
+def test_certification_holds_rows_against_their_entry(spark, tmp_path):
+    import shutil
+
+    root = str(tmp_path / "gold")
+    df = spark.createDataFrame([("x", "a", datetime(2024, 1, 1, 0, m), 1.0) for m in range(5)], "exchange string, symbol string, timestamp_m1 timestamp_ntz, v double")
+    keys = ["exchange", "symbol", "timestamp_m1"]
+    artifact = lambda d: publication.Artifact("m1", d, "1.0.0", keys, lineage={"exchange": "x", "symbol": "a"}, ts="timestamp_m1")
+    with pytest.raises(ValueError, match="lineage"):
+        publication.publish_together(spark, root, [artifact(df.unionByName(df.withColumn("symbol", F.lit("b"))))], "b")
+    with pytest.raises(ValueError, match="keys"):
+        publication.publish_together(spark, root, [artifact(df.withColumn("symbol", F.lit(None).cast("string")))], "b")
+    path = publication.publish_together(spark, root, [artifact(df)], "b")["artifacts"][0]["path"]
+    told = publication.certify_artifact(spark, root, "m1").first()
+    assert (told.status, told.n_rows, told.low, told.high, told.failed) == ("certified", 5, datetime(2024, 1, 1), datetime(2024, 1, 1, 0, 4), [])
+    for change, failed in ((lambda d: d.where("minute(timestamp_m1) > 0"), ["content", "rows", "bounds"]), (lambda d: d.withColumn("symbol", F.lit("b")), ["content", "lineage"]),
+                           (lambda d: d.unionByName(d), ["content", "rows", "keys"]), (lambda d: d.withColumn("v", F.col("v").cast("float")), ["content", "schema"])):
+        shutil.rmtree(path)
+        change(df).write.parquet(path)
+        spark.catalog.refreshByPath(path)
+        assert publication.certify_artifact(spark, root, "m1").first().failed == failed
+
+
+def test_no_order_of_batches_loses_a_row(spark, tmp_path):
+    from tidemark.streaming import bars
+
+    source, out, state_at = (str(tmp_path / x) for x in ("in", "out", "state"))
+    day = datetime(2024, 1, 31)
+    for hours in (100, 3, 50, 0, 100):  # each file in a micro-batch of its own, not by time
+        spark.createDataFrame([("e", day + timedelta(hours=hours, seconds=s), float(s)) for s in (0, 30, 90)], "event_type string, ts timestamp_ntz, value double").coalesce(1).write.mode("append").parquet(source)
+    bars.partial_bars(spark, source, out, state_at, files_a_batch=1)
+    got = bars.whole_bars(spark, out).orderBy("timestamp_m1").collect()
+    assert [((r.timestamp_m1 - day).total_seconds() / 3600, r.n, r.high, r.low, r.total) for r in got][::2] == [(0, 2, 30, 0, 30), (3, 2, 30, 0, 30), (50, 2, 30, 0, 30), (100, 4, 30, 0, 60)]
+    assert {r.timestamp_m1.day for r in got if r.revised} <= {31, 2} and sum(r.revised for r in got) >= 4
+    months = {r.month: r.n for r in bars.late_months(spark, out).collect()}
+    assert months.get("2024-01", 0) in (3, 6) and sum(months.values()) <= 9
+    bars.partial_bars(spark, source, out, state_at, files_a_batch=1)  # nothing new
+    assert sum(r.n for r in bars.whole_bars(spark, out).collect()) == 15

@@ -165,9 +165,14 @@ def test_delta_and_versions(spark):
     assert {r.id: r.action for r in S.delta(a, b, ["id"], ["v"]).collect()} == {1: "insert", 2: "update", 3: "update", 4: "unchanged", 5: "delete"}
     base = {"join_policy": "left", "sources": ["a", "b"], "columns": ["x", "y"], "data_hash": "1"}
     cases = {"none": {}, "patch": {"data_hash": "2"}, "minor": {"columns": ["x", "y", "z"]}, "major": {"columns": ["y", "x"]}}
-    assert all(S.version_bump(base, base | change) == want for want, change in cases.items())
-    assert [S.version_bump(base, base | c) for c in ({"sources": ["a"]}, {"sources": ["a", "b", "c"]}, {"join_policy": "inner"}, {"columns": ["x"]})] == ["major", "minor", "major", "major"]
-    assert S.version_bump(None, base) == "major"
+    cases = [(want, base | change) for want, change in cases.items()] + [
+        (want, base | c) for want, c in (("major", {"sources": ["a"]}), ("minor", {"sources": ["a", "b", "c"]}), ("major", {"join_policy": "inner"}), ("major", {"columns": ["x"]}), ("major", {"columns": None}))]
+    row = lambda c: c and (c["join_policy"], c["sources"], c["columns"], c["data_hash"])
+    contract = "struct<join_policy: string, sources: array<string>, columns: array<string>, data_hash: string>"
+    df = spark.createDataFrame([("1.4.2", row(base), row(after), want) for want, after in cases] + [(None, None, row(base), "major")], f"version string, before {contract}, after {contract}, want string")
+    got = df.withColumn("bump", S.version_bump(F.col("before"), F.col("after"))).withColumn("next", S.bumped(F.col("version"), F.col("bump"))).collect()
+    assert [r.bump for r in got] == [r.want for r in got]
+    assert {(r.bump, r.next) for r in got} == {("major", "2.0.0"), ("minor", "1.5.0"), ("patch", "1.4.3"), ("none", "1.4.2"), ("major", "1.0.0")}
 
 
 def test_contracts_and_gold(spark):

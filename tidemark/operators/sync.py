@@ -104,28 +104,31 @@ def schema_signature(df: DataFrame) -> str:
     return hashlib.sha256(",".join(f"{f.name}:{f.dataType.simpleString()}" for f in df.schema.fields).encode()).hexdigest()
 
 
-def version_bump(before: dict | None, after: dict) -> str:
-    """'major', 'minor', 'patch' or 'none' from two contracts.
+def version_bump(before: Column, after: Column) -> Column:
+    """'major', 'minor', 'patch' or 'none' from two contracts; null parts, or no contract before, make it major.
 
-    A contract has join_policy, sources, columns (in order) and data_hash.
+    A contract is a struct of join_policy, sources and columns (arrays, columns in order) and data_hash.
     """
-    needed = {"join_policy", "sources", "columns", "data_hash"}
-    if before is None or not needed <= set(before) or not needed <= set(after):
-        return "major"
-    if before["join_policy"] != after["join_policy"]:
-        return "major"
-    gone, new = set(before["sources"]) - set(after["sources"]), set(after["sources"]) - set(before["sources"])
-    if gone:
-        return "major"
-    if new:
-        return "minor"
-    if set(before["columns"]) - set(after["columns"]):
-        return "major"
-    if set(after["columns"]) - set(before["columns"]):
-        return "minor"
-    if list(before["columns"]) != list(after["columns"]):
-        return "major"
-    return "patch" if before["data_hash"] != after["data_hash"] else "none"
+    parts = ("join_policy", "sources", "columns", "data_hash")
+    lacking = before.isNull() | after.isNull()
+    for p in parts:
+        lacking = lacking | before[p].isNull() | after[p].isNull()
+    lost = lambda p: F.size(F.array_except(before[p], after[p])) > 0
+    new = lambda p: F.size(F.array_except(after[p], before[p])) > 0
+    return (
+        F.when(lacking | (before["join_policy"] != after["join_policy"]) | lost("sources"), "major").when(new("sources"), "minor")
+        .when(lost("columns"), "major").when(new("columns"), "minor").when(before["columns"] != after["columns"], "major")
+        .when(before["data_hash"] != after["data_hash"], "patch").otherwise("none")
+    )
+
+
+def bumped(version: Column, bump: Column) -> Column:
+    """The version after a bump; 1.0.0 where there was none."""
+    v = semver(version)
+    text = lambda *x: F.concat_ws(".", *[c.cast("string") if isinstance(c, Column) else F.lit(str(c)) for c in x])
+    next_ = F.when(bump == "major", text(v["major"] + 1, 0, 0)).when(bump == "minor", text(v["major"], v["minor"] + 1, 0)).when(
+        bump == "patch", text(v["major"], v["minor"], v["patch"] + 1)).otherwise(version)
+    return F.when(v["patch"].isNull(), "1.0.0").otherwise(next_)
 
 
 def artifact_status(wanted: DataFrame, artifacts: DataFrame, manifests: DataFrame, keys: list[str], path: str, built: str) -> DataFrame:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.windows import rolling
+from tidemark.functions.windows import over_rows, rolling
+from tidemark.operators import sync as S
 from tidemark.plans import incremental, windows_ledger
 from tidemark.plans.reconcile import reconcile
 from tidemark.plans.registry import query
@@ -12,6 +16,7 @@ from tidemark.sources import lake, publication
 from tidemark.sources.files import content_digests
 from tidemark.sources.scratch import scratch
 from tidemark.sources.tables import TICKS_SQL
+from tidemark.streaming import bars
 from tidemark.streaming.late import follow_late
 
 
@@ -127,3 +132,57 @@ def windows_that_fail_apart(t):
     made = windows_ledger.results(t.spark, ledger, out, windows, keys)
     last = windows_ledger.attempts(t.spark, ledger, windows, keys).where("status = 'done'").select("symbol", "window_start", "attempt")
     return made.join(last, ["symbol", "window_start"])
+
+
+@query("certified_snapshot", "SELECT o_orderstatus AS name, '1.0.0' AS version, count(*) AS n_rows, min(o_orderdate)::TIMESTAMP AS low, max(o_orderdate)::TIMESTAMP AS high, 'certified' AS status, 0 AS n_failed FROM orders GROUP BY 1")
+def certified_snapshot(t):
+    """Orders of each status published together, then certified: content, rows, schema, keys, lineage (one status) and bounds of time."""
+    root = scratch(t.spark, "certified")
+    names = [r[0] for r in t.orders.select("o_orderstatus").distinct().orderBy("o_orderstatus").collect()]  # a handful
+    made = [publication.Artifact(n, t.orders.where(F.col("o_orderstatus") == n), "1.0.0", ["o_orderkey"], lineage={"o_orderstatus": n}, ts="o_orderdate") for n in names]
+    publication.publish_together(t.spark, root, made, "orders")
+    found = reduce(DataFrame.unionByName, [publication.certify_artifact(t.spark, root, n) for n in names])
+    return found.withColumn("n_failed", F.size("failed")).drop("failed")
+
+
+@query("csv_and_json_sinks", "SELECT o_orderkey, o_orderdate::TIMESTAMP AS o_orderdate, o_orderpriority, o_totalprice FROM orders", "o_totalprice")
+def csv_and_json_sinks(t):
+    """Orders written as CSV and as JSON and read back: both give the same rows."""
+    csv, json = scratch(t.spark, "csv"), scratch(t.spark, "json")
+    rows = t.orders.select("o_orderkey", "o_orderdate", "o_orderpriority", "o_totalprice")
+    lake.write_csv(rows, csv)
+    lake.json_report(rows, json)
+    ddl = "o_orderkey bigint, o_orderdate timestamp_ntz, o_orderpriority string, o_totalprice double"
+    a = t.spark.read.schema(ddl).option("header", "true").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").csv(csv)
+    return a.intersectAll(t.spark.read.schema(ddl).json(json))
+
+
+CONTRACT_SQL = """c AS (SELECT p_partkey, p_size, p_brand, [p_brand, 'z' || p_size % 3] AS sources, CASE WHEN p_size % 7 = 0 THEN ['b', 'a'] WHEN p_size % 7 = 1 THEN ['a'] WHEN p_size % 7 = 2 THEN ['a', 'b', 'c'] ELSE ['a', 'b'] END AS columns,
+    CASE WHEN p_size % 11 = 0 THEN 'inner' ELSE 'full_outer_coalesce' END AS policy, (p_size // 2)::VARCHAR AS hash FROM part),
+  v AS (SELECT *, lag(p_partkey) OVER w AS before, lag(sources) OVER w AS s, lag(columns) OVER w AS k, lag(policy) OVER w AS j, lag(hash) OVER w AS h FROM c WINDOW w AS (PARTITION BY p_brand ORDER BY p_partkey))"""
+
+
+@query("version_bumps", f"""WITH {CONTRACT_SQL}
+  SELECT p_partkey, CASE WHEN before IS NULL OR policy <> j OR NOT list_has_all(sources, s) THEN 'major' WHEN NOT list_has_all(s, sources) THEN 'minor' WHEN NOT list_has_all(columns, k) THEN 'major'
+    WHEN NOT list_has_all(k, columns) THEN 'minor' WHEN columns <> k THEN 'major' WHEN hash <> h THEN 'patch' ELSE 'none' END AS bump FROM v""")
+def version_bumps(t):
+    """The bump that each contract of a series asks for, against the contract before it."""
+    size, text = F.col("p_size"), lambda *x: F.array(*[F.lit(c) for c in x])
+    columns = F.when(size % 7 == 0, text("b", "a")).when(size % 7 == 1, text("a")).when(size % 7 == 2, text("a", "b", "c")).otherwise(text("a", "b"))
+    contract = F.struct(
+        F.when(size % 11 == 0, "inner").otherwise("full_outer_coalesce").alias("join_policy"), F.array("p_brand", F.concat(F.lit("z"), (size % 3).cast("string"))).alias("sources"),
+        columns.alias("columns"), F.floor(size / 2).cast("string").alias("data_hash"))
+    rows = t.part.select("p_brand", "p_partkey", contract.alias("after"), F.timestamp_seconds("p_partkey").alias("at"))
+    out = over_rows(rows, ["p_brand"], "at", lambda w: {"before": F.lag("after").over(w)}, back=1)
+    return out.select("p_partkey", S.version_bump(F.col("before"), F.col("after")).alias("bump"))
+
+
+@query("late_bars", """SELECT event_type, date_trunc('minute', ts)::TIMESTAMP AS timestamp_m1, count(*) AS n, max(value) AS high, min(value) AS low, sum(value) AS total, bool_or(event_id % 10 = 3 AND date_trunc('minute', ts) + INTERVAL 1 MINUTE
+    <= (SELECT max(ts) FROM events WHERE event_id % 10 <> 3) - INTERVAL 1 DAY) AS revised FROM events GROUP BY 1, 2""", "high low total")
+def late_bars(t):
+    """Bars of a stream of which a tenth comes late, in a micro-batch of its own: nothing is lost, and what changed closed minutes is marked."""
+    at, out, state = (scratch(t.spark, x) for x in ("late-in", "late-bars", "late-bars-state"))
+    for part in (F.col("event_id") % 10 != 3, F.col("event_id") % 10 == 3):
+        t.events.where(part).write.mode("append").parquet(at)
+        bars.partial_bars(t.spark, at, out, state)
+    return bars.whole_bars(t.spark, out)

@@ -250,7 +250,7 @@ def closed_minutes(t):
 
 @query("streaming_minute_bars", "SELECT event_type, date_trunc('minute', ts)::TIMESTAMP AS timestamp_m1, count(*) AS n, max(value) AS high, min(value) AS low, sum(value) AS total FROM events GROUP BY 1, 2", "high low total")
 def streaming_minute_bars(t):
-    """The tumbling aggregate as a stream with a watermark, run to its end over the table."""
+    """The tumbling aggregate as a stream, run to its end over the table: late rows are counted, and noted as late."""
     from tidemark.streaming.bars import run_minute_bars
 
     return run_minute_bars(t.spark, f"{t.sf_dir}/events.parquet")

@@ -17,6 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.exprs import micros
 from tidemark.operators.sync import schema_signature, semver
 from tidemark.sources import records
 from tidemark.sources.files import content_digests
@@ -29,6 +30,9 @@ class Artifact:
     version: str
     keys: list[str]
     sources: dict[str, str] = field(default_factory=dict)
+    #: Columns that have one value in all rows, and which; and the column of time.
+    lineage: dict[str, str] = field(default_factory=dict)
+    ts: str | None = None
 
 
 COMMIT = "serial long, state string, artifacts string"
@@ -62,9 +66,24 @@ def _prepared(spark: SparkSession, path: str, a: Artifact, builder: str, check:
         raise ValueError(f"keys of {a.name} repeat or are null; nothing is published")
     if check and not check(a.name, written):
         raise ValueError(f"{a.name} doesn't pass its check; nothing is published")
+    if _strangers(written, a.lineage):
+        raise ValueError(f"{a.name} has rows of another lineage; nothing is published")
     told = content_digests(written).first()
+    low, high = _bounds(written, a.ts)
     return {"name": a.name, "version": a.version, "path": path, "rows": told.n_rows, "digest": told.digest, "schema": schema_signature(written),
-            "keys": a.keys, "builder": builder, "sources": a.sources}
+            "keys": a.keys, "builder": builder, "sources": a.sources, "lineage": a.lineage, "ts": a.ts, "low": low, "high": high}
+
+
+def _strangers(df: DataFrame, lineage: dict[str, str]) -> bool:
+    own = F.lit(True)
+    for c, value in lineage.items():
+        own = own & F.col(f"`{c}`").cast("string").eqNullSafe(F.lit(value))
+    return bool(lineage) and not df.where(~own).isEmpty()
+
+
+def _bounds(df: DataFrame, ts: str | None) -> tuple[int | None, int | None]:
+    """The first and last time, in microseconds."""
+    return tuple(df.agg(F.min(micros(F.col(ts))), F.max(micros(F.col(ts)))).first()) if ts else (None, None)
 
 
 def commits(spark: SparkSession, root: str) -> DataFrame:
@@ -75,7 +94,7 @@ def commits(spark: SparkSession, root: str) -> DataFrame:
 
 
 ENTRY = ("array<struct<name: string, version: string, path: string, rows: long, digest: string, schema: string, keys: array<string>, builder: string,"
-         " sources: map<string, string>>>")
+         " sources: map<string, string>, lineage: map<string, string>, ts: string, low: long, high: long>>")
 
 
 def catalogue(spark: SparkSession, root: str) -> DataFrame:
@@ -119,3 +138,25 @@ def attest(spark: SparkSession, root: str, serial: int | None = None) -> DataFra
         except Exception:  # a file that can't be read is a finding, not a failure of the audit
             rows.append((e["name"], e["version"], "unreadable"))
     return spark.createDataFrame(rows, "name string, version string, status string")
+
+
+def certify_artifact(spark: SparkSession, root: str, name: str, version: str | None = None) -> DataFrame:
+    """One row: name, version, n_rows, low, high, status, and the checks that failed, of a published artifact against its entry.
+
+    The checks: content (digest), rows, schema, keys (unique, none null), lineage (no row of another), bounds of time.  ``certified`` needs all.
+    """
+    entry = newest(spark, root, name, version)
+    data = spark.read.parquet(entry.path)
+    told, (low, high) = content_digests(data).first(), _bounds(data, entry.ts)
+    null = F.lit(False)
+    for k in entry["keys"]:
+        null = null | F.col(f"`{k}`").isNull()
+    unsound = data.groupBy(*entry["keys"]).agg(F.count(F.lit(1)).alias("n")).where(null | (F.col("n") > 1))
+    checks = {
+        "content": told.digest == entry.digest, "rows": told.n_rows == entry.rows, "schema": schema_signature(data) == entry.schema, "keys": unsound.isEmpty(),
+        "lineage": not _strangers(data, entry.lineage or {}), "bounds": (low, high) == (entry.low, entry.high),
+    }
+    failed = [c for c, passed in checks.items() if not passed]
+    row = (entry.name, entry.version, told.n_rows, low, high, "failed" if failed else "certified", failed)
+    found = spark.createDataFrame([row], "name string, version string, n_rows long, low long, high long, status string, failed array<string>")
+    return found.withColumns({c: F.timestamp_micros(c).cast("timestamp_ntz") for c in ("low", "high")})

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.exprs import micros
+from tidemark.sources import records
 from tidemark.sources.scratch import scratch
 from tidemark.streaming.checkpoints import bound_checkpoint
 
@@ -47,16 +49,51 @@ def _run(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
-def run_minute_bars(spark: SparkSession, path: str, delay: str = "1 day") -> DataFrame:
-    """The table's minutes, from a stream that is run to its end.
+PROGRESS = "batch long, newest long"
 
-    A row that is later than ``delay`` after newer ones of an earlier micro-batch isn't counted any more: its minute is closed,
-    and its month is one to be rebuilt.
+
+def partial_bars(spark: SparkSession, path: str, out: str, checkpoint: str, delay_seconds: int = 86_400, files_a_batch: int = 1000) -> None:
+    """Follow the files that come to ``path`` and write each micro-batch's share of the bars, which no lateness can lose.
+
+    A share has count, extremes, sum and whether it is late: its minute had closed before the batch, ``delay_seconds`` behind the newest row of
+    all batches before.  A batch that is replayed writes its folder again.
     """
-    from tidemark.operators.dedup import keep_last
+    progress = f"{checkpoint.rstrip('/')}/progress"
+
+    def write(batch: DataFrame, n: int) -> None:
+        before = records.read(spark, progress, PROGRESS).where(F.col("batch") < n).agg(F.max("newest")).first()[0]
+        start = F.date_trunc("minute", "ts").cast("timestamp_ntz")
+        late = F.lit(False) if before is None else micros(F.col("timestamp_m1")) + 60_000_000 <= before - delay_seconds * 1_000_000
+        share = batch.groupBy("event_type", start.alias("timestamp_m1")).agg(
+            F.count(F.lit(1)).alias("n"), F.max("value").alias("high"), F.min("value").alias("low"), F.sum("value").alias("total"), F.max(micros(F.col("ts"))).alias("newest"))
+        at = f"{out.rstrip('/')}/batch={n}"
+        share.withColumn("late", late).write.mode("overwrite").parquet(at)
+        newest = spark.read.parquet(at).agg(F.max("newest")).first()[0]
+        records.append(spark, progress, PROGRESS, [(n, newest)])
+
+    rows = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files_a_batch)
+    run = rows.parquet(f"{path[:-1]}[{path[-1]}]").writeStream.foreachBatch(write).option("checkpointLocation", f"{checkpoint.rstrip('/')}/stream").trigger(availableNow=True).start()
+    run.awaitTermination()
+
+
+def whole_bars(spark: SparkSession, out: str) -> DataFrame:
+    """The bars of all shares so far; ``revised`` if a share came after its minute had closed."""
+    shares = spark.read.parquet(out)
+    return shares.groupBy("event_type", "timestamp_m1").agg(
+        F.sum("n").alias("n"), F.max("high").alias("high"), F.min("low").alias("low"), F.sum("total").alias("total"), F.bool_or("late").alias("revised"))
+
+
+def late_months(spark: SparkSession, out: str) -> DataFrame:
+    """event_type, month, n: closed months that late rows have changed, for whatever was built of them."""
+    late = spark.read.parquet(out).where("late")
+    return late.groupBy("event_type", F.date_format("timestamp_m1", "yyyy-MM").alias("month")).agg(F.sum("n").alias("n"))
+
 
-    bars = _run(minute_bars(source(spark, path), delay), "stream-bars")
-    return keep_last(bars, ["event_type", "timestamp_m1"], F.col("__batch")).drop("__batch")
+def run_minute_bars(spark: SparkSession, path: str, delay_seconds: int = 86_400) -> DataFrame:
+    """The table's minutes, from a stream that is run to its end: all of its rows, in whatever order and batches they come."""
+    out = scratch(spark, "stream-bars")
+    partial_bars(spark, path, out, scratch(spark, "stream-bars-state"), delay_seconds)
+    return whole_bars(spark, out).drop("revised")
 
 
 def follow_minute_bars(spark: SparkSession, path: str, out: str, checkpoint: str, delay: str = "10 minutes") -> None:
