@@ -82,16 +82,20 @@ def _merged(a: Column, b: Column, moments: bool) -> Column:
         F.when(n > 1, F.when(same, 0.0).otherwise(F.sqrt(squares / (n - 1)))).alias("std"))
 
 
-def rolling(df: DataFrame, keys: list[str], ts: str, values: dict[str, Column], spans: dict[str, int], moments: bool = True) -> DataFrame:
+def rolling(
+    df: DataFrame, keys: list[str], ts: str, values: dict[str, Column], spans: dict[str, int], moments: bool | set[str] = True, only: dict[str, set[str]] | None = None,
+) -> DataFrame:
     """Add ``{value}_{span}``: a struct of n, total, mean, std of each value over each (t - seconds, t], all in one exchange.
 
     Time is cut in blocks as long as the window, so a window is the end of one block and the beginning of the next.  Running
     moments forwards give each row the beginning of its block, backwards the end of its block; the first row after t - seconds
     is the one after the last row up to then.  The two parts are merged by count, mean and sum of squared deviations, so a value
     counts only where its window has it, and no large sums are subtracted.  A window in which the value never changes
-    gives exact results; windows of up to ``SHORT_SECONDS`` are gone through instead.  Without ``moments`` only n and total.
-    Rows without a time are each other's window.
+    gives exact results; windows of up to ``SHORT_SECONDS`` are gone through instead.  Without ``moments`` (or for values that aren't in
+    it) only n and total; ``only``: the spans of a value that doesn't need all.  Rows without a time are each other's window.
     """
+    full = {v: moments if isinstance(moments, bool) else v in moments for v in values}
+    of_span = {name: [v for v in values if name in (only or {}).get(v, spans)] for name in spans}
     rows = _sliced(df.withColumns({f"__x_{v}": x.cast("double") for v, x in values.items()}), ts, max(spans.values()))
     order = Window.partitionBy(*keys, "__slice").orderBy("__us")
     so_far = lambda w: w.rangeBetween(Window.unboundedPreceding, 0)
@@ -100,10 +104,10 @@ def rolling(df: DataFrame, keys: list[str], ts: str, values: dict[str, Column],
     for name, seconds in spans.items():
         if name not in wide:
             w = order.rangeBetween(1 - seconds * 1_000_000, 0)
-            for v in values:
+            for v in of_span[name]:
                 x = F.col(f"__x_{v}")
                 fields = [F.count(x).over(w).alias("n"), F.sum(x).over(w).alias("total")]
-                fields += [F.avg(x).over(w).alias("mean"), F.stddev_samp(x).over(w).alias("std")] if moments else []
+                fields += [F.avg(x).over(w).alias("mean"), F.stddev_samp(x).over(w).alias("std")] if full[v] else []
                 out[f"{v}_{name}"] = F.struct(*fields)
     for name, us in wide.items():
         rows = rows.withColumn(f"__block_{name}", F.floor(F.col("__us") / us))
@@ -111,7 +115,7 @@ def rolling(df: DataFrame, keys: list[str], ts: str, values: dict[str, Column],
         ways = {"begin": so_far(block.orderBy("__us")), "end": so_far(block.orderBy(F.col("__us").desc()))}
         for way, w in ways.items():
             rows = rows.withColumn(f"__{way}_{name}", F.struct(F.col(f"__block_{name}").alias("block"), *[
-                F.struct(*_partial(F.col(f"__x_{v}"), w, moments)).alias(v) for v in values]))
+                F.struct(*_partial(F.col(f"__x_{v}"), w, full[v])).alias(v) for v in of_span[name]]))
         made += [f"__block_{name}", f"__begin_{name}", f"__end_{name}", f"__next_{name}", f"__edge_{name}"]
     rows = rows.withColumns({f"__next_{name}": F.lead(f"__end_{name}").over(order) for name in wide})
     rows = rows.withColumns({f"__edge_{name}": F.coalesce(
@@ -119,8 +123,8 @@ def rolling(df: DataFrame, keys: list[str], ts: str, values: dict[str, Column],
         for name, us in wide.items()})
     for name in wide:
         edge = F.when(F.col(f"__edge_{name}.block") == F.col(f"__block_{name}") - 1, F.col(f"__edge_{name}"))
-        for v in values:
-            out[f"{v}_{name}"] = _merged(edge[v], F.col(f"__begin_{name}.{v}"), moments)
+        for v in of_span[name]:
+            out[f"{v}_{name}"] = _merged(edge[v], F.col(f"__begin_{name}.{v}"), full[v])
     return _own(rows.withColumns(out)).drop(*made)
 
 

@@ -365,11 +365,11 @@ def historical_prediction_feature(df: DataFrame, keys: list[str] = KEYS, ts: str
     out = over_rows(df, keys, ts, steps, back=1, step=60)
     squares = {f"__{s}": f(f"{p}{s}_log_return_1m") * f(f"{p}{s}_log_return_1m") for s in ("spot", "perps")}
     spans = {"15m": 900, "1h": 3600, "1d": 86_400}
-    out = rolling(out, keys, ts, squares, spans, moments=False)
-    out = out.withColumns({f"{p}{s}_rv_{n}": F.when(f(f"__{s}_{n}.n") >= 2, F.sqrt(F.greatest(f(f"__{s}_{n}.total"), F.lit(0.0)))) for s in ("spot", "perps") for n in spans})
     hourly = {"basis": basis, "open_interest": oi} | {f"{s}_{c}": f"{s}_{c}" for s in ("perps", "options") for c in ("trade_count", "quote_volume")}
-    out = rolling(out, keys, ts, {f"__{n}": f(c) for n, c in hourly.items()}, {"1h": 3600})
-    out = rolling(out, keys, ts, {"__fr": f(fr)}, {"1d": 86_400})
+    scored = {f"__{n}": f(c) for n, c in hourly.items()} | {"__fr": f(fr)}
+    only = dict.fromkeys((f"__{n}" for n in hourly), {"1h"}) | {"__fr": {"1d"}}
+    out = rolling(out, keys, ts, squares | scored, spans, moments=set(scored), only=only)  # all windows in one exchange
+    out = out.withColumns({f"{p}{s}_rv_{n}": F.when(f(f"__{s}_{n}.n") >= 2, F.sqrt(F.greatest(f(f"__{s}_{n}.total"), F.lit(0.0)))) for s in ("spot", "perps") for n in spans})
     out = out.withColumns({f"{p}{n}_zscore_1h": zscore(f(c), f"__{n}_1h") for n, c in hourly.items()} | {
         f"{p}funding_rate_zscore_1d": zscore(f(fr), "__fr_1d"), f"{p}funding_basis_divergence": f(fr) - f(basis)})
     out = out.drop("__fr_1d", *[f"__{n}_1h" for n in hourly], *[f"__{s}_{n}" for s in ("spot", "perps") for n in spans])
