@@ -68,17 +68,17 @@ def published_siblings(t):
 
 
 def _trailing(df):
-    """Orders and their mean price over 30 days, by day and priority."""
+    """Orders and their prices in cents over 30 days, by day and priority."""
     day = F.date_trunc("day", "o_orderdate").cast("timestamp_ntz").alias("day")
-    daily = df.groupBy("o_orderpriority", day).agg(F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("total"))
-    out = rolling(daily, ["o_orderpriority"], "day", {"n": F.col("n"), "total": F.col("total")}, {"30d": 30 * 86_400}, moments=False)
-    return out.select("o_orderpriority", "day", F.col("n_30d.total").cast("long").alias("n"), (F.col("total_30d.total") / F.col("n_30d.total")).alias("mean"))
+    daily = df.groupBy("o_orderpriority", day).agg(F.count(F.lit(1)).alias("n"), F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("cents"))
+    out = rolling(daily, ["o_orderpriority"], "day", {"__n": F.col("n"), "__cents": F.col("cents")}, {"30d": 30 * 86_400}, moments=False)
+    return out.select("o_orderpriority", "day", F.col("__n_30d.total").cast("long").alias("n"), F.col("__cents_30d.total").cast("long").alias("cents"))
 
 
 @query("late_data_rebuild", """WITH o AS (SELECT o_orderpriority, date_trunc('day', o_orderdate)::TIMESTAMP AS day, CASE WHEN year(o_orderdate) = 1994 AND o_orderkey % 10 = 4 THEN o_totalprice + 1 ELSE o_totalprice END AS x FROM orders),
-  d AS (SELECT o_orderpriority, day, count(*) AS n, sum(x) AS total FROM o GROUP BY 1, 2)
-  SELECT o_orderpriority, day, CAST(sum(n) OVER w AS BIGINT) AS n, sum(total) OVER w / sum(n) OVER w AS mean FROM d
-  WINDOW w AS (PARTITION BY o_orderpriority ORDER BY day RANGE BETWEEN INTERVAL 29 DAY PRECEDING AND CURRENT ROW)""", "mean", places=5)
+  d AS (SELECT o_orderpriority, day, count(*) AS n, sum(round(x * 100)) AS cents FROM o GROUP BY 1, 2)
+  SELECT o_orderpriority, day, CAST(sum(n) OVER w AS BIGINT) AS n, CAST(sum(cents) OVER w AS BIGINT) AS cents FROM d
+  WINDOW w AS (PARTITION BY o_orderpriority ORDER BY day RANGE BETWEEN INTERVAL 29 DAY PRECEDING AND CURRENT ROW)""")
 def late_data_rebuild(t):
     """Trailing features by month: late and corrected rows of one year are merged, and only the months that they reach are built again."""
     at = {n: scratch(t.spark, f"late-{n}") for n in ("in", "table", "state", "out")}
