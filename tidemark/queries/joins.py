@@ -13,7 +13,7 @@ from tidemark.operators.bars import KEYS
 from tidemark.operators.grid import month_grid, span_grid
 from tidemark.plans.registry import query
 from tidemark.queries.trades import BARS_SQL, GRID_SQL, bars
-from tidemark.sources.tables import PERP_SQL, QUOTES_SQL, SPOT_SQL
+from tidemark.sources.tables import PERP_SQL, QUOTES_SQL, SPOT_SQL, TICKS_SQL
 
 MONTH_SQL = QUOTES_SQL + """, grid AS (
   SELECT symbol, unnest(generate_series(date_trunc('month', min(ts))::TIMESTAMP, date_trunc('hour', max(ts))::TIMESTAMP, INTERVAL 1 HOUR)) AS ts
@@ -63,13 +63,16 @@ def staleness_minutes(t):
     return staleness(state, "ts", "observed_at")
 
 
-@query("asof_leak_check", "SELECT symbol, 0::BIGINT AS leaks FROM (SELECT DISTINCT 'S' || (user_id % 5) AS symbol FROM events)")
+@query("asof_leak_check", f"""WITH {TICKS_SQL}, {QUOTES_SQL}, d AS (SELECT DISTINCT symbol, ts FROM quotes), a AS (
+  SELECT e.symbol, e.trade_time, d.ts AS observed_at FROM ticks e ASOF LEFT JOIN d ON e.symbol = d.symbol AND e.trade_time >= d.ts)
+  SELECT symbol, count(*) AS n_rows, count(observed_at) AS n_known, count(*) FILTER (observed_at > trade_time) AS leaks FROM a GROUP BY 1""")
 def asof_leak_check(t):
-    """No as-of state is later than its row: counted over every tick."""
+    """No as-of state is later than its row: counted over every tick, beside the rows that have a state."""
     q = t.quotes().withColumn("observed_at", F.col("ts"))
     joined = asof(t.ticks().select("symbol", "trade_time", "trade_id"), q, "trade_time", ["symbol"], ["observed_at"], right_on="ts", tie="event_id")
     bad = leaks(joined, "trade_time", "observed_at").groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
-    return joined.select("symbol").distinct().join(bad, "symbol", "left").select("symbol", F.coalesce("n", F.lit(0)).cast("long").alias("leaks"))
+    rows = joined.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_rows"), F.count("observed_at").alias("n_known"))
+    return rows.join(bad, "symbol", "left").select("symbol", "n_rows", "n_known", F.coalesce("n", F.lit(0)).cast("long").alias("leaks"))
 
 
 @query("iv_change_lookback", f"""WITH {QUOTES_SQL}, d AS (SELECT symbol, ts, arg_max(value, event_id) AS value FROM quotes GROUP BY 1, 2)

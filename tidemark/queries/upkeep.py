@@ -209,7 +209,9 @@ def row_digests(t):
     return t.orders.select("o_orderkey", S.row_digest(t.orders, ["o_orderstatus", "o_custkey", "o_orderdate"]).alias("digest"))
 
 
-@query("schema_signature", "SELECT count(*) AS n_rows, sha256('o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string,o_totalprice:double,o_orderdate:timestamp_ntz,o_orderpriority:string') AS signature FROM orders")
+@query("schema_signature", """WITH d AS (SELECT row_number() OVER () AS i, column_name, CASE WHEN column_type = 'BIGINT' THEN 'bigint' WHEN column_type = 'INTEGER' THEN 'int' WHEN column_type = 'DOUBLE' THEN 'double'
+    WHEN column_type = 'VARCHAR' THEN 'string' WHEN column_type LIKE 'TIMESTAMP%' THEN 'timestamp_ntz' END AS kind FROM (DESCRIBE orders))
+  SELECT (SELECT count(*) FROM orders) AS n_rows, sha256(string_agg(column_name || ':' || kind, ',' ORDER BY i)) AS signature FROM d""")
 def schema_signature(t):
     """Rows of a table with the digest of its names and types."""
     return t.orders.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("signature", F.lit(S.schema_signature(t.orders)))
