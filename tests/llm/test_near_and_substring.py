@@ -260,6 +260,34 @@ def test_a_frequent_passage_fills_no_task(spark, docs_of, monkeypatch):
     assert max(sizes) <= 40
 
 
+def test_one_repetitive_text_fills_no_task(spark, docs_of, monkeypatch):
+    """A phrase of five words after every eleven new ones of one text: its code's segments are shared out, the result is that of brute force."""
+    monkeypatch.setattr(substring_dedup, "GROUP", 64)
+    phrase = [f"p{i}" for i in range(5)]
+    words = [w for i in range(3000) for w in [f"n{i % 2900}x{j}" for j in range(11)] + phrase]
+    rows = [(1, " ".join(words)), (2, " ".join(words[500:700])), (3, " ".join(phrase * 3))]
+    sizes, deal = [], substring_dedup.subtrees
+
+    def watched(segments):
+        sizes.extend(segments.groupBy("code").agg(F.count("*"), F.max("salt")).orderBy(F.desc("count(1)")).first()[1:2])
+        sizes.append(segments.groupBy("code", "salt").count().agg(F.max("count")).first()[0])
+        return deal(segments)
+
+    monkeypatch.setattr(substring_dedup, "subtrees", watched)
+    got = substring_dedup.substring_dedup(docs_of(rows)).collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got), key=repr) == brute_removed(rows)
+    assert sizes[0] > 1000 and sizes[1] <= 2 * 64
+
+
+def test_codes_are_counted_without_a_window(spark):
+    coded = spark.createDataFrame([(1, 1, 0, 1), (2, 1, 9, 1), (2, 2, 0, 3), (3, 3, 0, 2), (3, 3, 5, -1), (4, 4, 0, 0)], "code long, row long, at long, segments int")
+    found = substring_dedup.repeated_codes(coded)
+    assert "Window" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(
+        [(1, 9, 2, False, 4), (2, 0, 2, False, 4), (3, 0, 3, False, 2), (3, 5, 3, False, None), (4, 0, 4, True, None)], key=repr
+    )
+
+
 def test_every_equal_window_has_an_equal_code():
     rng = np.random.default_rng(2)
     words = rng.integers(0, 1 << 63, 300, dtype=np.uint64)

@@ -7,7 +7,7 @@ that depth or deeper.  The tree is never built as one:
   code is its minimiser, the word k-gram with the least hash within the first
   ``WINDOW`` words: equal windows have equal codes, and neighbours mostly share
   theirs, so the suffixes of a text fall into a few segments, each with one code.
-* Counting.  Codes are counted first; one that a single segment has leads to no
+* Counting.  Codes are counted first, by sums that combine before the shuffle; one that a single segment has leads to no
   internal node.  Equal segments of a batch are one path of a tree: the first in
   order stands for them, the others are repeats as wholes.
 * Partition.  Segments, with their words, are dealt out by code: a code is a
@@ -159,9 +159,9 @@ def coded_spans(rows: DataFrame) -> DataFrame:
     """code, row, at, segments: a row per span; at = first start << 8 | number of further starts.
 
     ``segments``: of the first span with a code in its batch, how many different spans the batch has; of the others -1,
-    and 0 of a copy of an earlier span.  The two last have codes of their own as ``key``, for they needn't meet others to be told.
+    and 0 of a copy of an earlier span.
     """
-    names = ["key", "code", "row", "at", "segments"]
+    names = ["code", "row", "at", "segments"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Hashes()
@@ -184,20 +184,23 @@ def coded_spans(rows: DataFrame) -> DataFrame:
             at = np.flatnonzero(first)
             segments = np.where(copy, 0, -1)
             segments[at] = np.add.reduceat(~copy, at) if len(at) else 0
-            own = _mix(row_no[text].astype(np.uint64) * np.uint64(_BASE) + low.astype(np.uint64))
-            key = np.where(first, code, own | np.uint64(1 << 63))
-            columns = [key.view(np.int64), code.view(np.int64), row_no[text], low << 8 | (high - low), segments.astype(np.int32)]
+            columns = [code.view(np.int64), row_no[text], low << 8 | (high - low), segments.astype(np.int32)]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
-    return rows.mapInArrow(run, "key long, code long, row long, at long, segments int")
+    return rows.mapInArrow(run, "code long, row long, at long, segments int")
 
 
 def repeated_codes(coded: DataFrame) -> DataFrame:
-    """row, at, code, copy, total of the spans that are copies or whose code other spans have too; total: of a code's spans, in its first ones."""
-    total = F.sum("segments").over(Window.partitionBy("key"))
-    return coded.withColumn("total", total).where("segments <= 0 OR total > 1").select(
-        "row", "at", "code", (F.col("segments") == 0).alias("copy"), F.when(F.col("segments") > 0, F.col("total")).alias("total")
-    )
+    """row, at, code, copy, total of the spans that are copies or whose code other spans have too; total: of a code's spans, in its first ones.
+
+    Sums of a code combine before they are shuffled.  Spans beside the first of their batch are told without meeting others.
+    ``coded`` is read twice and should be saved.
+    """
+    first = coded.where("segments > 0")
+    totals = first.groupBy("code").agg(F.sum("segments").alias("total")).where("total > 1")
+    met = first.join(totals, "code").select("row", "at", "code", F.lit(False).alias("copy"), "total")
+    told = coded.where("segments <= 0")
+    return met.unionByName(told.select("row", "at", "code", (F.col("segments") == 0).alias("copy"), F.lit(None).cast("long").alias("total")))
 
 
 def _packed(rows: DataFrame) -> DataFrame:
@@ -364,20 +367,27 @@ def subtrees(segments: DataFrame) -> DataFrame:
     return ready.mapInArrow(run, "row long, doc_id long, at long, node binary, least boolean")
 
 
+def salted(segments: DataFrame, frequent: DataFrame) -> DataFrame:
+    """``segments`` with the share of its code's segments that each falls to, -1 where one group holds them all.  frequent: code, total.
+
+    Segments of one text are shared out like those of many.
+    """
+    salt = F.pmod(F.xxhash64("row", "at"), F.ceil(F.col("total") / GROUP))
+    return segments.join(broadcast_small(frequent), "code", "left").select(
+        "code", F.coalesce(salt, F.lit(-1)).cast("long").alias("salt"), "row", "doc_id", "at", "words"
+    )
+
+
 def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Texts (row, doc_id, packed, and lists at, code, copy of spans), and the repeats beside the copies (row, at)."""
     rows = _rows(docs)
-    marks = save(repeated_codes(coded_spans(rows)), "repeated-codes")
+    marks = save(repeated_codes(save(coded_spans(rows), "coded-spans")), "repeated-codes")
     by_row = marks.groupBy("row").agg(F.collect_list(F.struct("at", "code", "copy")).alias("marks"))
     texts = _packed(rows).join(by_row, "row", "left").select(
         "row", "doc_id", "packed", *[F.col(f"marks.{c}").alias(c) for c in ("at", "code", "copy")]
     )
     frequent = marks.where(F.col("total") > GROUP).groupBy("code").agg(F.max("total").alias("total"))
-    salt = F.pmod(F.xxhash64("row"), F.ceil(F.col("total") / GROUP))
-    segments = segments_of(texts).join(broadcast_small(frequent), "code", "left").select(
-        "code", F.coalesce(salt, F.lit(-1)).cast("long").alias("salt"), "row", "doc_id", "at", "words"
-    )
-    found = subtrees(segments)
+    found = subtrees(salted(segments_of(texts), frequent))
     if not frequent.isEmpty():
         leaves = Window.partitionBy("node").orderBy(F.col("doc_id").asc_nulls_first(), "row", "at")
         found = found.withColumn("nth", F.row_number().over(leaves)).where("NOT least OR nth > 1")
