@@ -296,3 +296,29 @@ def test_repeated_rows_of_one_doc_id_are_learnt_once(spark, docs_of):
     for f in (quality.quality_scores, toxicity.toxicity_scores):
         a, b = ({r.doc_id: r.score for r in f(d, table).collect()} for d in (once, often))
         assert max(abs(a[d] - b[d]) for d in a) < 1e-9
+
+
+def test_pieces_of_long_texts_give_the_same_grams(monkeypatch):
+    """Words, runs of spaces and one word longer than a piece: the distinct n-grams are those of the whole text."""
+    rng = np.random.default_rng(4)
+    text = "".join(rng.choice(list("aBc\u0130\u00df \n\t"), 5000)) + "Q" * 900 + "   " * 200 + "end of it "
+    whole = toxicity.present(text)
+    monkeypatch.setattr(toxicity, "STEP", 64)
+    assert "".join(toxicity.pieces(text)) == f" {' '.join(text.lower().split())} "
+    assert toxicity.present(text).tolist() == whole.tolist()
+    wanted = np.zeros(toxicity.BUCKETS, bool)
+    wanted[whole[::3]] = True
+    assert toxicity.present(text, wanted).tolist() == whole[::3].tolist()
+
+
+def test_memory_of_a_text_of_40_megabytes():
+    code = (
+        "import resource; from tidemark.llm import toxicity\n"
+        "text = ' '.join([' '.join([f'word{(i + b * 100000) * 7919 % 1000003}' for i in range(100000)]) for b in range(40)])\n"
+        "before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss\n"
+        "n = len(toxicity.present(text)); after = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss\n"
+        "print(len(text), n, (after - before) // 1024)"
+    )
+    # The text is made in blocks before the first reading, so the second shows what the features add.
+    length, n, added = map(int, subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout.split())
+    assert length > 40_000_000 and n > 100_000 and added < 200

@@ -20,6 +20,7 @@ an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,16 +41,35 @@ CUT = 0.7
 ROUNDS, EPOCHS = 3, 15
 
 _MIX = [np.uint64((0x9E3779B97F4A7C15 * (2 * i + 1) ** 3) & 0xFFFFFFFFFFFFFFFF | 1) for i in range(max(GRAMS))]
-#: Characters of a very long text are hashed so many at a time.
+#: Characters of a very long text are taken about so many at a time.
 STEP = 1 << 18
+_SPACE = re.compile(r"\s")
+
+
+def pieces(text: str) -> Iterator[str]:
+    """The lower-cased words, each with one space on both sides, in pieces that follow on each other.
+
+    A piece ends with a word; only a word longer than ``STEP`` is cut.
+    """
+    at, space = 0, " "
+    while at < len(text):
+        end = min(len(text), at + STEP)
+        if end < len(text):
+            found = _SPACE.search(text, end, end + STEP)
+            end = found.start() if found else min(len(text), end + STEP)
+        words = text[at:end].lower().split()
+        if words:
+            yield space + " ".join(words)
+        at, space = end, " " if text[end : end + 1].isspace() or not words else ""
+    yield " "
 
 
 def grams(text: str) -> Iterator[np.ndarray]:
-    """Buckets of the n-grams of the lower-cased words, each with one space on both sides, repeats included."""
-    text = f" {' '.join(text.lower().split())} "
-    codes = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
-    for at in range(0, len(codes), STEP):
-        part = codes[at : at + STEP + max(GRAMS) - 1]
+    """Buckets of the n-grams of the lower-cased words, each with one space on both sides; some come more than once."""
+    part = np.empty(0, np.uint64)
+    for piece in pieces(text):
+        own = np.frombuffer(piece.encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
+        part = np.concatenate([part[-(max(GRAMS) - 1) :], own])
         total = np.zeros(len(part), np.uint64)
         for i in range(max(GRAMS)):
             if len(part) <= i:
@@ -62,8 +82,12 @@ def grams(text: str) -> Iterator[np.ndarray]:
 
 def present(text: str, wanted: np.ndarray | None = None) -> np.ndarray:
     """The distinct buckets of a text; with ``wanted`` (a mask) only those."""
-    parts = [b if wanted is None else b[wanted[b]] for b in grams(text)]
-    return np.unique(np.concatenate(parts)) if parts else np.empty(0, np.int64)
+    if len(text) > STEP:
+        seen = np.zeros(BUCKETS, bool)
+        for b in grams(text):
+            seen[b] = True
+        return np.flatnonzero(seen if wanted is None else seen & wanted)
+    return np.unique(np.concatenate([np.empty(0, np.int64), *(b if wanted is None else b[wanted[b]] for b in grams(text))]))
 
 
 def ratios(toxic: np.ndarray, other: np.ndarray, n_toxic: int, n_other: int) -> tuple[np.ndarray, np.ndarray]:
