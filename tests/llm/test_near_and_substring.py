@@ -322,6 +322,16 @@ def test_a_large_group_of_near_copies_is_not_copied_around(spark, docs_of, monke
     assert dealt[0] <= 2 * simhash.KEYS * len(rows)
 
 
+def test_a_shared_passage_does_not_multiply_rows(spark, docs_of, monkeypatch):
+    """20,000 texts of 240 words, unrelated but for one passage of 60: all stay, and the rows dealt out are fewer than three times theirs."""
+    passage = " ".join(f"licence{i}" for i in range(60))
+    rows = [(d, f"{passage} " + " ".join(f"d{d}w{i}" for i in range(180))) for d in range(20_000)]
+    dealt, deal = [], simhash._by_shard
+    monkeypatch.setattr(simhash, "_by_shard", lambda df, *a: dealt.append(df.count()) or deal(df, *a))
+    assert simhash.keep_one_of_each(docs_of(rows)).count() == 20_000
+    assert sum(dealt) < 3 * 20_000
+
+
 def test_recall_at_the_similarity(docs_of):
     """Of 400 pairs a little above 0.8, of 25 to 400 words, at least 0.99 are found; of 400 a little below none."""
     rng = np.random.default_rng(12)

@@ -15,9 +15,11 @@ spanning forest leave a shard, so a group of copies gives as many rows as it has
 members, not as pairs.
 
 Links by similarity (``similar_components``) serve texts whose fingerprints
-differ in more bits than blocks can cover: shards are keyed by minima of
-rehashed shingles (copies of similarity 0.8 share one of six with probability
-0.9999), trees are searched within a wide radius, and a one-permutation sketch
+differ in more bits than blocks can cover: shards are keyed by bands, each of
+three minima of rehashed shingles.  Copies of similarity 0.8 share one of fourteen
+bands with probability 0.99996; texts that only share a passage, such as a licence
+header, seldom have all three minima of a band in it.  Bands that no other row has
+go before anything else is dealt out.  Trees are searched within a wide radius, and a one-permutation sketch
 of the shingle sets rules out pairs well below the similarity.  What is left,
 groups of candidates, is searched again with the shingle sets at hand, and only
 pairs of that exact similarity are linked.  Here fingerprints, like sketches,
@@ -52,8 +54,8 @@ BITS = 64
 SHARD = 4096
 #: Shingles are hashed so many at a time.
 STEP = 1 << 15
-#: Shard keys and sketch bins of links by similarity.
-KEYS, BINS = 6, 256
+#: Shard keys (bands), the minima in each, and sketch bins of links by similarity.
+KEYS, MINIMA, BINS = 14, 3, 256
 #: Sketches may be so far below the similarity, four standard errors, before the sets are asked.
 SLACK = 0.1
 
@@ -80,12 +82,24 @@ def distinct_shingles(text: str, words: int) -> np.ndarray:
     return np.unique(np.concatenate([np.empty(0, np.uint64), *shingle_hashes(text, words)]))
 
 
+_ODD = np.array([xxhash.xxh64_intdigest(b"odd%d" % i, SEED) | 1 for i in range(KEYS * MINIMA)], np.uint64)
+_FLIP = np.array([xxhash.xxh64_intdigest(b"flip%d" % i, SEED) for i in range(KEYS * MINIMA)], np.uint64)
+
+
+def band_keys(hashes: np.ndarray) -> np.ndarray:
+    """A key for each band, from the least of the hashes under the band's permutations."""
+    least = np.full(KEYS * MINIMA, np.iinfo(np.uint64).max, np.uint64)
+    for i in range(0, len(hashes), 512):
+        least = np.minimum(least, ((hashes[i : i + 512, None] ^ _FLIP) * _ODD).min(0))
+    least = (least ^ (least >> np.uint64(32))) * _ODD
+    return np.bitwise_xor.reduce((least ^ (least >> np.uint64(29))).reshape(KEYS, MINIMA), axis=1).view(np.int64)
+
+
 class _Print:
-    """Gathers a text's fingerprint, and its keys and sketch where asked for."""
+    """Gathers a text's fingerprint, and its sketch where asked for."""
 
     def __init__(self, sketch: bool):
         self.n, self.votes, self.sketch = 0, np.zeros(BITS, np.int64), sketch
-        self.keys = np.full(KEYS, np.iinfo(np.uint64).max, np.uint64)
         self.least = np.full(BINS, np.iinfo(np.uint64).max, np.uint64)
 
     def add(self, hashes: np.ndarray) -> None:
@@ -94,9 +108,6 @@ class _Print:
         self.n += len(hashes)
         self.votes += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, np.int64)
         if self.sketch:
-            for k in range(KEYS):
-                mixed = (hashes ^ (hashes >> np.uint64(29 + k))) * np.uint64(0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019 * k & 0xFFFFFFFFFFFFFFFF)
-                self.keys[k] = min(self.keys[k], (mixed ^ (mixed >> np.uint64(32))).min())
             own = np.sort(hashes)
             bins, first = np.unique(own >> np.uint64(56), return_index=True)
             bins = bins.astype(np.int64)
@@ -121,14 +132,14 @@ def fingerprints(docs: DataFrame, words: int, sketch: bool = False) -> DataFrame
             for scalar in batch.column(2):
                 own = _Print(sketch)
                 if sketch:
-                    own.add(distinct_shingles(scalar.as_py(), words))
+                    hashes = distinct_shingles(scalar.as_py(), words)
+                    own.add(hashes)
+                    keys.append(band_keys(hashes).tolist() if own.n else None)
+                    sketches.append(own.sketch_bytes() if own.n else None)
                 else:
                     for hashes in shingle_hashes(scalar.as_py(), words):
                         own.add(hashes)
                 prints.append(own.fingerprint())
-                if sketch:
-                    keys.append(own.keys.view(np.int64).tolist() if own.n else None)
-                    sketches.append(own.sketch_bytes() if own.n else None)
             columns = [batch.column(0), batch.column(1), pa.array(prints, pa.int64())]
             if sketch:
                 columns += [pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary())]
@@ -380,9 +391,10 @@ def similar_components(
 ) -> DataFrame:
     """id (a row of ``prints``), root: rows linked by exact similarity of shingle sets.  Rows without links are absent."""
     known = prints.where("keys IS NOT NULL").select(F.col("row").alias("id"), "fingerprint", "keys", "sketch")
-    dealt = known.select("id", "fingerprint", "sketch", F.posexplode("keys").alias("k", "value")).select(
-        F.xxhash64("k", "value").alias("key"), "id", "fingerprint", "sketch"
-    )
+    keyed = known.select("id", F.posexplode("keys").alias("k", "value")).select(F.xxhash64("k", "value").alias("key"), "id")
+    counts = save(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared-keys")
+    shared = save(keyed.join(broadcast_small(counts), "key").select("key", "id", "n"), "keyed")
+    dealt = shared.join(known.select("id", "fingerprint", "sketch"), "id")
 
     def links(shards: DataFrame) -> DataFrame:
         """Links of the exact similarity in shards (key, key2, key3), saved."""
@@ -398,15 +410,13 @@ def similar_components(
     many = lambda n: F.ceil(n * 2 / SHARD).cast("long")
     salt_of = lambda n: F.pmod(F.xxhash64("id"), n)
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    large = save(dealt.groupBy("key").count().where(F.col("count") > SHARD).select("key", many(F.col("count")).alias("salts")), "large-shards")
-    if large.isEmpty():
+    if counts.where(F.col("n") > SHARD).isEmpty():
         return components(links(shards(dealt)))
-    sizes = broadcast_small(large)
-    hot = dealt.join(sizes, "key").withColumn("salt", salt_of(F.col("salts")))
+    hot = dealt.where(F.col("n") > SHARD).withColumn("salts", many(F.col("n"))).withColumn("salt", salt_of(F.col("salts")))
     member = F.struct("id", "fingerprint", "sketch")
     pivots = save(hot.groupBy("key", "salts").agg(F.min_by(member, F.struct(F.xxhash64("id"), "id")).alias("m")).select("key", "salts", "m.*"), "pivots")
     visits = pivots.withColumn("salt", every("salts")).where(F.col("salt") != salt_of(F.col("salts")))
-    near = links(shards(dealt.join(sizes, "key", "left_anti")).unionByName(shards(hot, "salt")).unionByName(shards(visits, "salt")))
+    near = links(shards(dealt.where(F.col("n") <= SHARD)).unionByName(shards(hot, "salt")).unionByName(shards(visits, "salt")))
     linked = save(components(near), "near-groups")
     home = pivots.join(linked, "id", "left").select("key", F.coalesce("root", "id").alias("home"))
     apart = save(
@@ -415,9 +425,9 @@ def similar_components(
     )
     if apart.isEmpty():
         return linked
-    counts = broadcast_small(save(apart.groupBy("key").agg(many(F.count(F.lit(1))).alias("others")), "apart-sizes"))
-    members = hot.join(counts, "key").withColumn("other", every("others"))
-    callers = apart.join(counts, "key").withColumn("salt", every("salts")).withColumn("other", salt_of(F.col("others")))
+    sizes = broadcast_small(save(apart.groupBy("key").agg(many(F.count(F.lit(1))).alias("others")), "apart-sizes"))
+    members = hot.join(sizes, "key").withColumn("other", every("others"))
+    callers = apart.join(sizes, "key").withColumn("salt", every("salts")).withColumn("other", salt_of(F.col("others")))
     both = shards(members, "salt", "other").unionByName(shards(callers, "salt", "other")).dropDuplicates(["key", "key2", "key3", "id"])
     return components(near.unionByName(links(both)))
 
