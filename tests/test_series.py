@@ -429,3 +429,26 @@ def test_ranks_equal_counting():
     began = time.perf_counter()
     share = Ranks(x, np.ones(len(x), np.int64)).at_most(np.maximum(at - 100_000, 0), at + 1, x)  # windows of 100,000 rows
     assert time.perf_counter() - began < 5 and share[-1] == (x[-100_001:] <= x[-1]).sum()
+
+
+@pytest.mark.parametrize("name", ["month_difference", "symbol_intersection", "anti_both_ways"])
+def test_few_values_meet_as_values(spark, name):
+    """Both sides of the join are made distinct below its exchange: no task gets the rows of a month or of a nation."""
+    from tidemark.queries import QUERIES
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = QUERIES[name](spark, "/root/testdata/sf0.001")
+        left, right, *_ = out._jdf.queryExecution().executedPlan().toString().split("SortMergeJoin")[1].split("FileScan")
+        assert "HashAggregate" in left and "HashAggregate" in right
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_set_operations_hold_nulls_equal(spark):
+    a = spark.createDataFrame([(1,), (1,), (2,), (None,), (None,), (3,)], "x int")
+    b = spark.createDataFrame([(2,), (2,), (None,)], "x int")
+    assert sorted(r.x for r in S.only_in(a, b).collect()) == [1, 3]
+    assert [r.x for r in S.only_in(b, a).collect()] == []
+    assert sorted(str(r.x) for r in S.in_both(a, b).collect()) == ["2", "None"]

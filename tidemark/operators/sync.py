@@ -47,6 +47,19 @@ def delta(source: DataFrame, target: DataFrame, keys: list[str], columns: list[s
     return digests(source, "__s").join(digests(target, "__t"), keys, "full_outer").select(*keys, action.alias("action"))
 
 
+def only_in(a: DataFrame, b: DataFrame) -> DataFrame:
+    """The distinct rows of a that b lacks, nulls being equal.
+
+    Each side is made distinct before they meet: few values in many rows shuffle as a row for each value and task, not as rows of a hot key.
+    """
+    return a.distinct().subtract(b.distinct())
+
+
+def in_both(a: DataFrame, b: DataFrame) -> DataFrame:
+    """The distinct rows that a and b share, nulls being equal; each side is made distinct first, as in ``only_in``."""
+    return a.distinct().intersect(b.distinct())
+
+
 def tail_after(new: DataFrame, known: DataFrame, keys: list[str], ts: str) -> DataFrame:
     """The rows of each series that are later than what is known of it; all rows of an unknown series."""
     last = known.groupBy(*keys).agg(F.max(ts).alias("__last"))  # one row for each series

@@ -149,7 +149,7 @@ def reconcile_sources(t):
   UNION ALL SELECT 'customer_only', count(*) FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)""")
 def anti_both_ways(t):
     """Keys of one side that the other lacks, both ways."""
-    a = t.supplier.select("s_nationkey").distinct().join(t.customer, F.col("s_nationkey") == F.col("c_nationkey"), "left_anti")
+    a = t.supplier.select("s_nationkey").distinct().join(t.customer.select("c_nationkey").distinct(), F.col("s_nationkey") == F.col("c_nationkey"), "left_anti")
     b = t.customer.join(t.orders, F.col("c_custkey") == F.col("o_custkey"), "left_anti")
     count = lambda df, name: df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("side"), "n")
     return count(a, "supplier_only").unionByName(count(b, "customer_only"))

@@ -136,14 +136,14 @@ def union_relaxed(t):
 @query("symbol_intersection", "SELECT s_nationkey AS key FROM supplier INTERSECT SELECT c_nationkey FROM customer")
 def symbol_intersection(t):
     """Symbols that every source has."""
-    return t.supplier.select(F.col("s_nationkey").alias("key")).intersect(t.customer.select(F.col("c_nationkey").alias("key")))
+    return S.in_both(t.supplier.select(F.col("s_nationkey").alias("key")), t.customer.select(F.col("c_nationkey").alias("key")))
 
 
 @query("month_difference", "SELECT DISTINCT date_trunc('month', l_shipdate)::TIMESTAMP AS month FROM lineitem EXCEPT SELECT date_trunc('month', o_orderdate)::TIMESTAMP FROM orders")
 def month_difference(t):
     """Months asked for that aren't there."""
     month = lambda c: F.date_trunc("month", c).cast("timestamp_ntz").alias("month")
-    return t.lineitem.select(month("l_shipdate")).subtract(t.orders.select(month("o_orderdate")))
+    return S.only_in(t.lineitem.select(month("l_shipdate")), t.orders.select(month("o_orderdate")))
 
 
 @query("series_discovery", "SELECT DISTINCT event_type AS dataset, 'S' || (user_id % 5) AS symbol, strftime(ts, '%Y-%m') AS month FROM events")
