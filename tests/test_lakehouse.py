@@ -349,6 +349,46 @@ def test_a_gold_chain_over_buckets_shuffles_nothing(spark, tmp_path):
         bucketed.build(spark, "market.regime_features", {"grid": tables["grid"]})
 
 
+def test_a_gold_chain_over_buckets_sorts_nothing_and_keeps_its_rows(spark, tmp_path):
+    """Files are sorted as the joins need them; blocks, minutes of several days and a lacking time among them."""
+    from tidemark.plans import bucketed, contracts, gold
+
+    rows = [("x", s, datetime(2024, 1, 30) + timedelta(hours=7 * h), float(h)) for s in "ab" for h in range(30)] + [("x", "a", None, 1.0)]
+    df = spark.createDataFrame(rows, "exchange string, symbol string, timestamp_m1 timestamp_ntz, close_price double")
+    sources = {n: df.where(F.col("close_price") % (i + 2) != 0) for i, n in enumerate(contracts.GOLD["market.regime_features"][0])}
+    tables = bucketed.store_sources("market.regime_features", sources, "sort_free", str(tmp_path / "b"), bucketed.buckets_for(df.count()))
+    out = bucketed.build(spark, "market.regime_features", tables)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == len(sources) and "Sort [" not in plan and "Exchange" not in plan
+    plain = gold.build("market.regime_features", sources)
+    assert out.columns == plain.columns
+    assert sorted(map(str, out.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_buckets_grow_with_the_rows():
+    from tidemark.plans import bucketed
+
+    assert [bucketed.buckets_for(n) for n in (0, 1_600_000, 1_600_001, 30_000_000)] == [16, 16, 17, 300]
+
+
+@pytest.mark.parametrize("name", ["gold_regime_bucketed", "gold_regime_features"])
+def test_regime_sources_are_read_from_bars_saved_once(spark, monkeypatch, name):
+    from tidemark.plans import bucketed, gold
+    from tidemark.queries import QUERIES
+
+    class Seen(Exception):
+        pass
+
+    def seen(dataset, sources, *_):
+        assert not [f for df in sources.values() for f in df.inputFiles() if "events" in f]
+        raise Seen
+
+    monkeypatch.setattr(bucketed, "store_sources", seen)
+    monkeypatch.setattr(gold, "build", seen)
+    with pytest.raises(Seen):
+        QUERIES[name](spark, "/root/testdata/sf0.001")
+
+
 def test_certification_holds_rows_against_their_entry(spark, tmp_path):
     import shutil
 

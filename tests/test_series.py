@@ -452,3 +452,11 @@ def test_set_operations_hold_nulls_equal(spark):
     assert sorted(r.x for r in S.only_in(a, b).collect()) == [1, 3]
     assert [r.x for r in S.only_in(b, a).collect()] == []
     assert sorted(str(r.x) for r in S.in_both(a, b).collect()) == ["2", "None"]
+
+
+def test_a_grid_is_made_by_many_tasks(spark):
+    """Days are few bytes: adaptive execution must not merge them into one task."""
+    df = spark.createDataFrame([("a", at(0)), ("a", at(40 * 1440))], "symbol string, ts timestamp_ntz")
+    grid = span_grid(df, ["symbol"], "ts")
+    assert grid.select(F.spark_partition_id().alias("p"), "symbol").distinct().count() > 1
+    assert grid.count() == 40 * 1440 + 1

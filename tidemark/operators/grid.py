@@ -11,15 +11,17 @@ from tidemark.functions.exprs import from_micros, micros
 def span_grid(df: DataFrame, keys: list[str], ts: str, seconds: int = 60, name: str = "timestamp_m1") -> DataFrame:
     """Every step between the first and the last observation of each key.
 
-    The span is cut into days first: rows of a long series come from many tasks after the repartition.
+    The span is cut into days first: rows of a long series come from many tasks after the repartition.  Its number of partitions is given,
+    as days are so few bytes that adaptive execution would merge them into one task, which then makes all rows.
     """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     us = seconds * 1_000_000
     day = 86_400_000_000
     at = F.floor(micros(F.col(ts)) / us) * us
     spans = df.where(F.col(ts).isNotNull()).groupBy(*keys).agg(F.min(at).alias("low"), F.max(at).alias("high"))
     days = spans.select(
         *keys, "low", "high", F.explode(F.sequence(F.floor(F.col("low") / day), F.floor(F.col("high") / day))).alias("day")
-    ).repartition(*keys, "day")
+    ).repartition(partitions, *keys, "day")
     low = F.greatest(F.col("low"), F.ceil(F.col("day") * day / us) * us)
     high = F.least(F.col("high"), (F.col("day") + 1) * day - 1)
     return days.where(low <= high).select(

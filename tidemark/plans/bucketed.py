@@ -16,6 +16,13 @@ from tidemark.plans import gold
 
 BLOCK_SECONDS = 86_400
 PLACE = ["exchange", "symbol", "block"]
+#: Rows of the largest source that a bucket holds on average, and the least number of buckets.
+BUCKET_ROWS, LEAST_BUCKETS = 100_000, 16
+
+
+def buckets_for(rows: int) -> int:
+    """So many buckets that one, which is a task of the joins, doesn't grow with the number of rows."""
+    return max(LEAST_BUCKETS, -(-rows // BUCKET_ROWS))
 
 
 def store(df: DataFrame, table: str, path: str, buckets: int, block_seconds: int = BLOCK_SECONDS) -> None:
@@ -39,14 +46,16 @@ def build(spark: SparkSession, dataset: str, tables: dict[str, str]) -> DataFram
     """The Gold table of stored sources; ``tables`` as ``store_sources`` gives them.
 
     The buckets' columns are only a part of what the joins are on.  Spark takes that for good enough where it is told to, which is done in
-    a session of its own, to which the frame belongs: other joins might get skewed by it, these are cut in blocks.
+    a session of its own, to which the frame belongs: other joins might get skewed by it, these are cut in blocks.  A bucket is one sorted file,
+    so the session lets scans keep that order: the joins are on the columns in the order of the files, and sort nothing.
     """
     required, _ = gold.GOLD[dataset]
     if lacking := [s for s in (*required, "grid") if s not in tables]:
         raise KeyError(f"{dataset} needs {lacking}")
     own = spark.newSession()
     own.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    own.conf.set("spark.sql.legacy.bucketedTableScan.outputOrdering", "true")
     for name in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions", "spark.sql.ansi.enabled"):
         own.conf.set(name, spark.conf.get(name))
     ready = {n: own.table(t) for n, t in tables.items()}
-    return gold.chained(dataset, ready.pop("grid"), ready, [*gold.KEYS, "block"], "merge").drop("block")
+    return gold.chained(dataset, ready.pop("grid"), ready, [*PLACE, gold.KEYS[2]], "merge").drop("block")

@@ -79,8 +79,15 @@ REGIME_SQL = f"""WITH {GRID_SQL} SELECT g.symbol, g.timestamp_m1 AS ts, b.close_
   FROM grid g LEFT JOIN bars b ON g.symbol = b.symbol AND g.timestamp_m1 = b.timestamp_m1"""
 
 
-def regime_sources(t) -> dict:
-    b, at = bars(t), F.col("timestamp_m1")
+def regime_bars(t):
+    """The bars, saved once: seven sources are read from them, and each would aggregate all ticks anew."""
+    at = scratch(t.spark, "bars")
+    bars(t).write.parquet(at)
+    return t.spark.read.parquet(at)
+
+
+def regime_sources(b) -> dict:
+    at = F.col("timestamp_m1")
     keyed = lambda time, **columns: b.select("exchange", "symbol", at.alias(time), *[F.col(c).alias(n) if isinstance(c, str) else c.alias(n) for n, c in columns.items()])
     prices = {f"{n}_price": F.col("close_price") for n in ("open", "high", "low", "close")} | {"volume": "volume"}
     return {
@@ -107,7 +114,7 @@ REGIME_DOUBLES = "spot_close perp_close oi funding rv_1h spread l2_spread"
 @query("gold_regime_features", REGIME_SQL, REGIME_DOUBLES)
 def gold_regime_features(t):
     """The regime table of six required sources and one of six optional ones: what is absent is a typed null, shared columns keep both sides."""
-    return regime_shown(gold.build("market.regime_features", regime_sources(t)))
+    return regime_shown(gold.build("market.regime_features", regime_sources(regime_bars(t))))
 
 
 @query("gold_regime_bucketed", REGIME_SQL, REGIME_DOUBLES)
@@ -115,5 +122,6 @@ def gold_regime_bucketed(t):
     """The same table from sources that were stored in buckets: its joins shuffle nothing."""
     root = scratch(t.spark, "buckets")
     prefix = "t" + root.rpartition("-")[2]
-    tables = bucketed.store_sources("market.regime_features", regime_sources(t), prefix, root, 16)
+    b = regime_bars(t)
+    tables = bucketed.store_sources("market.regime_features", regime_sources(b), prefix, root, bucketed.buckets_for(b.count()))
     return regime_shown(bucketed.build(t.spark, "market.regime_features", tables))
